@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sheafline.llm.copies import collapse, copies_found
 from sheafline.llm.tokens import encode_corpus
 from sheafline.session import table
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record that copies another body in other formatting, with the record that is kept."""
+    return copies_found(table(spark, folder, "bank_items"))
+
+
+def p3_collapsed(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per distinct body and the number of its copies."""
+    return collapse(table(spark, folder, "bank_items"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document under the 50k byte-level vocabulary."""
     return encode_corpus(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p7_ids": p7_ids}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": p3_found,
+    "p3_collapsed": p3_collapsed,
+    "p7_ids": p7_ids,
+}
 SQL: dict[str, str] = {}

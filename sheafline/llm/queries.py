@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafline.llm.copies import collapse, copies_found
+from sheafline.llm.lookalikes import unify_fields
 from sheafline.llm.tokens import encode_corpus
 from sheafline.session import table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every field of items that holds characters standing in for the usual ones."""
+    return unify_fields(table(spark, folder, "items"), only_cases=True).select("item_id", "field")
+
+
+def p2_unified(spark: SparkSession, folder: str) -> DataFrame:
+    """Every field of items in the one form."""
+    return unify_fields(table(spark, folder, "items")).select("item_id", "field", "text")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every record that copies another body in other formatting, with the record that is kept."""
     return copies_found(table(spark, folder, "bank_items"))
@@ -27,6 +38,8 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_unified": p2_unified,
     "p3_found": p3_found,
     "p3_collapsed": p3_collapsed,
     "p7_ids": p7_ids,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafline.llm.copies import collapse, copies_found
+from sheafline.llm.leaks import leaks_found
 from sheafline.llm.lookalikes import unify_fields
 from sheafline.llm.tokens import encode_corpus
 from sheafline.session import table
@@ -37,11 +38,17 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and the test items of which it holds a passage."""
+    return leaks_found(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_unified": p2_unified,
     "p3_found": p3_found,
     "p3_collapsed": p3_collapsed,
     "p7_ids": p7_ids,
+    "p8_found": p8_found,
 }
 SQL: dict[str, str] = {}

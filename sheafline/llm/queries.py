@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sheafline.llm.copies import collapse, copies_found
 from sheafline.llm.leaks import leaks_found
 from sheafline.llm.lookalikes import unify_fields
+from sheafline.llm.personal import personal_found, redact
 from sheafline.llm.tokens import encode_corpus
 from sheafline.session import table
 
@@ -43,6 +44,16 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks_found(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct mention of personal information in a document."""
+    return personal_found(table(spark, folder, "documents"))
+
+
+def p9_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with typed placeholders in place of the mentions."""
+    return redact(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_unified": p2_unified,
@@ -50,5 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_collapsed": p3_collapsed,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_redacted": p9_redacted,
 }
 SQL: dict[str, str] = {}

@@ -56,10 +56,31 @@ FOLD = {**WIDE, **{c: " " for c in BLANKS}, **SIGNS, **RADICALS}
 ALIKE = {**CYRILLIC, **GREEK}
 
 _set = lambda chars: "".join(re.escape(c) for c in sorted(chars))
-#: Marks and other characters whose quick-check property is "maybe" or "no".
-MAYBE = r"̀-ͯ҃-֑҇-ׇؐ-ًؚ-़ٰٟাৗାୖୗாௗౖೂೕೖാൗ්ාෟီᅡ-ᅵᆨ-ᇂ᪰-᫿ᬵ᷀-᷿⃐-⃿゙゚︠-︯ʹ;·क़-य़άέήίόύώ  〈〉豈-﫿יִ-פֿ"
+
+
+def _ranges(codes: list[int]) -> str:
+    """A character class of these code points."""
+    out: list[list[int]] = []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(re.escape(chr(a)) + ("-" + re.escape(chr(b)) if b > a else "") for a, b in out)
+
+
+#: Marks and other characters whose quick-check property is "maybe" or "no", variation selectors aside.
+MAYBE = _ranges(
+    [
+        c
+        for c in range(0x300, 0x30000)
+        if not 0xD800 <= c < 0xE000 and not 0xFE00 <= c <= 0xFE0F and (unicodedata.category(chr(c))[0] == "M" or 0x1160 <= c <= 0x11FF or not unicodedata.is_normalized("NFC", chr(c)))
+    ]
+)
 QUICK = f"[{_set(FOLD.keys() | ALIKE.keys())}{_set(INVISIBLE)}{MAYBE}]"
 UNSTABLE = re.compile(QUICK)
+#: The quick check on the JVM side: a few ranges that hold no unstable character, and everything outside them.
+STABLE = r"\x00-\x7f\u4e00-\u9fff\u3001-\u3029\uff01-\uff0f\uff1a-\uff20\u2018-\u2026\u00b0\u00b2\u00d7\u03a9\u03bc"
 _FOLDED = re.compile(f"[{_set(FOLD)}]")
 _HIDDEN = re.compile(f"[{_set(INVISIBLE)}]")
 _MARKED = re.compile(f"(?s).[{MAYBE}]+|[{MAYBE}]")
@@ -159,7 +180,7 @@ def unify_fields(df: DataFrame, id: str = "item_id", fields: tuple[str, ...] = F
             done = [unify(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.list_(pa.string()))], names=["id", "field", "text", "kinds"])
 
-    unstable = F.col("text").rlike(QUICK)
+    unstable = F.col("text").rlike(f"[^{STABLE}]")
     long = long_fields(spread(df.select(id, *fields)), id, fields)
     schema = T.StructType([T.StructField("id", long.schema["id"].dataType), T.StructField("field", T.StringType()), T.StructField("text", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType()))])
     out = long.where(unstable).mapInArrow(rows, schema)

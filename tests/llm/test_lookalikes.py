@@ -1,9 +1,10 @@
 """Problem 2: one form, legitimate characters kept, and nothing changes the second time."""
 
 import random
+import re
 import unicodedata
 
-from sheafline.llm.lookalikes import unify, unify_fields
+from sheafline.llm.lookalikes import STABLE, UNSTABLE, unify, unify_fields
 
 CASES = {
     "２４.6 ｋＧ": ("24.6 kG", ["width"]),
@@ -43,3 +44,9 @@ def test_rows(spark):
     assert got == [(1, "body", "1", ("width",))] * 2 + [(1, "memo", "x", ())] * 2 + [(2, "answer", "", ()), (2, "memo", "yyy", ("invisible",))]
     assert unify_fields(df, only_cases=True).count() == 3
     assert unify_fields(df.limit(0)).collect() == []
+
+
+def test_quick_check_misses_nothing():
+    stable = re.compile(f"[{STABLE}]")
+    assert not [hex(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and stable.match(chr(c)) and (UNSTABLE.match(chr(c)) or unicodedata.normalize("NFC", chr(c)) != chr(c))]
+    assert not [hex(c) for c in range(0x3000) if not UNSTABLE.match(chr(c)) and unicodedata.normalize("NFC", chr(c)) != chr(c)]

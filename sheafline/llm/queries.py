@@ -9,11 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from sheafline.llm.copies import collapse, copies_found
 from sheafline.llm.leaks import leaks_found
 from sheafline.llm.lookalikes import unify_fields
+from sheafline.llm.markup import clean_fields
 from sheafline.llm.personal import personal_found, redact
 from sheafline.llm.tokens import encode_corpus
 from sheafline.session import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every field of items that holds markup."""
+    return clean_fields(table(spark, folder, "items"), only_cases=True).select("item_id", "field")
+
+
+def p1_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Every field of items as clean text with its structure kept."""
+    return clean_fields(table(spark, folder, "items")).select("item_id", "field", "text")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every field of items that holds characters standing in for the usual ones."""
     return unify_fields(table(spark, folder, "items"), only_cases=True).select("item_id", "field")
@@ -55,6 +66,8 @@ def p9_redacted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_cleaned": p1_cleaned,
     "p2_found": p2_found,
     "p2_unified": p2_unified,
     "p3_found": p3_found,

@@ -10,6 +10,7 @@ from sheafline.llm.copies import collapse, copies_found
 from sheafline.llm.leaks import leaks_found
 from sheafline.llm.lookalikes import unify_fields
 from sheafline.llm.markup import clean_fields
+from sheafline.llm.neardup import near_found
 from sheafline.llm.pairs import defects_found
 from sheafline.llm.personal import personal_found, redact
 from sheafline.llm.tokens import encode_corpus
@@ -46,6 +47,11 @@ def p3_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return collapse(table(spark, folder, "bank_items"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record of a group of near-duplicates with the smallest id of the group."""
+    return near_found(table(spark, folder, "bank_items"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every answer and memo that fails to respond to its body, with the defect."""
     return defects_found(table(spark, folder, "items"))
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_unified": p2_unified,
     "p3_found": p3_found,
     "p3_collapsed": p3_collapsed,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_found": p8_found,

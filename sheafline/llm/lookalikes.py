@@ -69,19 +69,26 @@ def _ranges(codes: list[int]) -> str:
     return "".join(re.escape(chr(a)) + ("-" + re.escape(chr(b)) if b > a else "") for a, b in out)
 
 
-#: Marks and other characters whose quick-check property is "maybe" or "no", variation selectors aside.
-MAYBE = _ranges(
+#: Marks and other characters whose quick-check property is "maybe" or "no", variation selectors
+#: aside: those of the basic plane, and those beyond.
+MAYBE_CODES = tuple(
     [
         c
-        for c in range(0x300, 0x30000)
+        for c in codes
         if not 0xD800 <= c < 0xE000 and not 0xFE00 <= c <= 0xFE0F and (unicodedata.category(chr(c))[0] == "M" or 0x1160 <= c <= 0x11FF or not unicodedata.is_normalized("NFC", chr(c)))
     ]
+    for codes in (range(0x300, 0x10000), range(0x10000, 0x30000))
 )
+MAYBE = _ranges(MAYBE_CODES[0] + MAYBE_CODES[1])
 QUICK = f"[{_set(FOLD.keys() | ALIKE.keys())}{_set(INVISIBLE)}{MAYBE}]"
 UNSTABLE = re.compile(QUICK)
 #: The quick check on the JVM side: a few ranges that hold no unstable character, and everything outside them.
 STABLE = r"\x00-\x7f\u4e00-\u9fff\u3001-\u3029\uff01-\uff0f\uff1a-\uff20\u2018-\u2026\u00b0\u00b2\u00d7\u03a9\u03bc"
-_FOLDED = re.compile(f"[{_set(FOLD)}]")
+#: The engine is quick only on classes inside the basic plane, so what lies beyond is looked for apart.
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+_BASIC = re.compile(f"[{_set(c for c in (FOLD.keys() | ALIKE.keys()) if c < chr(0x10000))}{_set(INVISIBLE)}{_ranges(MAYBE_CODES[0])}]")
+_FOLDED = re.compile(f"[{_set(c for c in FOLD if c < chr(0x10000))}]")
+_FOLDED_BEYOND = re.compile(f"[{_set(c for c in FOLD if c >= chr(0x10000))}]")
 _HIDDEN = re.compile(f"[{_set(INVISIBLE)}]")
 _MARKED = re.compile(f"(?s).[{MAYBE}]+|[{MAYBE}]")
 _ALIKE = re.compile(f"[{_set(ALIKE)}]")
@@ -139,10 +146,15 @@ def _latinise(text: str) -> str:
     return "".join([*parts, text[done:]]) if parts else text
 
 
+def unstable(text: str) -> bool:
+    """Whether a text holds any character of the quick check's "maybe" or "no"."""
+    return bool(_BASIC.search(text)) or bool(_BEYOND.search(text)) and bool(UNSTABLE.search(text))
+
+
 def unify(text: str) -> tuple[str, list[str]]:
     """The one form of a text, and the kinds of stand-ins it held."""
     kinds: list[str] = []
-    while UNSTABLE.search(text):  # each round removes a stand-in or ends
+    while unstable(text):  # each round removes a stand-in or ends
         out, own = _round(text)
         kinds += [k for k in own if k not in kinds]
         if out == text:
@@ -158,9 +170,10 @@ def _round(text: str) -> tuple[str, list[str]]:
         if out != text:
             kinds.append("invisible")
             text = out
-    if _FOLDED.search(text):
-        kinds += sorted({"space" if c in BLANKS else "width" if c in WIDE else "radical" if c in RADICALS else "sign" for c in _FOLDED.findall(text)})
-        text = _FOLDED.sub(lambda m: FOLD[m[0]], text)
+    for folded in (_FOLDED, _FOLDED_BEYOND) if _BEYOND.search(text) else (_FOLDED,):
+        if folded.search(text):
+            kinds += sorted({"space" if c in BLANKS else "width" if c in WIDE else "radical" if c in RADICALS else "sign" for c in folded.findall(text)} - set(kinds))
+            text = folded.sub(lambda m: FOLD[m[0]], text)
     if not unicodedata.is_normalized("NFC", text):
         kinds.append("combining")
         text = _MARKED.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)

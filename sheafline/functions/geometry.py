@@ -62,7 +62,7 @@ def inside(box: dict[str, Column], w: Column, h: Column) -> Column:
 def sniff(data: Column) -> Column:
     """The picture format that the first bytes tell."""
     head = F.hex(F.substring(data, 1, 12))
-    return F.when(head.startswith("89504E470D0A1A0A"), "png").when(head.startswith("FFD8FF"), "jpg").when(head.startswith("47494638"), "gif").when(head.startswith("25504446"), "pdf").when(head.startswith("52494646") & head.endswith("57454250"), "webp").when(F.trim(F.decode(F.substring(data, 1, 200), "latin1")).rlike(r"(?s)^(?:<\?xml.*)?<svg|^<\?xml"), "svg")
+    return F.when(head.startswith("89504E470D0A1A0A"), "png").when(head.startswith("FFD8FF"), "jpg").when(head.startswith("47494638"), "gif").when(head.startswith("25504446"), "pdf").when(head.startswith("52494646") & head.endswith("57454250"), "webp").when(F.trim(F.decode(F.substring(data, 1, 200), "iso-8859-1")).rlike(r"(?s)^(?:<\?xml.*)?<svg|^<\?xml"), "svg")
 
 
 def png_size(data: Column) -> Column:

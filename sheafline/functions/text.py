@@ -45,12 +45,12 @@ def merge_math(x: Text) -> Column:
     n = F.size(parts)
 
     def joins(i: Column) -> Column:
-        inner = F.element_at(parts, i + 1)
-        return (i % 2 == 0) & (i > 0) & (i < n - 2) & inner.isin("-", "–", "—", "~", "～") & (F.length(F.element_at(parts, i)) > 0) & (F.length(F.element_at(parts, i + 2)) > 0)
+        inner = F.get(parts, i)
+        return (i % 2 == 0) & (i > 0) & (i < n - 2) & inner.isin("-", "–", "—", "~", "～") & (F.length(F.get(parts, i - 1)) > 0) & (F.length(F.get(parts, i + 1)) > 0)
 
-    glue = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.when(joins(i), F.lit("-")).otherwise(F.element_at(parts, i + 1)), F.when((i < n - 1) & ~joins(i) & ~joins(i + 1), F.lit("$")).otherwise(F.lit(""))))
+    glue = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.when(joins(i), F.lit("-")).otherwise(F.get(parts, i)), F.when((i < n - 1) & ~joins(i) & ~joins(i + 1), F.lit("$")).otherwise(F.lit(""))))
     # formulas do not span lines: without a line break inside one the merge is safe
-    whole = (n % 2 == 1) & ~F.exists(F.sequence(F.lit(0), n - 1), lambda i: (i % 2 == 1) & F.element_at(parts, i + 1).contains("\n"))
+    whole = (n % 2 == 1) & ~F.exists(F.sequence(F.lit(0), n - 1), lambda i: (i % 2 == 1) & F.get(parts, i).contains("\n"))
     return F.when(whole, F.array_join(glue, "")).otherwise(col(x))
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sheafline.functions.geometry import overlaps, unit_vector
+from sheafline.functions.geometry import overlaps
 from sheafline.functions.text import squeeze
 
 
@@ -100,29 +102,50 @@ def zip_by_position(left: DataFrame, right: DataFrame, key: str, a: str, b: str)
     return both.select(key, F.posexplode(F.arrays_zip(F.col(a).alias("l"), F.col(b).alias("r"))).alias("pos", "x")).select(key, "pos", F.col("x.l").alias(a), F.col("x.r").alias(b))
 
 
-def best_match(queries: DataFrame, pool: DataFrame, scope: Sequence[str], trust: float = 0.6, blocks: int = 8) -> DataFrame:
+def best_match(queries: DataFrame, pool: DataFrame, scope: Sequence[str], trust: float = 0.6, block: int = 2048) -> DataFrame:
     """(query_id, match_id, score, scoped): the most alike vector of the same scope, by centred cosine; below
     ``trust`` the best of the whole pool. Scores have six places; ties go to the smaller id.
 
     ``queries`` and ``pool`` have id, vec and the scope columns; a query never matches its own id.
-    The whole-pool search runs for the remainder alone, in blocks of the pool that keep one best each.
+    Queries and pool are cut into blocks of about ``block`` rows; each pair of blocks (of one scope,
+    in the first search) is one task's matrix product and keeps one best per query. The whole-pool
+    search runs for the remainder alone. A vector without variance scores 0 against everything.
     """
-    q = queries.select(F.col("id").alias("query_id"), *scope, unit_vector(F.col("vec")).alias("q"))
-    p = pool.select(F.col("id").alias("match_id"), *scope, unit_vector(F.col("vec")).alias("p"))
-    score = F.round(F.aggregate(F.zip_with("q", "p", lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v), 6)
-
-    def best(rows: DataFrame, *by: str) -> DataFrame:
-        top = rows.where("query_id <> match_id").select(*by, "match_id", score.alias("score"))
-        return top.groupBy(*by).agg(F.max_by(F.struct("match_id", "score"), F.struct("score", -F.col("match_id"))).alias("m"))
-
-    scoped = best(q.join(p, list(scope)), "query_id").select("query_id", "m.match_id", "m.score", F.lit(True).alias("scoped"))
-    rest = q.select("query_id", "q").join(scoped.where(F.col("score") >= trust), "query_id", "left_anti")
-    # every query meets every block of the pool under the block's number
-    rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    parts = p.withColumn("block", F.expr(f"cast(pmod(xxhash64(match_id), {blocks}) as int)"))
-    far = best(rest.join(parts, "block"), "query_id", "block").groupBy("query_id").agg(F.max_by("m", F.struct("m.score", -F.col("m.match_id"))).alias("m"))
-    far = far.select("query_id", "m.match_id", "m.score", F.lit(False).alias("scoped"))
-    return scoped.where(F.col("score") >= trust).unionByName(far)
+    q = queries.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), *(F.col(c).alias(c) for c in scope))
+    p = pool.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), *(F.col(c).alias(c) for c in scope))
+    sizes = q.agg(F.count(F.lit(1))).first()[0], p.agg(F.count(F.lit(1))).first()[0]
+    parts = [max(1, -(-n // block)) for n in sizes]
+
+    def unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        m = np.array(table.column("vec").to_pylist(), float).reshape(table.num_rows, -1)
+        m = m - m.mean(axis=1, keepdims=True)
+        norm = np.linalg.norm(m, axis=1, keepdims=True)
+        return table.column("id").to_numpy(), np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+
+    def product(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["query_id", "match_id", "score"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
+        order = np.argsort(right.column("id").to_numpy(), kind="stable")  # the first of equals is the smaller id
+        (qi, a), (pi, b) = unit(left), unit(right.take(pa.array(order)))
+        score = np.round(a @ b.T, 6) + 0.0
+        score[qi[:, None] == pi[None]] = -np.inf
+        best = score.argmax(axis=1)
+        top = score[np.arange(len(qi)), best]
+        keep = np.isfinite(top)
+        return pa.table([pa.array(qi[keep]), pa.array(pi[best][keep]), pa.array(top[keep])], names=names)
+
+    def search(left: DataFrame, *by: str) -> DataFrame:
+        left = left.select(*(F.col(c).alias(c) for c in left.columns))
+        a = left.withColumn("qb", F.expr(f"cast(pmod(xxhash64(id), {parts[0]}) as int)")).withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(parts[1] - 1))))
+        b = p.withColumn("pb", F.expr(f"cast(pmod(xxhash64(id), {parts[1]}) as int)")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(parts[0] - 1))))
+        key = [*by, "qb", "pb"]
+        each = a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(product, "query_id long, match_id long, score double")
+        return each.groupBy("query_id").agg(F.max_by(F.struct("match_id", "score"), F.struct("score", -F.col("match_id"))).alias("m")).select("query_id", "m.match_id", "m.score")
+
+    scoped = search(q, *scope).where(F.col("score") >= trust).withColumn("scoped", F.lit(True))
+    rest = q.join(scoped.select(F.col("query_id").alias("id")), "id", "left_anti")
+    return scoped.unionByName(search(rest).withColumn("scoped", F.lit(False)))
 
 
 def same_text_label(left: DataFrame, right: DataFrame, label: str, value: str) -> DataFrame:

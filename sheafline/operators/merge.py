@@ -11,12 +11,12 @@ from sheafline import schema
 LEDGER_KEY = ("year", "region", "question", "category", "problem")
 
 
-def merge_ledger(ledger: DataFrame, reviews: DataFrame, key: Sequence[str] = LEDGER_KEY, order: Sequence[str] = ("seq",), sequence: Sequence[str] = schema.LEDGER_ORDER) -> DataFrame:
+def merge_ledger(ledger: DataFrame, reviews: DataFrame, key: Sequence[str] = LEDGER_KEY, order: Sequence[str] = ("seq",), sections: Sequence[Sequence[str]] = schema.SECTIONS) -> DataFrame:
     """(key, action, status, change, section): the ledger after reviews.
 
     Both sides have the key, action and status, and the order columns. The last row of a key in
     its side counts; reviews win, their null action leaves the old one. ``change`` is kept, updated,
-    moved (another status) or added; ``section`` ranks the status, new ones before the known.
+    moved (to another section) or added; ``section`` ranks the status, unknown ones first.
     """
 
     def last(df: DataFrame, side: str) -> DataFrame:
@@ -27,8 +27,10 @@ def merge_ledger(ledger: DataFrame, reviews: DataFrame, key: Sequence[str] = LED
     change = (
         F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "kept").when(~status.eqNullSafe(F.col("old.status")), "moved").when(~action.eqNullSafe(F.col("old.action")), "updated").otherwise("kept")
     )
-    rank = F.array_position(F.array(*map(F.lit, sequence)), status)
-    return both.select(*key, action.alias("action"), status.alias("status"), change.alias("change"), rank.cast("int").alias("section"))
+    place = lambda s: F.coalesce(*(F.when(s.isin(*own), i) for i, own in enumerate(sections, 1)), F.lit(0))
+    old, new = place(F.col("old.status")), place(status)
+    change = F.when((change == "moved") & (old == new), "updated").otherwise(change)
+    return both.select(*key, action.alias("action"), status.alias("status"), change.alias("change"), new.cast("int").alias("section"))
 
 
 def append_or_update(table: DataFrame, rows: DataFrame, key: Sequence[str], fields: Sequence[str], order: str) -> DataFrame:

@@ -79,9 +79,10 @@ def running_depth(df: DataFrame, key: Sequence[str], order: Sequence[str], step:
 
 
 def year_rank(year: Column) -> Column:
-    """Sort key of year titles: titles that are no plain year first, years ascending, unknown last."""
-    plain = year.rlike("^[0-9]{4}$")
-    return F.struct(F.when(year.isNull() | (year == ""), 2).when(plain, 1).otherwise(0).alias("bucket"), F.when(plain, year.try_cast("int")).alias("n"), year.alias("y"))
+    """Sort key of year titles: spans before a year first, then plain years ascending, unknown last."""
+    before = F.coalesce(year.endswith("以前"), F.lit(False))
+    n = F.when(before, F.coalesce(F.nullif(F.regexp_extract(year, "^([0-9]{4})", 1), F.lit("")).try_cast("int"), F.lit(0))).otherwise(F.coalesce(F.when(year.rlike("^[0-9]+$"), year.try_cast("int")), F.lit(9999)))
+    return F.struct(F.when(before, 0).otherwise(1).alias("bucket"), n.alias("n"))
 
 
 def top_by(df: DataFrame, key: Sequence[str], score: Column, order: Column) -> DataFrame:

@@ -52,7 +52,7 @@ def section(block: Column, start: str, end: str | None) -> Column:
     rest = F.substring(block, at + len(start), F.length(block))
     rest = F.when(F.locate("\n", rest) > 0, F.substring(rest, F.locate("\n", rest) + 1, F.length(rest))).otherwise(F.lit(""))
     cut = rest if end is None else F.when(F.locate(end, rest) > 0, F.substring(rest, F.lit(1), F.locate(end, rest) - 1)).otherwise(rest)
-    return F.when(at > 0, F.trim(cut)).otherwise(F.lit(""))
+    return F.when(at > 0, F.regexp_replace(cut, r"^\s+|\s+$", "")).otherwise(F.lit(""))
 
 
 def parse_papers(df: DataFrame, id: str, text: str = "text") -> DataFrame:
@@ -64,7 +64,7 @@ def parse_papers(df: DataFrame, id: str, text: str = "text") -> DataFrame:
 def collect_papers(items: DataFrame, id: str) -> DataFrame:
     """(id, chapter, items): one nested row per paper, items in order: the archive form."""
     each = F.struct("pos", "number", "meta", "body", "answer", "memo")
-    return items.groupBy(id).agg(F.first(F.col("meta")["chapter"], True).alias("chapter"), F.array_sort(F.collect_list(each)).alias("items"))
+    return items.groupBy(id).agg(F.first(F.col("meta")["chapter"], True).alias("chapter"), F.array_sort(F.collect_list(each), lambda a, b: (a["pos"] - b["pos"]).cast("int")).alias("items"))
 
 
 def source_numbers(text: Column) -> Column:
@@ -75,7 +75,7 @@ def source_numbers(text: Column) -> Column:
 
 def paragraphs(html: Column) -> Column:
     """Paragraphs of a fragment, cut at ends of paragraphs and line breaks; blank ones go."""
-    parts = F.split(html, r"(?i)</p\s*>|<br\s*/?>")
+    parts = F.transform(F.split(html, r"(?i)</p\s*>|<br\s*/?>"), lambda x: F.regexp_replace(x, r"(?i)<p(?:\s[^>]*)?>", ""))
     return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: F.trim(F.regexp_replace(x, r"<[^>]*>|&nbsp;", "")) != "")
 
 

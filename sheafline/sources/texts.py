@@ -18,19 +18,19 @@ def read_files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = (
     Files below a component ``skip`` are left out; a folder without any file gives no rows.
     """
     glob = "*{" + ",".join(extensions) + "}"
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder, wholetext=True)
     df = df.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
     return df if skip is None else df.where(~F.array_contains(F.split("path", "/"), skip))
 
 
 def read_named(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, text) of files given by name: nothing is skipped, a name given twice is read once."""
-    df = spark.read.option("wholetext", True).text(list(dict.fromkeys(paths)))
+    df = spark.read.text(list(dict.fromkeys(paths)), wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(path, name, stem, extension, length, modified) of every file, without its content."""
+    """(path, name, stem, extension, length, modified) of every file that is not empty, without its content."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     return df.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("extension"), "length", F.col("modificationTime").alias("modified"))
@@ -102,7 +102,7 @@ def headed_rows(df: DataFrame, id: str, text: str = "text", heading: str = r"^##
     own = lines(df, id, text).withColumn("title", F.nullif(F.regexp_extract("value", heading, 1), F.lit("")))
     order = Window.partitionBy(id).orderBy("line")
     own = own.withColumn("heading", F.last("title", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = own.where(F.trim("value").rlike(r"^\|.*\|$")).withColumn("cells", cells)
     rows = rows.where((F.col("cells")[0] != "") & ~F.col("cells")[0].rlike(r"^:?-+:?$"))
     if columns:

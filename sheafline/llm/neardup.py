@@ -42,6 +42,8 @@ from sheafline.session import spread, stage
 SLOTS = 1 << 20
 WORDS = 6  # 64-bit words of parity bits, the first half for order 2, the second for order 3
 PAIRS_AT_ONCE = 1 << 20
+#: Groups of more rows than this are compared in blocks of rows, smaller ones all at once.
+DENSE = 48
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -207,6 +209,24 @@ def survivors(cols: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray, thresh
     return np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], axis=1)
 
 
+def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, threshold: float, rows: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one large group whose parity bits are near enough, found in blocks of rows.
+
+    The bound is the one of ``survivors`` before rounding up, so no pair that it keeps is missed.
+    """
+    _, _, n, _, bits = cols
+    words = [np.ascontiguousarray(bits[a:b, w]) for w in range(WORDS)]
+    most = (n[a:b] * ((1 - threshold) / (1 + threshold)) + 1e-6).astype(np.float32)
+    for x in range(0, b - a, rows):
+        y = min(x + rows, b - a)
+        apart = np.zeros((y - x, b - a - x), np.uint16)
+        for w in words:
+            apart += np.bitwise_count(w[x:y, None] ^ w[None, x:])
+        i, j = np.nonzero(apart <= most[x:y, None] + most[None, x:])
+        later = j > i
+        yield i[later] + a + x, j[later] + a + x
+
+
 def compare_groups(rows: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
     """(a, b): the pairs of each key's group that pass the filters."""
     # groups beyond a block are cut into blocks; each pair of blocks is a group of its own
@@ -223,8 +243,16 @@ def compare_groups(rows: DataFrame, threshold: float, block: int = 4096) -> Data
             cols = (*(table.column(c).to_numpy() for c in ("doc", "label")), *(table.column(c).to_numpy().astype(np.int64) for c in ("n", "pos")), bits)
             side = table.column("side").to_numpy()
             edge = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+            out = [np.empty((0, 2), np.int64)]
+            wide = np.flatnonzero(np.diff(edge) > DENSE)
+            for g in wide.tolist():
+                for i, j in dense_pairs(cols, int(edge[g]), int(edge[g + 1]), threshold):
+                    apart = (side[i] < 0) | (side[i] != side[j])
+                    out.append(survivors(cols, i[apart], j[apart], threshold))
             end = np.repeat(edge[1:], np.diff(edge))
             each = end - np.arange(len(key)) - 1  # partners after each row of the group
+            for g in wide.tolist():
+                each[edge[g] : edge[g + 1]] = 0
             upto = np.cumsum(each)
             a = 0
             while a < len(key):
@@ -232,11 +260,11 @@ def compare_groups(rows: DataFrame, threshold: float, block: int = 4096) -> Data
                 i = np.repeat(np.arange(a, b), each[a:b])
                 j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(each[a:b]) - each[a:b], each[a:b])
                 apart = (side[i] < 0) | (side[i] != side[j])
-                out = survivors(cols, i[apart], j[apart], threshold)
-                if len(out):
-                    out = np.unique(out, axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+                out.append(survivors(cols, i[apart], j[apart], threshold))
                 a = b
+            found = np.unique(np.concatenate(out), axis=0)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
         for b in batches:
             rest.append(b)
@@ -299,7 +327,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
 
 
-def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 1000, block: int = 4096) -> DataFrame:
+def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 3000, block: int = 4096) -> DataFrame:
     """(first_id, other_id): every record of a group with its group's smallest id."""
     rows = stage(keyed(df, id, body), "near-keys")
     groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("letters").alias("letters")), "near-texts")

@@ -59,10 +59,19 @@ def test_one_family_and_empty(spark):
         t[rng.randrange(120)] = chr(0x4E00 + rng.randrange(3000))
         rows.append((i, "".join(t)))
     df = spark.createDataFrame(rows + rows[:50], "bank_id long, body string")
-    assert near_found(df, block=64).count() == 399
+    assert near_found(df, block=64).count() == 399 and near_found(df).count() == 399
     assert near_found(df.limit(0)).collect() == []
 
 
+def test_dense_groups_equal_brute_force(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("天地玄黄宇宙洪荒") for _ in range(6)) for _ in range(14)]
+    rows = [(i, "".join(rng.choice(words) for _ in range(9))) for i in range(260)]
+    df = spark.createDataFrame(rows, "bank_id long, body string")
+    for rare in (3000, 20):
+        assert sorted(map(tuple, near_found(df, rare=rare).collect())) == brute(rows)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (5, 5)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))

@@ -36,7 +36,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark).rstrip('/')}/sheafline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._stage = at
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Remove stage tables that nothing reads any more, so that a long job's disk use stays that of its live stages."""
+    for df in tables:
+        at = df.__dict__.pop("_stage", None)
+        if at:
+            jvm = df.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -49,6 +49,14 @@ def text_to_tex(s: str) -> str:
     return merge_formulas(_PRIVATE.sub("", s).translate(_TEXT))
 
 
+_LABELS = str.maketrans({k: f"${v}$" for k, v in MATH.items() if not k.isascii()} | {k: v for k, v in PLAIN.items()} | {"\xa0": " ", "\u200b": None})
+
+
+def patch_labels(s: str) -> str:
+    """Text exported from a drawing: signs become commands, its own commands stay."""
+    return _PRIVATE.sub("", s).translate(_LABELS)
+
+
 def math_to_tex(s: str) -> str:
     """Text inside a formula: signs as commands, other scripts as text, specials escaped once."""
     out, word = "", False

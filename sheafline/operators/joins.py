@@ -60,6 +60,43 @@ def resolve_files(refs: DataFrame, files: DataFrame, path: str = "path", extensi
     return refs.join(hit, path, "left_anti")
 
 
+def dead_links(docs: DataFrame, files: DataFrame) -> DataFrame:
+    """(path, link): links of documents to files that are not there, read relative to the document.
+
+    ``docs`` has path and links, an array; addresses, anchors and mail links are left out.
+    """
+    each_ = docs.select("path", F.explode("links").alias("link")).where(~F.col("link").rlike(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:|#|//)"))
+    bare = F.regexp_replace("link", r"[#?].*$", "")
+    start = F.concat(F.regexp_replace("path", r"[^/]*$", ""), bare)
+    parts = F.filter(F.split(F.when(bare.startswith("/"), bare).otherwise(start), "/"), lambda p: ~p.isin("", "."))
+    up = F.aggregate(parts, F.array().cast("array<string>"), lambda a, p: F.when(p == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(p))))
+    whole = each_.withColumn("goal", F.concat(F.when(start.startswith("/"), F.lit("/")).otherwise(F.lit("")), F.array_join(up, "/")))
+    there = files.select(F.col("path").alias("goal")).distinct()
+    folders = there.select(F.regexp_replace("goal", r"/[^/]*$", "").alias("goal")).distinct()
+    return whole.join(there.unionByName(folders).distinct(), "goal", "left_anti").select("path", "link")
+
+
+def complete(manifests: DataFrame, files: DataFrame) -> DataFrame:
+    """(source, listed, missing): how many files each manifest lists and how many of them are not there.
+
+    ``manifests`` has source and images, an array of paths; one that lists none is complete.
+    """
+    wide = manifests.select("source", F.explode_outer("images").alias("path"))
+    hit = wide.join(files.select("path", F.lit(1).alias("there")).distinct(), "path", "left")
+    return hit.groupBy("source").agg(F.count("path").alias("listed"), F.count_if(F.col("path").isNotNull() & F.col("there").isNull()).alias("missing"))
+
+
+def crops_of_documents(docs: DataFrame, crops: DataFrame) -> DataFrame:
+    """(path, source, targets): the crops that a document shows, by source picture, in order of their names.
+
+    ``docs`` has path and images, an array of stems; ``crops`` has source and target.
+    """
+    stem = F.regexp_replace(F.element_at(F.split("target", "/"), -1), r"\.[^.]*$", "")
+    used = docs.select("path", F.explode(F.array_distinct("images")).alias("stem"))
+    both = used.join(crops.select("source", "target", stem.alias("stem")), "stem")
+    return both.groupBy("path", "source").agg(F.array_sort(F.collect_set("target")).alias("targets"))
+
+
 def first_hit(keys: DataFrame, candidates: DataFrame, key: str, value: str, priority: str) -> DataFrame:
     """(key, value): the candidate of least priority, ties by value; null where there is none."""
     best = candidates.groupBy(key).agg(F.min_by(value, F.struct(priority, value)).alias(value))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sheafline import schema
 from sheafline.functions.text import option_letters, strip_comment
 from sheafline.operators.aggregates import outer_items
+from sheafline.operators.joins import overlapping
 from sheafline.operators.parse import field_names, image_refs, section
 
 CJK = "一-鿿"
@@ -238,6 +239,36 @@ def boxes(df: DataFrame) -> DataFrame:
     return emit(df.where(~F.coalesce(inside, F.lit(False))), finding("box", "error", F.concat_ws(",", "x0", "y0", "x1", "y1")))
 
 
+def recipes(crops: DataFrame, pictures: DataFrame, used: DataFrame) -> DataFrame:
+    """Invalid crops, boxes outside their picture, unknown sources or targets, targets of another size
+    (with trimming, of a larger one), targets given twice, crops that overlap, pictures that nothing uses.
+
+    ``crops`` has year, region, source, pos, x0, y0, x1, y1, target, trims, valid; ``pictures`` has year,
+    region, path, w, h, format (that of its bytes); ``used`` has year, region, path.
+    """
+    key = ["year", "region"]
+    of = lambda name: pictures.select(*key, F.col("path").alias(name), F.col("w").alias(f"{name}_w"), F.col("h").alias(f"{name}_h"), F.col("format").alias(f"{name}_f"))
+    rows = crops.join(of("source"), [*key, "source"], "left").join(of("target"), [*key, "target"], "left")
+    ok = F.col("valid") & F.col("source_w").isNotNull()
+    inside = (F.col("x0") >= 0) & (F.col("y0") >= 0) & (F.col("x1") <= F.col("source_w")) & (F.col("y1") <= F.col("source_h")) & (F.col("x0") < F.col("x1")) & (F.col("y0") < F.col("y1"))
+    w, h, tw, th = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.col("target_w"), F.col("target_h")
+    size = F.when(F.col("trims"), (tw > w) | (th > h)).otherwise((tw != w) | (th != h))
+    ends = F.lower(F.regexp_extract("target", r"\.([^.]*)$", 1))
+    out = emit(
+        rows,
+        F.when(~F.col("valid"), finding("recipe", "error", F.coalesce("target", F.lit("")))),
+        F.when(F.col("valid") & F.col("source_w").isNull(), finding("recipe-source", "error", F.coalesce("source", F.lit("")))),
+        F.when(F.col("valid") & tw.isNull(), finding("recipe-target", "error", F.coalesce("target", F.lit("")))),
+        F.when(ok & ~inside, finding("recipe-box", "error", F.concat_ws(",", "x0", "y0", "x1", "y1"))),
+        F.when(ok & inside & size, finding("recipe-size", "error", F.col("target"))),
+        F.when(tw.isNotNull() & (F.replace(ends, F.lit("jpeg"), F.lit("jpg")) != F.col("target_f")), finding("recipe-format", "error", F.col("target"))),
+    )
+    twice = emit(crops.where("target is not null").groupBy(*key, "target").count().where("count > 1"), finding("recipe-twice", "error", F.col("target")))
+    pairs = overlapping(crops.where("valid").withColumn("id", F.col("pos").cast("long")), [*key, "source"], "id")
+    orphan = pictures.select(*key, "path").join(crops.select(*key, F.col("target").alias("path")), [*key, "path"], "left_anti").join(crops.select(*key, F.col("source").alias("path")), [*key, "path"], "left_anti").join(used, [*key, "path"], "left_anti")
+    return out.unionByName(twice).unionByName(emit(pairs, finding("recipe-overlap", "warning", F.concat_ws("/", "source", "a", "b")))).unionByName(emit(orphan, finding("recipe-orphan", "warning", F.col("path"))))
+
+
 def registry(entries: DataFrame, used: DataFrame, sources: DataFrame) -> DataFrame:
     """Redraw registry: entries given twice or with an absolute path, references not registered,
     entries not used, sources neither registered nor used. A null original is a declared none.

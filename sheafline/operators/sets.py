@@ -19,6 +19,22 @@ def source_masks(sources: dict[str, DataFrame]) -> DataFrame:
     return out.groupBy("token").agg(F.bit_or("bit").alias("mask"))
 
 
+def material_report(df: DataFrame, key: list[str], engines: tuple[str, str, str], number: str = r"[0-9]+\.?[0-9]*", formula: str = r"\$[^$\n]+\$") -> DataFrame:
+    """(key, source_hash, report): what each of three recognitions of one source has alone.
+
+    ``df`` has the key and a text column per engine. Numbers are compared three ways, formulas of the
+    first two engines two ways; the hash covers the first two texts.
+    """
+    from sheafline.functions.text import set_text
+    from sheafline.operators.aggregates import source_hash
+
+    found = lambda c, p: F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(p), F.lit(0)))
+    numbers, formulas = [found(e, number) for e in engines], [found(e, formula) for e in engines[:2]]
+    lines_ = [F.concat(F.lit(f"{e} alone: "), set_text(F.array_except(F.array_except(numbers[i], numbers[(i + 1) % 3]), numbers[(i + 2) % 3]))) for i, e in enumerate(engines)]
+    lines_ += [F.concat(F.lit(f"{engines[i]} formulas: "), set_text(F.array_except(formulas[i], formulas[1 - i]))) for i in (0, 1)]
+    return df.select(*key, source_hash(F.col(engines[0]), F.col(engines[1])).alias("source_hash"), F.concat_ws("\n", *lines_).alias("report"))
+
+
 def only_in(masks: DataFrame, i: int) -> DataFrame:
     """Tokens of one source alone."""
     return masks.where(F.col("mask") == 1 << i).select("token")

@@ -45,13 +45,61 @@ def parents(files: DataFrame, *patterns: str) -> DataFrame:
     return out.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct()
 
 
-def markdown_roots(files: DataFrame, root: str, skip: tuple[str, ...] = (".git", "build"), generated: tuple[str, ...] = ()) -> DataFrame:
-    """Markdown files: at the root only the top level, below other folders all; no generated ones."""
+def markdown_roots(files: DataFrame, root: str, folders: tuple[str, ...] = (), skip: tuple[str, ...] = (".git", "build"), generated: tuple[str, ...] = ()) -> DataFrame:
+    """Markdown files: those right under the root, and all below the given folders of it; no generated ones."""
     rel = F.regexp_replace("path", "^(?:file:/*)?/?" + root.strip("/") + "/", "")
-    kept = files.where(F.col("extension") == "md").withColumn("rel", rel).where(~F.col("name").isin(*generated))
+    kept = files.where(F.col("extension") == "md").withColumn("rel", rel).where(~F.col("name").isin(*generated) if generated else F.lit(True))
+    wanted = ~F.col("rel").contains("/")
+    for f in folders:
+        wanted = wanted | F.col("rel").startswith(f.strip("/") + "/")
     for s in skip:
-        kept = kept.where(~F.array_contains(F.split("rel", "/"), s))
-    return kept.drop("rel")
+        wanted = wanted & ~F.array_contains(F.split("rel", "/"), s)
+    return kept.where(wanted).drop("rel")
+
+
+def sibling_logs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, text) of compile logs: those named, and for a source those in its folder; each once."""
+    wanted = [p for p in paths if not p.endswith(".tex")] + [p.rpartition("/")[0] + "/*.log" for p in paths if p.endswith(".tex")]
+    return read_named(spark, wanted).dropDuplicates(["path"])
+
+
+def paper_facts(papers: DataFrame, files: DataFrame) -> DataFrame:
+    """(year, region, path, questions, figs, student, teacher, placeholder) of paper folders.
+
+    ``papers`` has path and text, ``files`` is a listing. The main source of a folder is the one named
+    like it, else the first by name.
+    """
+    folder, name = F.regexp_replace("path", r"/[^/]*$", ""), F.regexp_extract("path", r"([^/]*)\.tex$", 1)
+    own = papers.select("path", "text", folder.alias("folder"), *path_key(F.col("path")), name.alias("name")).where("year is not null")
+    main = own.groupBy("folder", "year", "region").agg(F.min_by(F.struct("path", "text"), F.struct((F.col("name") != F.col("region")).cast("int"), "name")).alias("m"))
+    parent = F.regexp_replace("path", r"/[^/]*$", "")
+    listed = files.select(F.regexp_replace(parent, r"/figs$", "").alias("folder"), (F.element_at(F.split(parent, "/"), -1) == "figs").cast("int").alias("fig"), F.col("name").contains("学生").cast("int").alias("s"), F.col("name").contains("教师").cast("int").alias("t"))
+    sums = listed.groupBy("folder").agg(F.sum("fig").alias("figs"), F.max("s").alias("s"), F.max("t").alias("t"))
+    text = F.col("m.text")
+    out = main.join(sums, "folder", "left")
+    return out.select("year", "region", "m.path", F.regexp_count(text, F.lit(r"(?m)^%%\s*number\s*[:：]")).cast("long").alias("questions"), F.coalesce("figs", F.lit(0)).alias("figs"), (F.coalesce("s", F.lit(0)) > 0).alias("student"), (F.coalesce("t", F.lit(0)) > 0).alias("teacher"), F.regexp_count(text, F.lit("本题原卷及材料中未提供详解")).cast("long").alias("placeholder"))
+
+
+def read_recipes(df: DataFrame, text: str = "text") -> DataFrame:
+    """(source, pos, x0, y0, x1, y1, target, trims, relabels, valid) of crop recipe texts, one row per crop.
+
+    ``trim`` may be a boolean or settings, ``erase_labels`` a boolean or a name: both come out as whether
+    they are asked for. A text that is no JSON, or a rectangle without four numbers, gives ``valid`` false.
+    """
+    v = F.try_parse_json(F.col(text))
+    asked = lambda x: F.coalesce(F.try_variant_get(x, "$", "boolean"), F.schema_of_variant(x).rlike("OBJECT|STRING"), F.lit(False))
+    entries = df.select(F.explode_outer(F.try_variant_get(v, "$.entries", "array<variant>")).alias("e"), v.isNotNull().alias("json"))
+    get = lambda k, kind: F.try_variant_get(F.col("e"), k, kind)
+    crops = entries.select(get("$.source", "string").alias("source"), asked(get("$.trim", "variant")).alias("trims"), asked(get("$.erase_labels", "variant")).alias("relabels"), F.posexplode_outer(get("$.crops", "array<variant>")).alias("pos", "c"), "json")
+    rect = F.try_variant_get("c", "$.rect", "array<long>")
+    return crops.select("source", "pos", *(F.get(rect, i).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))), F.try_variant_get("c", "$.target", "string").alias("target"), "trims", "relabels", (F.col("json") & (F.coalesce(F.size(rect), F.lit(0)) == 4)).alias("valid"))
+
+
+def read_registry(df: DataFrame, text: str = "text") -> DataFrame:
+    """(tikz, original, declared, note) of redraw registry texts; an explicit null original is declared, a missing one is not."""
+    v = F.try_parse_json(F.col(text))
+    entries = df.select(F.explode(F.try_variant_get(v, "$.entries", "array<variant>")).alias("e"))
+    return entries.select(*(F.try_variant_get("e", f"$.{n}", "string").alias(n) for n in ("tikz", "original")), F.try_variant_get("e", "$.original", "variant").isNotNull().alias("declared"), F.try_variant_get("e", "$.note", "string").alias("note"))
 
 
 def path_key(path: Column) -> list[Column]:

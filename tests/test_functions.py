@@ -82,6 +82,7 @@ def test_html(spark):
         assert h.convert(fragment) == want, fragment
     assert h.convert(None) is None and isinstance(h.convert("<p" * 3000), str)
     assert h.blocks('<p>图<img src="x/1.png"></p>', {"1.png": "01.png"}) == ["图\\onepicture{figs/01.png}"]
+    assert h.patch_labels("\\put(α){①⑪}") == "\\put($\\alpha$){①\\textcircled{11}}"
     assert h.merge_formulas("$m$$v$$_{0}$ + $mgt$") == "$mv_{0} + mgt$" and h.merge_formulas("$a$, $b$") == "$a$, $b$"
     assert h.merge_formulas("$x^{a}$ $^{b}$") == "$x^{a}$ $^{b}$"
     df = spark.createDataFrame([(1, "<table><tr><td rowspan='2'>a</td><td>b</td></tr><tr><td>c</td></tr></table>"), (2, None), (3, "x")], "id int, html string")

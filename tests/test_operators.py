@@ -188,3 +188,31 @@ def test_merges(spark):
     assert merge.overlay({"a": {"x": 1, "y": 2}}, {"a": {"y": 3}, "b": 4}) == {"a": {"x": 1, "y": 3}, "b": 4}
     masks = sets.source_masks({c: spark.createDataFrame([(x,) for x in v], "token string") for c, v in {"a": "12", "b": "23", "c": "3"}.items()})
     assert dict(map(tuple, masks.collect())) == {"1": 1, "2": 3, "3": 6} and sets.only_in(masks, 0).first().token == "1"
+
+
+def test_recipes(spark):
+    s = "year string, region string, source string, pos int, x0 long, y0 long, x1 long, y1 long, target string, trims boolean, valid boolean"
+    k = ("y", "r")
+    crops = spark.createDataFrame([(*k, "a.png", 0, 0, 0, 50, 40, "t1.png", False, True), (*k, "a.png", 1, 40, 30, 90, 80, "t2.png", True, True), (*k, "a.png", 2, 0, 0, 500, 40, "t3.png", False, True), (*k, "b.png", 3, 0, 0, 5, 5, "t1.png", False, True), (*k, "a.png", 4, None, None, None, None, None, False, False)], s)
+    pictures = spark.createDataFrame([(*k, "a.png", 100, 100, "png"), (*k, "t1.png", 50, 40, "png"), (*k, "t2.png", 60, 40, "jpg"), (*k, "z.png", 1, 1, "png")], "year string, region string, path string, w int, h int, format string")
+    used = spark.createDataFrame([(*k, "q.png")], "year string, region string, path string")
+    got = sorted(c for c, _, _ in found(rules.recipes(crops, pictures, used)))
+    assert got == ["recipe", "recipe-box", "recipe-format", "recipe-orphan", "recipe-overlap", "recipe-overlap", "recipe-overlap", "recipe-size", "recipe-source", "recipe-target", "recipe-twice"]
+
+
+def test_links_manifests_documents(spark):
+    files = spark.createDataFrame([("/d/a.md",), ("/d/sub/b.png",)], "path string")
+    docs = spark.createDataFrame([("/d/a.md", ["sub/b.png", "./sub", "../d/a.md#x", "c.md", "https://x", "#y", "/d/z"])], "path string, links array<string>")
+    assert sorted(r.link for r in joins.dead_links(docs, files).collect()) == ["/d/z", "c.md"]
+    m = spark.createDataFrame([("p", ["/d/a.md", "/d/no"]), ("q", [])], "source string, images array<string>")
+    assert sorted(map(tuple, joins.complete(m, files).collect())) == [("p", 2, 1), ("q", 0, 0)]
+    d = spark.createDataFrame([("x.tex", ["01", "02", "01"])], "path string, images array<string>")
+    crops = spark.createDataFrame([("s.png", "figs/02.png"), ("s.png", "figs/01.png"), ("t.png", "figs/09.png")], "source string, target string")
+    assert [tuple(r) for r in joins.crops_of_documents(d, crops).collect()] == [("x.tex", "s.png", ["figs/01.png", "figs/02.png"])]
+
+
+def test_material_report(spark):
+    df = spark.createDataFrame([("y", "1 2 $a$", "2 3 $b$", "3 4"), ("z", None, "", None)], "year string, a string, b string, c string")
+    got = {r.year: r.report.split("\n") for r in sets.material_report(df, ["year"], ("a", "b", "c")).collect()}
+    assert got["y"] == ["a alone: 1", "b alone: （无）", "c alone: 4", "a formulas: $a$", "b formulas: $b$"]
+    assert all(x.endswith("（无）") for x in got["z"])

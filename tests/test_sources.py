@@ -106,3 +106,22 @@ def test_retry():
     assert retry(step) == "ok"
     with pytest.raises(OSError):
         retry(lambda: (_ for _ in ()).throw(OSError()), 2)
+
+
+def test_facts_recipes_registries(spark, tmp_path):
+    folder = tmp_path / "2020" / "甲"
+    (folder / "figs").mkdir(parents=True)
+    for name, text in {"甲.tex": "%% number: 1\n%% number：2\n本题原卷及材料中未提供详解", "a.tex": "x", "figs/1.png": "p", "甲-学生.pdf": "p", "b.log": "Missing character: There is no ② in font f!"}.items():
+        (folder / name).write_text(text)
+    facts = s.paper_facts(s.read_files(spark, str(tmp_path)), s.list_files(spark, str(tmp_path))).first()
+    assert (facts.year, facts.region, facts.questions, facts.figs, facts.student, facts.teacher, facts.placeholder) == ("2020", "甲", 2, 1, True, False, 1)
+    assert s.missing_glyphs(s.sibling_logs(spark, [str(folder / "甲.tex")])).first().glyph == "②"
+    (tmp_path / "README.md").write_text("r")
+    (folder / "n.md").write_text("n")
+    listed = s.list_files(spark, str(tmp_path))
+    assert s.markdown_roots(listed, str(tmp_path)).count() == 1 and s.markdown_roots(listed, str(tmp_path), ("2020",)).count() == 2
+    recipe = '{"entries": [{"source": "s", "trim": {"x": 1}, "erase_labels": "auto", "crops": [{"rect": [0, 1, 2, 3], "target": "t"}, {"rect": [0], "target": "u"}]}, {"source": "q", "trim": false}]}'
+    rows = s.read_recipes(spark.createDataFrame([(recipe,), ("{bad",)], "text string")).collect()
+    assert sorted((r.source or "", r.target or "", r.x1 or 0, r.trims, r.relabels, r.valid) for r in rows) == [("", "", 0, False, False, False), ("q", "", 0, False, False, False), ("s", "t", 2, True, True, True), ("s", "u", 0, True, True, False)]
+    registry = '{"entries": [{"tikz": "a", "original": null}, {"tikz": "b"}, {"tikz": "c", "original": "o", "note": "n"}]}'
+    assert sorted((r.tikz, r.original, r.declared) for r in s.read_registry(spark.createDataFrame([(registry,)], "text string")).collect()) == [("a", None, True), ("b", None, False), ("c", "o", True)]

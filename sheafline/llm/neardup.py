@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from sheafline.llm.copies import members
 from sheafline.llm.letters import FieldParser, letters
-from sheafline.session import spread, stage
+from sheafline.session import spread, stage, unstage
 
 SLOTS = 1 << 20
 WORDS = 6  # 64-bit words of parity bits, the first half for order 2, the second for order 3
@@ -126,8 +126,10 @@ def parity(gram: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1)
 
 
-def prelinks(docs: DataFrame, bands: int = 6, rows_each: int = 3) -> DataFrame:
-    """(a, b): each text with the least text that has the same three smallest trigrams under a random order."""
+def prelinks(docs: DataFrame, bands: int = 8, rows_each: int = 5) -> DataFrame:
+    """(a, b): each text with the least text that has the same smallest trigrams under five random orders."""
+
+    odd = mix(np.arange(bands * rows_each, dtype=np.uint64), 40) | np.uint64(1)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,21 +140,26 @@ def prelinks(docs: DataFrame, bands: int = 6, rows_each: int = 3) -> DataFrame:
                 if not len(full):
                     continue
                 starts = (np.cumsum(size) - size)[full]
+                h = mix(gram, 16)
                 keys = []
                 for band in range(bands):
                     key = np.full(len(full), band, np.uint64)
                     for r in range(rows_each):
-                        key = mix(key ^ np.minimum.reduceat(mix(gram, 16 + band * rows_each + r), starts), r)
+                        # an odd factor permutes the 64-bit hashes, so the least product is a random trigram of the text
+                        key = mix(key ^ np.minimum.reduceat(h * odd[band * rows_each + r], starts), r)
                     keys.append(key.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(ids[x:y][full], bands))], names=["key", "doc"])
 
-    keys = docs.select("doc", "letters").mapInArrow(rows, "key long, doc long")
+    keys = stage(docs.select("doc", "letters").mapInArrow(rows, "key long, doc long"), "near-prelinks")
     least = keys.groupBy("key").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return keys.join(least, "key").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
 
 
-def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int) -> DataFrame:
-    """(key, doc, label, n, pos, bits): a row for each key of order 1 under which a text is looked for."""
+def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int, pairs_only: bool = False) -> DataFrame:
+    """(key, doc, label, n, pos, bits): a row for each key of order 1 under which a text is looked for.
+
+    ``pairs_only`` gives the keys made of two frequent tokens alone, the only ones whose groups are not bounded by ``rare``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 1 << 30).astype(np.int32))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +181,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int)
                 prefix = (size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1)[owner]
                 single = (pos < prefix) & (seen > 1) & ((seen <= rare) | (size[owner] == 1))
                 at = np.flatnonzero(single)
-                parts = [(h[at], owner[at], pos[at])]
+                parts = [(h[:0], owner[:0], pos[:0])] if pairs_only else [(h[at], owner[at], pos[at])]
                 common = np.flatnonzero((pos <= prefix) & (seen > rare))
                 if len(common):
                     begin = np.flatnonzero(np.append(True, owner[common][1:] != owner[common][:-1]))
@@ -227,10 +234,13 @@ def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, threshold: float,
         yield i[later] + a + x, j[later] + a + x
 
 
-def compare_groups(rows: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
-    """(a, b): the pairs of each key's group that pass the filters."""
+def compare_groups(rows: DataFrame, unbounded: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
+    """(a, b): the pairs of each key's group that pass the filters.
+
+    ``unbounded`` has the keys of those rows whose groups may exceed a block.
+    """
     # groups beyond a block are cut into blocks; each pair of blocks is a group of its own
-    large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > block)
+    large = unbounded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > block)
     large = stage(large, "large-keys")
     schema = "a long, b long"
 
@@ -313,7 +323,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of its component, for every node of an edge (a, b)."""
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
-    while True:
+    while True:  # every round reads a table and writes the next, which then is all that is needed
         state = now.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if state == before or not state[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
@@ -324,7 +334,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = stage(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        now = stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        old, now = now, stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        unstage(old, large)
 
 
 def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 3000, block: int = 4096) -> DataFrame:
@@ -337,8 +348,11 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     first = stage(verified(prelinks(docs), docs, threshold).unionByName(links), "near-first")
     label = components(first)
     labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
-    keys = stage(signatures(labelled, frequencies(docs), threshold, rare), "near-signatures")
-    found = verified(compare_groups(keys, threshold, block).distinct(), docs, threshold)
+    labelled, counts = stage(labelled, "near-labelled"), frequencies(docs)
+    keys = signatures(labelled, counts, threshold, rare)
+    # a rare token's group has at most ``rare`` rows, so only pairs of frequent tokens can exceed a block
+    unbounded = signatures(labelled, counts, threshold, rare, pairs_only=rare <= block)
+    found = verified(compare_groups(keys, unbounded.select("key"), threshold, block).distinct(), docs, threshold)
     final = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
     final = final.select(F.col("node").alias("first_id"), "label")
     own = rows.select("id", F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.lit(True).alias("maybe"))

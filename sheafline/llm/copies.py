@@ -151,7 +151,8 @@ def copies_found(df: DataFrame, id: str = "bank_id", body: str = "body", **bound
 
 
 def collapse(df: DataFrame, id: str = "bank_id", body: str = "body", **bounds: int) -> DataFrame:
-    """(id, copies): one row per distinct body, the smallest id kept, with its number of copies."""
+    """(id, copies, duplicateId): one row per distinct body, the smallest id kept, with its number of copies;
+    ``duplicateId`` names the kept record as it would stand in each of its copies."""
     groups, rows = find_copies(df, id, body, **bounds)
     single = rows.where("not maybe").select("id", F.lit(1).cast("long").alias("copies"))
-    return single.unionByName(groups.select(F.col("first_id").alias("id"), "copies")).withColumnRenamed("id", id)
+    return single.unionByName(groups.select(F.col("first_id").alias("id"), "copies")).withColumn("duplicateId", F.col("id")).withColumnRenamed("id", id)

@@ -166,34 +166,55 @@ class ItemIndex:
         return any(item[i : i + run] in text for i in range(len(item) - run + 1))
 
 
+    def overlap(self, text: str, d: int) -> int:
+        """The length of the longest run of an item's letters and digits in a text."""
+        item, best = self.texts[d], self.run - 1
+        for i in range(len(item)):
+            while i + best + 1 <= len(item) and item[i : i + best + 1] in text:
+                best += 1
+        return best
+
+
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def leaks_found(corpus: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "eval_id", item_text: str = "text", run: int = 50, most_chars: int = 8_000_000) -> DataFrame:
-    """(id, item_id) of every document that holds ``run`` consecutive letters and digits of an item."""
+def leaks_found(corpus: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "eval_id", item_text: str = "text", run: int = 50, most_chars: int = 8_000_000, answer: str | None = None) -> DataFrame:
+    """(id, item_id) of every document that holds ``run`` consecutive letters and digits of an item.
+
+    With ``answer``, a column of the items, two more columns tell how much leaked: ``overlap``, the
+    longest run of the question, and ``answered``, whether the letters and digits of the answer occur
+    in the document too (never for an item without an answer).
+    """
     spark = corpus.sparkSession
     ids = corpus.schema[id].dataType
     schema = T.StructType([T.StructField(id, ids), T.StructField(item_id, items.schema[item_id].dataType)])
+    if answer:
+        schema = T.StructType([*schema.fields, T.StructField("overlap", T.IntegerType()), T.StructField("answered", T.BooleanType())])
     slim = spread(corpus.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).where("text is not null"))
     blocks, held = [[]], 0
-    for r in items.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t")).distinct().orderBy("i").toLocalIterator():
+    for r in items.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t"), (F.col(answer).cast("string") if answer else F.lit("")).alias("a")).distinct().orderBy("i").toLocalIterator():
         own = letters(r.t)
         if len(own) >= run:
             if held + len(own) > most_chars:
                 blocks, held = [*blocks, []], 0
-            blocks[-1].append((r.i, own))
+            blocks[-1].append((r.i, own, letters(r.a)))
             held += len(own)
 
-    def scan(block: list[tuple[int, str]]) -> DataFrame:
+    def scan(block: list[tuple[int, str, str]]) -> DataFrame:
         index = spark.sparkContext.broadcast(block)
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = ItemIndex(index.value, run)
+            own = ItemIndex([(i, t) for i, t, _ in index.value], run)
+            answers = [a for _, _, a in index.value]
             for b in batches:
-                pairs = own.leaked([letters(t) for t in b.column(1).to_pylist()])
+                texts = [letters(t) for t in b.column(1).to_pylist()]
+                pairs = own.leaked(texts)
                 if pairs:
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([t for t, _ in pairs])), pa.array([own.ids[d] for _, d in pairs])], names=[id, item_id])
+                    cols = [b.column(0).take(pa.array([t for t, _ in pairs])), pa.array([own.ids[d] for _, d in pairs])]
+                    if answer:
+                        cols += [pa.array([own.overlap(texts[t], d) for t, d in pairs], pa.int32()), pa.array([bool(answers[d]) and answers[d] in texts[t] for t, d in pairs])]
+                    yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
         return slim.mapInArrow(rows, schema)
 

@@ -67,6 +67,11 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks_found(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p8_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with the longest run of the question and whether the answer stands there too."""
+    return leaks_found(table(spark, folder, "documents"), table(spark, folder, "eval_items"), answer="answer")
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every distinct mention of personal information in a document."""
     return personal_found(table(spark, folder, "documents"))
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
+    "p8_overlap": p8_overlap,
     "p9_found": p9_found,
     "p9_redacted": p9_redacted,
 }

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from sheafline.llm.leaks import ItemIndex, leaks_found
 from sheafline.llm.letters import letters
 
@@ -32,5 +34,7 @@ def test_rows(spark):
     want = [(1, 7), (5, 7)]
     assert sorted(map(tuple, leaks_found(corpus, items).collect())) == want
     assert sorted(map(tuple, leaks_found(corpus, items, most_chars=1).collect())) == want
+    told = leaks_found(corpus.withColumn("text", F.concat("text", F.lit(" A"))), items, answer="answer").collect()
+    assert sorted((r.doc_id, r.eval_id, r.overlap, r.answered) for r in told) == [(1, 7, 55, True), (5, 7, 60, True), (5, 7, 60, True)][: len(told)]
     assert leaks_found(corpus, items.limit(0)).collect() == [] and leaks_found(corpus.limit(0), items).collect() == []
     assert letters("Ab,c") == "abc"

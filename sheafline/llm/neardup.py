@@ -8,6 +8,7 @@ the threshold.
   size). Similar sets share a token among their first ``n - ceil(t n) + 1``; where a shared token
   is frequent, the next shared one is at most one place further, so frequent tokens are paired.
   Only records that meet under such a key are compared at all.
+  Sets of more than 512 trigrams are cut into parts by hash, of which one at least is as similar.
 * Orders 2 and 3 put one half of the (hashed) trigrams first. Under each, the prefix made of
   that half is kept as parity bits; similar sets differ in ``n1 + n2 - 2 overlap`` tokens at
   most, so parity bits that differ in more places rule a pair out, as do sizes and positions
@@ -21,7 +22,7 @@ instead of all pairs. Groups under rare keys are bounded by ``rare``; larger one
 blocks whose pairs of blocks go to different tasks. Nothing grows on the driver.
 
 Defined results: a null body belongs to no group; texts of fewer than three letters are grouped
-only with their copies; rows that repeat an id are one record; no candidate is ever dropped.
+only with their copies; ids are integers, and rows that repeat one are one record; no candidate is ever dropped.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from sheafline.llm.letters import FieldParser, letters
 from sheafline.session import spread, stage, unstage
 
 SLOTS = 1 << 20
+PART = 256  # sets of more than twice as many trigrams are cut into parts
 WORDS = 6  # 64-bit words of parity bits, the first half for order 2, the second for order 3
 PAIRS_AT_ONCE = 1 << 20
 #: Groups of more rows than this are compared in blocks of rows, smaller ones all at once.
@@ -72,10 +74,10 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of together about ``most`` characters."""
+    """Ranges of consecutive texts of together about ``most`` characters, of 4096 texts at most."""
     a, held = 0, 0
     for i, t in enumerate(texts):
-        if i > a and held + len(t) > most:
+        if i > a and (held + len(t) > most or i - a >= 4096):
             yield a, i
             a, held = i, 0
         held += len(t)
@@ -175,20 +177,35 @@ def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int,
                 bits = parity(gram, owner, n)
                 h = mix(gram)
                 seen = table[(h % np.uint64(SLOTS)).astype(np.int64)]
-                order = np.lexsort((h, seen, owner))
-                h, seen = h[order], seen[order]
-                pos = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
-                prefix = (size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1)[owner]
-                single = (pos < prefix) & (seen > 1) & ((seen <= rare) | (size[owner] == 1))
-                at = np.flatnonzero(single)
-                parts = [(h[:0], owner[:0], pos[:0])] if pairs_only else [(h[at], owner[at], pos[at])]
+                # long sets are cut into parts: if two sets are similar, so is at least one of their parts;
+                # similar sets differ by one level at most, so each is looked for at two
+                level = np.maximum(0, np.floor(np.log2(np.maximum(size, 1) / PART)).astype(np.int64))[owner]
+                again = np.flatnonzero(level)
+                at = np.concatenate([np.arange(len(h)), again])
+                level = np.concatenate([level, level[again] - 1])
+                part = (mix(gram, 7)[at] & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+                order = np.lexsort((h[at], seen[at], part, level, owner[at]))
+                h, seen, owner, level, part = h[at][order], seen[at][order], owner[at][order], level[order], part[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (level[1:] != level[:-1]) | (part[1:] != part[:-1])
+                start = np.flatnonzero(new)
+                length = np.diff(np.append(start, len(h)))
+                pos = np.arange(len(h)) - np.repeat(start, length)
+                length = np.repeat(length, length)
+                shared_least = np.ceil(threshold * length - 1e-9).astype(np.int64)
+                prefix = length - shared_least + 1
+                key = np.where(level > 0, mix(h, 11) + level.astype(np.uint64), h)
+                place = np.where(level > 0, 0, pos)  # positions bound the overlap of whole sets only
+                single = np.flatnonzero((pos < prefix) & (seen > 1) & ((seen <= rare) | (shared_least < 2)))
+                parts = [(key[:0], owner[:0], pos[:0])] if pairs_only else [(key[single], owner[single], place[single])]
                 common = np.flatnonzero((pos <= prefix) & (seen > rare))
                 if len(common):
-                    begin = np.flatnonzero(np.append(True, owner[common][1:] != owner[common][:-1]))
+                    group = np.cumsum(new)[common]
+                    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
                     for s, e in zip(begin, np.append(begin[1:], len(common))):
                         i, j = np.triu_indices(e - s, 1)
                         i, j = common[s + i], common[s + j]
-                        parts.append((mix(h[i] * np.uint64(3) ^ h[j], 5), owner[i], pos[i]))
+                        parts.append((mix(key[i] * np.uint64(3) ^ key[j], 5), owner[i], place[i]))
                 key, own, place = (np.concatenate(p) for p in zip(*parts))
                 for u in range(0, len(key), 1 << 16):
                     k, o, p = key[u : u + (1 << 16)], own[u : u + (1 << 16)], place[u : u + (1 << 16)]

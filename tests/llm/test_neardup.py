@@ -72,6 +72,23 @@ def test_dense_groups_equal_brute_force(spark):
         assert sorted(map(tuple, near_found(df, rare=rare).collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("rare", [3000, 6])
+def test_long_texts(spark, rare):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往") for _ in range(n))
+    rows = []
+    for i in range(90):
+        if i % 3 == 0:
+            base = word(rng.choice([40, 500, 560, 700, 1100, 2300]))
+        keep = int(len(base) * rng.choice([1, 0.95, 0.7, 0.6]))
+        t = list(base[:keep])
+        for _ in range(len(t) // 40):
+            t[rng.randrange(len(t))] = rng.choice("甲乙丙")
+        rows.append((i, "".join(t)))
+    df = spark.createDataFrame(rows, "bank_id long, body string")
+    assert sorted(map(tuple, near_found(df, rare=rare).collect())) == brute(rows)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (5, 5)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))

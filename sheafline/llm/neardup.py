@@ -102,19 +102,30 @@ def keyed(df: DataFrame, id: str, body: str) -> DataFrame:
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """How many texts hold a trigram, hashed into a fixed number of slots."""
+    """How many texts hold a trigram, hashed into a fixed number of slots.
+
+    Slots whose texts all carry one label count 1: nothing is left to find under their trigrams.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
+        low, high = np.full(SLOTS, np.iinfo(np.int64).max), np.full(SLOTS, np.iinfo(np.int64).min)
         for b in batches:
-            texts = b.column(0).to_pylist()
+            labels, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
             for x, y in slices(texts):
-                total += np.bincount((mix(trigrams(texts[x:y])[0]) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+                gram, size = trigrams(texts[x:y])
+                slot = (mix(gram) % np.uint64(SLOTS)).astype(np.int64)
+                own = np.repeat(labels[x:y], size)
+                total += np.bincount(slot, minlength=SLOTS)
+                np.minimum.at(low, slot, own)
+                np.maximum.at(high, slot, own)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(v[at] if k else at) for k, v in enumerate((at, total, low, high))], names=["slot", "n", "low", "high"])
 
     out = np.zeros(SLOTS, np.int64)
-    counted = docs.select("letters").mapInArrow(rows, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select("label", "letters").mapInArrow(rows, "slot long, n long, low long, high long").groupBy("slot")
+    counted = counted.agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counted = counted.select("slot", F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("n")).alias("n")).toPandas()
     out[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     return out
 
@@ -157,6 +168,15 @@ def prelinks(docs: DataFrame, bands: int = 8, rows_each: int = 5) -> DataFrame:
     return keys.join(least, "key").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
 
 
+def in_order(h: np.ndarray, seen: np.ndarray, part: np.ndarray, level: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The order by owner, level, part, rarity and hash; rows come in order of trigrams, which settles ties."""
+    if level.max() > 12:  # more parts than the packed form has room for
+        return np.lexsort((h, seen, part, level, owner))
+    pack = lambda x, n: x.astype(np.uint64) << np.uint64(n)
+    code = pack(owner, 52) | pack(level, 48) | pack(part, 36) | pack(np.minimum(seen, (1 << 20) - 1), 16) | h >> np.uint64(48)
+    return np.argsort(code, kind="stable")
+
+
 def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int, pairs_only: bool = False) -> DataFrame:
     """(key, doc, label, n, pos, bits): a row for each key of order 1 under which a text is looked for.
 
@@ -174,7 +194,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int,
                     continue
                 n = y - x
                 owner = np.repeat(np.arange(n), size)
-                bits = parity(gram, owner, n)
+                bits = np.zeros((n, WORDS * 8), np.uint8) if pairs_only else parity(gram, owner, n)
                 h = mix(gram)
                 seen = table[(h % np.uint64(SLOTS)).astype(np.int64)]
                 # long sets are cut into parts: if two sets are similar, so is at least one of their parts;
@@ -184,7 +204,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int,
                 at = np.concatenate([np.arange(len(h)), again])
                 level = np.concatenate([level, level[again] - 1])
                 part = (mix(gram, 7)[at] & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))).astype(np.int64)
-                order = np.lexsort((h[at], seen[at], part, level, owner[at]))
+                order = in_order(h[at], seen[at], part, level, owner[at])
                 h, seen, owner, level, part = h[at][order], seen[at][order], owner[at][order], level[order], part[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (owner[1:] != owner[:-1]) | (level[1:] != level[:-1]) | (part[1:] != part[:-1])
@@ -239,11 +259,14 @@ def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, threshold: float,
     The bound is the one of ``survivors`` before rounding up, so no pair that it keeps is missed.
     """
     _, _, n, _, bits = cols
-    words = [np.ascontiguousarray(bits[a:b, w]) for w in range(WORDS)]
-    most = (n[a:b] * ((1 - threshold) / (1 + threshold)) + 1e-6).astype(np.float32)
+    exact = (n[a:b] * ((1 - threshold) / (1 + threshold)) + 1e-6).astype(np.float32)
+    small = exact.max() < 120
+    # the first words alone rule most pairs out; a count that wraps to 0 only keeps a pair that ``survivors`` looks at again
+    words = [np.ascontiguousarray(bits[a:b, w]) for w in (0, 1, WORDS // 2, WORDS // 2 + 1)]
+    most = np.ceil(exact).astype(np.uint8) if small else exact
     for x in range(0, b - a, rows):
         y = min(x + rows, b - a)
-        apart = np.zeros((y - x, b - a - x), np.uint16)
+        apart = np.zeros((y - x, b - a - x), np.uint8 if small else np.uint16)
         for w in words:
             apart += np.bitwise_count(w[x:y, None] ^ w[None, x:])
         i, j = np.nonzero(apart <= most[x:y, None] + most[None, x:])
@@ -357,6 +380,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 3000, block: int = 4096) -> DataFrame:
     """(first_id, other_id): every record of a group with its group's smallest id."""
+    rare = min(rare, (1 << 20) - 1)  # as far as the packed order tells frequencies apart
     rows = stage(keyed(df, id, body), "near-keys")
     groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("letters").alias("letters")), "near-texts")
     docs = groups.select(F.col("first_id").alias("doc"), "letters")
@@ -365,7 +389,8 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     first = stage(verified(prelinks(docs), docs, threshold).unionByName(links), "near-first")
     label = components(first)
     labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
-    labelled, counts = stage(labelled, "near-labelled"), frequencies(docs)
+    labelled = stage(labelled, "near-labelled")
+    counts = frequencies(labelled)
     keys = signatures(labelled, counts, threshold, rare)
     # a rare token's group has at most ``rare`` rows, so only pairs of frequent tokens can exceed a block
     unbounded = signatures(labelled, counts, threshold, rare, pairs_only=rare <= block)

@@ -127,9 +127,9 @@ def _latinise(text: str) -> str:
             near = []
             for step in (-1, 1):
                 j = k + step
-                while 0 <= j < len(runs) and script[j] in "?S":
+                while 0 <= j < len(runs) and script[j] in "?S" and abs(runs[j][0] - a) < 60:
                     j += step
-                if 0 <= j < len(runs) and abs(runs[j][0] - a) < 60:
+                if 0 <= j < len(runs) and abs(runs[j][0] - a) < 60 and script[j] not in "?S":
                     near.append(script[j])
             greek = not _CYRILLIC.search(w)
             foreign = "O" in near

@@ -40,6 +40,7 @@ _WORD_END = re.compile(r"\\[A-Za-z]+$")
 _SCRIPT = re.compile(r"^([\^_])\{((?:[^{}]|\{[^{}]*\})*)\}$")
 _LAST_SCRIPT = re.compile(r"([\^_])\{((?:[^{}]|\{[^{}]*\})*)\}$")
 _FORMULA = re.compile(r"(?<!\\)((?:\\\\)*)\$((?:[^$\\]|\\.)*)\$", re.S)
+_NO_TAG = re.compile(r"<(?!!--)(?=[^<>]*(?:<|\Z))")
 _LINKS = set(" \t\n=+-<>")
 _INLINE_CLOSE, _DISPLAY_CLOSE = re.compile(r"\\\s*\)"), re.compile(r"\\\s*\]")
 
@@ -79,7 +80,7 @@ def join_formulas(a: str, b: str) -> str:
     """Two formulas side by side as one: scripts of one kind become one group, primes are grouped."""
     script = _SCRIPT.match(b)
     if script:
-        last = _LAST_SCRIPT.search(a)
+        last = _LAST_SCRIPT.search(a, max(0, len(a) - 2000))
         if last and last[1] == script[1]:
             return f"{a[: last.start()]}{last[1]}{{{_glue(last[2], script[2])}}}"
         if script[1] == "^" and "'" in a:
@@ -99,7 +100,7 @@ def merge_formulas(s: str) -> str:
         while k + 1 < len(found):
             n = found[k + 1]
             gap = s[end : n.start(2) - 1]
-            if not set(gap) <= _LINKS or gap and n[2][:1] in ("^", "_") and _LAST_SCRIPT.search(inner):
+            if not set(gap) <= _LINKS or gap and n[2][:1] in ("^", "_") and _LAST_SCRIPT.search(inner, max(0, len(inner) - 2000)):
                 break
             inner = inner + gap + n[2] if gap else join_formulas(inner, n[2])
             end, k = n.end(), k + 1
@@ -108,6 +109,16 @@ def merge_formulas(s: str) -> str:
     return "".join([*parts, s[done:]])
 
 
+def _prepared(fragment: str) -> str:
+    """A fragment without comments, and with signs that open no tag as text: the parser would look for their ends again and again."""
+    parts, at = [], 0
+    while (start := fragment.find("<!--", at)) >= 0:
+        parts.append(fragment[at:start])
+        end = fragment.find("-->", start + 4)
+        at = end + 3 if end >= 0 else len(fragment)
+    return _NO_TAG.sub("&lt;", "".join([*parts, fragment[at:]]))
+
+
 class _Fragment(HTMLParser):
     """Blocks of typeset text; formulas may span tags."""
 
@@ -119,7 +130,7 @@ class _Fragment(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.images, self.blocks, self.out, self.ends = images, [], [], []
         self.formula: list[str] | None = None
-        self.display = False
+        self.display = self.filled = False
         self.depth_var = self.hidden = 0
         self.table: list[list[tuple[str, int, int]]] | None = None
         self.cell: list[str] | None = None
@@ -128,12 +139,13 @@ class _Fragment(HTMLParser):
     # -- output ---------------------------------------------------------------------------
     def put(self, s: str) -> None:
         (self.out if self.cell is None else self.cell).append(s)
+        self.filled = self.filled or self.cell is None and not s.isspace() and bool(s)
 
     def flush(self) -> None:
         text = merge_formulas("".join(self.out)).strip()
         if text:
             self.blocks.append(text)
-        self.out = []
+        self.out, self.filled = [], False
 
     def close_formula(self) -> None:
         inner = "".join(self.formula or [])
@@ -173,7 +185,7 @@ class _Fragment(HTMLParser):
         if tag in self.HIDDEN:
             self.hidden += 1
         elif tag == "br":
-            if "".join(self.out).strip() and not "".join(self.out).endswith("\n") and self.cell is None:
+            if self.cell is None and self.filled and not next((x for x in reversed(self.out) if x), "\n").endswith("\n"):
                 self.put("\\\\\n")
         elif tag == "img":
             name = (a.get("src") or "").rpartition("/")[2]
@@ -261,7 +273,7 @@ def blocks(fragment: str | None, images: dict[str, str] | None = None) -> list[s
     if not fragment:
         return []
     p = _Fragment(images)
-    p.feed(fragment.replace("\r\n", "\n").replace("\r", "\n"))
+    p.feed(_prepared(fragment.replace("\r\n", "\n").replace("\r", "\n")))
     return p.finish()
 
 
@@ -316,7 +328,7 @@ def table_cells(df: DataFrame, id: str, html: str) -> DataFrame:
             out = []
             for i, text in zip(b["id"], b["html"]):
                 p = _Tables()
-                p.feed(text or "")
+                p.feed(_prepared(text or ""))
                 for t, table in enumerate(p.tables, 1):
                     taken: set[tuple[int, int]] = set()
                     for y, cells in enumerate(table, 1):

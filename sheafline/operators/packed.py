@@ -78,6 +78,13 @@ def options(body: str) -> list[str]:
 def scan(body: str, blanks: bool) -> list[str]:
     """The exact scanner, for rows whose marks do not pair up."""
     n, protected, i = len(body), bytearray(len(body)), 0
+    pair: dict[int, int] = {}  # the place of each mark's partner, by kind of bracket
+    stacks: dict[str, list[int]] = {close: [] for close in OPENERS.values()}
+    for j, c in enumerate(body):
+        if c in OPENERS:
+            stacks[OPENERS[c]].append(j)
+        elif stacks.get(c):
+            pair[stacks[c].pop()] = j
     while i < n:
         c = body[i]
         if c in '"＂':
@@ -86,12 +93,7 @@ def scan(body: str, blanks: bool) -> list[str]:
                 j += 2 if body[j] == c else 1
             end = j if j < n else -1
         elif c in OPENERS:
-            depth, end, close = 1, -1, OPENERS[c]
-            for j in range(i + 1, n):
-                depth += (body[j] == c) - (body[j] == close)
-                if not depth:
-                    end = j
-                    break
+            end = pair.get(i, -1)
         else:
             end = -1
         if end > i:

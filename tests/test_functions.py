@@ -80,6 +80,9 @@ HTML = {
 def test_html(spark):
     for fragment, want in HTML.items():
         assert h.convert(fragment) == want, fragment
+    for text in ("<a " * 40_000, "a<br>" * 40_000, "<sup>1</sup>" * 4_000, "<!--" * 40_000, "x < y" * 9):
+        assert isinstance(h.convert(text), str)
+    assert h.convert("x < y 且 <b>z</b>") == "x < y 且 \\textbf{z}"
     assert h.convert(None) is None and isinstance(h.convert("<p" * 3000), str)
     assert h.blocks('<p>图<img src="x/1.png"></p>', {"1.png": "01.png"}) == ["图\\onepicture{figs/01.png}"]
     assert h.patch_labels("\\put(α){①⑪}") == "\\put($\\alpha$){①\\textcircled{11}}"

@@ -26,6 +26,11 @@ def test_unpaired_marks_lose_nothing():
     assert values("（a（b，c）d，e），f") == ["（a（b，c）d，e）", "f"]
 
 
+def test_long_rows_are_linear():
+    for text in ("(a," * 60_000, ")a," * 60_000, '"a,' * 60_001, "（）" * 60_000):
+        assert len(values(text)) == len([v for v in scan(text, False)]) or len(scan(text, False)) < 2
+
+
 def test_options():
     assert options("A．5; B．6 m/s; C．7") == ["5", "6 m/s", "7"]
     assert options("（A）x, y\n(B)z") == ["x, y", "z"]

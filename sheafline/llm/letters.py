@@ -35,7 +35,7 @@ class FieldParser:
                 pairs = json.loads(body, strict=False, object_pairs_hook=list)
                 if pairs and all(isinstance(v, str) and _OTHER.sub("", k) in self.names for k, v in pairs):
                     return sorted((_OTHER.sub("", k), letters(v)) for k, v in pairs)
-            except (ValueError, TypeError):
+            except (ValueError, TypeError, RecursionError):
                 pass
         found = list(self.mark.finditer(body))
         if not found or _OTHER.sub("", body[: found[0].start()]):

@@ -29,6 +29,15 @@ def test_equal_to_plain_encoding(enc):
     assert pieces(enc, texts) == [enc.core.encode_ordinary(t) for t in texts]
 
 
+def test_equal_to_the_other_library(enc):
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(VOCABULARY.replace(".tiktoken", ".json"))
+    other.encode_special_tokens = True  # their strings in a text are ordinary text
+    texts = ["已知小车质量为3.5 kg。\r\n  The cart's", "<|endoftext|>", "\x0b\x0c \u3000 \ufeff", "한국어 ไทย \U0001f600\u200d"]
+    assert pieces(enc, texts) == [x.ids for x in other.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_round_trip(enc):
     text = "已知小车质量为3.5 kg，求加速度。\r\nThe cart \U0001f600"
     assert enc.core.decode(pieces(enc, [text])[0]) == text

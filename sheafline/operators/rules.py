@@ -39,16 +39,18 @@ def finding(check: str, level: str, message: Column, number: Column | None = Non
     return F.struct(F.lit(check).alias("check"), F.lit(level).alias("level"), (number if number is not None else none).cast("long").alias("number"), (line if line is not None else none).cast("long").alias("line"), message.alias("message"))
 
 
-def emit(df: DataFrame, *found: Column) -> DataFrame:
-    """(check, level, year, region, number, line, message): those of the given findings that are not null."""
-    rows = df.select("year", "region", F.explode(F.array_compact(F.array(*found))).alias("f"))
+def emit(df: DataFrame, *found: Column, lists: tuple[Column, ...] = ()) -> DataFrame:
+    """(check, level, year, region, number, line, message): the given findings that are not null, and
+    those of the given arrays. One scan, however many rules are asked."""
+    all_ = F.flatten(F.array(F.array_compact(F.array(*found)), *lists)) if found else F.flatten(F.array(*lists))
+    rows = df.select("year", "region", F.explode(all_).alias("f"))
     return rows.select("f.check", "f.level", "year", "region", "f.number", "f.line", "f.message")
 
 
-def each(df: DataFrame, values: Column, check: str, level: str, number: str | None = None, line: str | None = None) -> DataFrame:
-    """A finding for every value of an array."""
-    rows = df.select("year", "region", *([number] if number else []), *([line] if line else []), F.explode(values).alias("_v"))
-    return emit(rows, finding(check, level, F.col("_v"), F.col(number) if number else None, F.col(line) if line else None))
+def each(values: Column, check: str, level: str, number: str | None = None, line: str | None = None) -> Column:
+    """A finding for every value of an array, as an array."""
+    made = F.transform(values, lambda v: finding(check, level, v, F.col(number) if number else None, F.col(line) if line else None))
+    return F.coalesce(made, F.array())
 
 
 def skeleton(papers: DataFrame) -> DataFrame:
@@ -96,11 +98,7 @@ def label_rules(papers: DataFrame) -> DataFrame:
     repeated = F.filter(F.array_distinct(own), lambda x: F.size(F.filter(own, lambda y: y == x)) > 1)
     singles = F.regexp_extract_all("text", F.lit(r"\\onepicture\s*\[([^\]]*)\]"), F.lit(1))
     bare = F.filter(singles, lambda o: o.rlike(r"(?<![A-Za-z])label[A-I]?=") & ~o.rlike(r"(?<![A-Za-z])(?:num|fig|fignum)[A-I]?="))
-    out = None
-    for values, check, level in ((bad, "label", "error"), (dangling, "ref", "error"), (repeated, "label-twice", "error"), (bare, "label-number", "warning")):
-        part = each(papers, values, check, level)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return emit(papers, lists=(each(bad, "label", "error"), each(dangling, "ref", "error"), each(repeated, "label-twice", "error"), each(bare, "label-number", "warning")))
 
 
 def line_rules(own: DataFrame) -> DataFrame:
@@ -113,18 +111,14 @@ def line_rules(own: DataFrame) -> DataFrame:
         (F.filter(F.regexp_extract_all("v", F.lit(r"\$[^$\n]+\$"), F.lit(0)), lambda m: F.regexp_replace(m, r"\\(?:text|mbox|hbox)\{[^{}]*\}", "").rlike(f"[{CJK}]")), "math-cjk", "error"),
         (F.regexp_extract_all("v", F.lit(rf"\\mathrm\{{[^{{}}]*[{CJK}][^{{}}]*\}}"), F.lit(0)), "roman-cjk", "error"),
     ]
-    out = None
-    for values, check, level in rules:
-        part = each(rows, values, check, level, line="line")
-        out = part if out is None else out.unionByName(part)
     before = F.regexp_replace(F.regexp_extract("v", rf"(?s)^(.*?){PICTURE}", 1), r"[^$]", "")
-    single = emit(
+    return emit(
         rows,
         F.when(F.col("v").rlike(PICTURE) & (F.length(before) % 2 == 1), finding("math-picture", "error", F.lit("picture inside a formula"), line=F.col("line"))),
         F.when(F.col("v").rlike(rf"[{CJK}][,;:()][{CJK}]"), finding("punctuation", "warning", F.lit("half-width"), line=F.col("line"))),
         F.when(~F.col("v").contains("$") & F.col("v").rlike(rf"[{CJK}][A-Za-z]|[A-Za-z][{CJK}]"), finding("spacing", "warning", F.lit("no blank"), line=F.col("line"))),
+        lists=tuple(each(values, check, level, line="line") for values, check, level in rules),
     )
-    return out.unionByName(single)
 
 
 def paragraph_breaks(own: DataFrame) -> DataFrame:
@@ -154,7 +148,7 @@ def unknown_macros(papers: DataFrame, dictionary: DataFrame, macro: str = "macro
 def suggested_units(own: DataFrame) -> DataFrame:
     """Single units that have a macro (to be asked for)."""
     found = F.flatten(F.array(*(F.regexp_extract_all(strip_comment(F.col("value")), F.lit(p), F.lit(0)) for p in SUGGESTED)))
-    return each(own, found, "unit-suggestion", "warning", line="line")
+    return emit(own, lists=(each(found, "unit-suggestion", "warning", line="line"),))
 
 
 def answer_rules(items: DataFrame) -> DataFrame:
@@ -224,7 +218,8 @@ def numbering_rules(items: DataFrame, memo: str = "memo") -> DataFrame:
     sign = lambda i: F.substring(F.lit(CIRCLED), i, F.lit(1))
     once = F.filter(present, lambda i: (F.length(F.col(memo)) - F.length(F.replace(F.col(memo), sign(i), F.lit(""))) == 1) & (F.contains(F.col(memo), F.concat(sign(i), F.lit("式"))) | F.exists(F.array(*map(F.lit, "由、和及联")), lambda p: F.contains(F.col(memo), F.concat(p, sign(i))))))
     rows = items.where(F.col(memo).isNotNull())
-    return each(rows, F.transform(absent, lambda i: i.cast("string")), "formula-gap", "error", number="number").unionByName(each(rows, F.transform(once, lambda i: i.cast("string")), "formula-once", "warning", number="number"))
+    text = lambda x: F.transform(x, lambda i: i.cast("string"))
+    return emit(rows, lists=(each(text(absent), "formula-gap", "error", number="number"), each(text(once), "formula-once", "warning", number="number")))
 
 
 def vocabulary(df: DataFrame, field: str, allowed: tuple[str, ...], check: str, number: str | None = None) -> DataFrame:

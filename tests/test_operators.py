@@ -7,7 +7,7 @@ from sheafline.operators import aggregates as ag
 from sheafline.operators import joins, merge, ordered, parse, rules, sets
 
 PAPER = r"""%% sourceNumbers: 17, 19
-\documentclass[\gkver]{gaokaozhenti}
+\documentclass[\paperver]{exampaper}
 \begin{document}
 \chapter{题}
 %% number: 1

@@ -382,10 +382,12 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     """(first_id, other_id): every record of a group with its group's smallest id."""
     rare = min(rare, (1 << 20) - 1)  # as far as the packed order tells frequencies apart
     rows = stage(keyed(df, id, body), "near-keys")
-    groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("letters").alias("letters")), "near-texts")
+    groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("letters").alias("letters")), "near-texts")
     docs = groups.select(F.col("first_id").alias("doc"), "letters")
-    known = groups.groupBy("k1", "k2").agg(F.min("first_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = groups.join(known, ["k1", "k2"]).select("a", F.col("first_id").alias("b")).where("a <> b")
+    # texts that copies of problem 3 hold together
+    held = rows.select("k1", "k2", "c1", "c2").distinct().join(groups.select("c1", "c2", "first_id"), ["c1", "c2"])
+    known = held.groupBy("k1", "k2").agg(F.min("first_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    links = held.join(known, ["k1", "k2"]).select("a", F.col("first_id").alias("b")).where("a <> b")
     first = stage(verified(prelinks(docs), docs, threshold).unionByName(links), "near-first")
     label = components(first)
     labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
@@ -395,11 +397,14 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     # a rare token's group has at most ``rare`` rows, so only pairs of frequent tokens can exceed a block
     unbounded = signatures(labelled, counts, threshold, rare, pairs_only=rare <= block)
     found = verified(compare_groups(keys, unbounded.select("key"), threshold, block).distinct(), docs, threshold)
-    final = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
-    final = final.select(F.col("node").alias("first_id"), "label")
+    # what is found links whole components: only their labels go through another contraction
+    base = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    between = found.join(base("a"), "a", "left").join(base("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("last"))
     own = rows.select("id", F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.lit(True).alias("maybe"))
     texts = groups.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "first_id", "copies")
     # the representatives themselves, and the copies each stands for
     copies = members(texts, own).where("id <> first_id").select("first_id", "id")
     every = groups.select("first_id", F.col("first_id").alias("id")).unionByName(copies)
-    return every.join(final, "first_id", "left").select(F.coalesce("label", "first_id").alias("first_id"), F.col("id").alias("other_id")).where("first_id <> other_id").distinct()
+    labelled_ids = every.join(label.select(F.col("node").alias("first_id"), "label"), "first_id", "left").select(F.coalesce("label", "first_id").alias("label"), "id")
+    return labelled_ids.join(merged, "label", "left").select(F.coalesce("last", "label").alias("first_id"), F.col("id").alias("other_id")).where("first_id <> other_id").distinct()

@@ -40,7 +40,7 @@ def corpus(seed, n=220):
             k = rng.randrange(len(t) + 1)
             t[k : k + rng.randrange(3)] = word(rng.randrange(3))
         rows.append((i * 7 % 997, "".join(t) + rng.choice(["", " ", "。"])))
-    return rows + [(2001, None), (2002, ""), (2003, "ab"), (2004, "a b"), (2005, "【题干】甲乙丙丁\n【条件】一二三四五六七八"), (2006, "条件=一二三四五六七八 | 题干=甲乙丙丁")]
+    return rows + [(2001, None), (2002, ""), (2003, "ab"), (2004, "a b"), (2005, "【题干】甲乙丙丁\n【条件】一二三四五六七八"), (2006, "条件=一二三四五六七八 | 题干=甲乙丙丁"), (2007, "题干甲乙丙丁，条件一二三四五六七八")]
 
 
 @pytest.mark.parametrize(("seed", "rare", "block"), [(1, 1000, 4096), (2, 3, 4096), (3, 0, 16), (4, 1000, 8)])

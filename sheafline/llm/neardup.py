@@ -253,10 +253,12 @@ def survivors(cols: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray, thresh
     return np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], axis=1)
 
 
-def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, threshold: float, rows: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, beyond: np.ndarray, threshold: float, rows: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one large group whose parity bits are near enough, found in blocks of rows.
 
-    The bound is the one of ``survivors`` before rounding up, so no pair that it keeps is missed.
+    Rows come in order of label; ``beyond`` is where the rows of the next label begin, and a row is
+    compared from there on only. The bound is that of ``survivors`` before rounding up, so no pair
+    that it keeps is missed.
     """
     _, _, n, _, bits = cols
     exact = (n[a:b] * ((1 - threshold) / (1 + threshold)) + 1e-6).astype(np.float32)
@@ -264,24 +266,31 @@ def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, threshold: float,
     # the first words alone rule most pairs out; a count that wraps to 0 only keeps a pair that ``survivors`` looks at again
     words = [np.ascontiguousarray(bits[a:b, w]) for w in (0, 1, WORDS // 2, WORDS // 2 + 1)]
     most = np.ceil(exact).astype(np.uint8) if small else exact
-    for x in range(0, b - a, rows):
+    x = 0
+    while x < b - a:
         y = min(x + rows, b - a)
-        apart = np.zeros((y - x, b - a - x), np.uint8 if small else np.uint16)
+        start = int(beyond[a + x]) - a
+        if start >= b - a:  # the last label of the group: nothing follows
+            return
+        apart = np.zeros((y - x, b - a - start), np.uint8 if small else np.uint16)
         for w in words:
-            apart += np.bitwise_count(w[x:y, None] ^ w[None, x:])
-        i, j = np.nonzero(apart <= most[x:y, None] + most[None, x:])
-        later = j > i
-        yield i[later] + a + x, j[later] + a + x
+            apart += np.bitwise_count(w[x:y, None] ^ w[None, start:])
+        i, j = np.nonzero(apart <= most[x:y, None] + most[None, start:])
+        i, j = i + a + x, j + a + start
+        later = j >= beyond[i]
+        yield i[later], j[later]
+        x = y
 
 
 def compare_groups(rows: DataFrame, unbounded: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
     """(a, b): the pairs of each key's group that pass the filters.
 
-    ``unbounded`` has the keys of those rows whose groups may exceed a block.
+    ``unbounded`` has key and label of those rows whose groups may exceed a block.
     """
-    # groups beyond a block are cut into blocks; each pair of blocks is a group of its own
-    large = unbounded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > block)
-    large = stage(large, "large-keys")
+    # groups beyond a block are cut into blocks; each pair of blocks is a group of its own; those of one label go
+    stat = unbounded.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("m") > block)
+    stat = stage(stat, "large-keys")
+    large = stat.where("low <> high").select("key", "m")
     schema = "a long, b long"
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,15 +301,19 @@ def compare_groups(rows: DataFrame, unbounded: DataFrame, threshold: float, bloc
             bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
             cols = (*(table.column(c).to_numpy() for c in ("doc", "label")), *(table.column(c).to_numpy().astype(np.int64) for c in ("n", "pos")), bits)
             side = table.column("side").to_numpy()
-            edge = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+            label = cols[1]
+            new = np.append(True, key[1:] != key[:-1])
+            edge = np.append(np.flatnonzero(new), len(key))
+            run = np.append(np.flatnonzero(new | np.append(True, label[1:] != label[:-1])), len(key))
+            beyond = np.repeat(run[1:], np.diff(run))  # where the next label of the group, or the next group, begins
             out = [np.empty((0, 2), np.int64)]
             wide = np.flatnonzero(np.diff(edge) > DENSE)
             for g in wide.tolist():
-                for i, j in dense_pairs(cols, int(edge[g]), int(edge[g + 1]), threshold):
+                for i, j in dense_pairs(cols, int(edge[g]), int(edge[g + 1]), beyond, threshold):
                     apart = (side[i] < 0) | (side[i] != side[j])
                     out.append(survivors(cols, i[apart], j[apart], threshold))
             end = np.repeat(edge[1:], np.diff(edge))
-            each = end - np.arange(len(key)) - 1  # partners after each row of the group
+            each = end - beyond  # partners after each row: those of later labels in its group
             for g in wide.tolist():
                 each[edge[g] : edge[g + 1]] = 0
             upto = np.cumsum(each)
@@ -308,7 +321,7 @@ def compare_groups(rows: DataFrame, unbounded: DataFrame, threshold: float, bloc
             while a < len(key):
                 b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS_AT_ONCE, side="right")))
                 i = np.repeat(np.arange(a, b), each[a:b])
-                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(each[a:b]) - each[a:b], each[a:b])
+                j = beyond[i] + np.arange(len(i)) - np.repeat(np.cumsum(each[a:b]) - each[a:b], each[a:b])
                 apart = (side[i] < 0) | (side[i] != side[j])
                 out.append(survivors(cols, i[apart], j[apart], threshold))
                 a = b
@@ -330,11 +343,11 @@ def compare_groups(rows: DataFrame, unbounded: DataFrame, threshold: float, bloc
             yield from done(pa.Table.from_batches(rest))
 
     def gather(x: DataFrame) -> DataFrame:
-        return x.repartition("key").sortWithinPartitions("key").mapInArrow(pairs, schema)
+        return x.repartition("key").sortWithinPartitions("key", "label").mapInArrow(pairs, schema)
 
-    if not large.limit(1).count():
+    if not stat.limit(1).count():
         return gather(rows.withColumn("side", F.lit(-1)))
-    small = rows.join(large, "key", "left_anti").withColumn("side", F.lit(-1))
+    small = rows.join(stat.select("key"), "key", "left_anti").withColumn("side", F.lit(-1))
     cut = rows.join(large, "key").withColumn("blocks", F.ceil(F.col("m") / block).cast("int")).withColumn("own", F.expr("cast(pmod(xxhash64(doc), blocks) as int)"))
     # block x meets every block y: the pair (x, y) is one group; inside (x, x) all pairs, in (x, y) those across
     spreaded = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -396,7 +409,7 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     keys = signatures(labelled, counts, threshold, rare)
     # a rare token's group has at most ``rare`` rows, so only pairs of frequent tokens can exceed a block
     unbounded = signatures(labelled, counts, threshold, rare, pairs_only=rare <= block)
-    found = verified(compare_groups(keys, unbounded.select("key"), threshold, block).distinct(), docs, threshold)
+    found = verified(compare_groups(keys, unbounded.select("key", "label"), threshold, block).distinct(), docs, threshold)
     # what is found links whole components: only their labels go through another contraction
     base = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     between = found.join(base("a"), "a", "left").join(base("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))

@@ -51,6 +51,18 @@ def agree_with_set(items: DataFrame, answers: DataFrame, key: Sequence[str], val
     return items.join(sets, list(key)).where(~F.array_contains("allowed", F.col(value)))
 
 
+def agree_with_others(items: DataFrame, key: Sequence[str], id: str, value: str) -> DataFrame:
+    """(id, value, finding): items whose value no other id of the key gives: ``differs``, or ``no other side``
+    where the key has no other id.
+
+    A value that one id alone gives needs no join back to it, and a key's values are few.
+    """
+    counts = items.select(*key, id, value).distinct().groupBy(*key, value).agg(F.count(F.lit(1)).alias("same"), F.min(id).alias("lo"), F.max(id).alias("hi"))
+    w = Window.partitionBy(*key)
+    whole = counts.withColumn("alone", F.min("lo").over(w) == F.max("hi").over(w)).where("same = 1")
+    return whole.select(F.col("lo").alias(id), value, F.when(F.col("alone"), "no other side").otherwise("differs").alias("finding"))
+
+
 def resolve_files(refs: DataFrame, files: DataFrame, path: str = "path", extensions: Sequence[str] = ("svg", "png", "jpg", "jpeg", "pdf")) -> DataFrame:
     """References (``path``) that neither exist as they are nor with one of the extensions."""
     stem = F.regexp_replace(path, r"\.[^./]*$", "")

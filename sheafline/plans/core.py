@@ -289,14 +289,25 @@ def meta_compare(spark, d):
     SELECT s.item_id, s.answer FROM s JOIN k USING (year, region, number) WHERE NOT list_contains(k.allowed, s.answer)
     """)
 def answer_agreement(spark, d):
-    """Deliveries whose answer is not in the set of answers that the other half of the deliveries gives.
+    """Deliveries whose answer is not in the set of answers of the even ids, which stand for the platform's side.
 
-    Even ids stand for the platform's side, every row is compared.
+    As its SQL has it: keys without an even id are not compared (``answer_agreement_all`` compares every row).
     """
     rows = table(spark, d, "items").where(F.col("typeId").isin(*schema.CHOICE_IDS) & F.col("year").isNotNull()).select(*schema.KEY, tx.option_letters("answer").alias("answer"), "item_id")
     return joins.agree_with_set(rows, rows.where("item_id % 2 = 0"), schema.KEY, "answer", "answer").select("item_id", "answer")
 
 
+@query(f"""
+    WITH s AS (SELECT DISTINCT year, region, number, {_LETTERS} AS answer, item_id FROM items WHERE "typeId" IN (1, 2) AND year IS NOT NULL),
+    k AS (SELECT *, count(*) OVER (PARTITION BY year, region, number, answer) AS same, min(item_id) OVER (PARTITION BY year, region, number) AS lo, max(item_id) OVER (PARTITION BY year, region, number) AS hi FROM s)
+    SELECT item_id, answer, CASE WHEN lo = hi THEN 'no other side' ELSE 'differs' END AS finding FROM k WHERE same = 1
+    """)
+def answer_agreement_all(spark, d):
+    """Deliveries whose answer no other delivery of the same item gives, and those without another delivery."""
+    rows = table(spark, d, "items").where(F.col("typeId").isin(*schema.CHOICE_IDS) & F.col("year").isNotNull()).select(*schema.KEY, tx.option_letters("answer").alias("answer"), "item_id")
+    return joins.agree_with_others(rows, schema.KEY, "item_id", "answer")
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def ref_integrity(spark, d):
     """References without a definition."""

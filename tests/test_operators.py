@@ -118,6 +118,15 @@ def test_registry_material_boxes(spark):
     assert rules.boxes(b).count() == 2
 
 
+def test_agree_with_others(spark):
+    """Odd ids count as much as even ones, and a key of one id is told."""
+    rows = [("y", 1, 1, "A"), ("y", 1, 3, "A"), ("y", 1, 5, "B"), ("y", 1, 5, "B"), ("y", 2, 7, "C"), ("y", 3, 2, "A"), ("y", 3, 9, "B"), (None, 4, 11, "D"), (None, 4, 13, "D")]
+    df = spark.createDataFrame(rows, "year string, number long, item_id long, answer string")
+    got = joins.agree_with_others(df, ["year", "number"], "item_id", "answer").collect()
+    assert sorted(map(tuple, got)) == [(2, "A", "differs"), (5, "B", "differs"), (7, "C", "no other side"), (9, "B", "differs")]
+    assert joins.agree_with_others(df.limit(0), ["year", "number"], "item_id", "answer").collect() == []
+
+
 def test_compare_and_joins(spark):
     s = "year string, region string, number long, score long, name string"
     a = spark.createDataFrame([("y", "r", 1, 4, " a  b"), ("y", "r", 2, None, "c"), ("y", "r", 3, 1, "d")], s)

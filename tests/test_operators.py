@@ -105,6 +105,14 @@ def test_line_rules(spark):
     assert rules.line_rules(df).where("check = 'unit'").count() == len(units)
 
 
+def test_suggested_units(spark):
+    """Each of the seven patterns, its limits, and no comment."""
+    lines_ = ["3 m/s^2", "5 m / s", "6 km/h", "1 kg/m^3 与 kg/m3", "2 mA", "3 kPa", "4 eV", "m/s^3 rpm/s m/sec MeV % 5 m/s"]
+    df = spark.createDataFrame([("y", "r", i, v) for i, v in enumerate(lines_, 1)], "year string, region string, line long, value string")
+    got = sorted((r.line, r.message) for r in rules.suggested_units(df).collect())
+    assert got == [(1, "m/s^2"), (2, "m / s"), (3, "km/h"), (4, "kg/m3"), (4, "kg/m^3"), (5, "mA"), (6, "kPa"), (7, "eV")]
+
+
 def test_registry_material_boxes(spark):
     schema_ = "year string, region string, tikz string, original string"
     entries = spark.createDataFrame([("y", "r", "a", None), ("y", "r", "b", "/x"), ("y", "r", "b", "z")], schema_)

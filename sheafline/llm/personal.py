@@ -5,8 +5,8 @@ checked by form, date and check character; addresses and names by grammars ancho
 surrounds them (lead-in words, titles, labels, verbs).
 
 Replacing (method: surrogate generation): every entity gets a keyed surrogate of its kind that
-keeps script, format, length and, where a title tells it, gender, and is written inside a typed
-placeholder such as ``[PHONE:0961-4420158]``. The same entity, however it is written, gets the
+keeps script, format, length and, where the titles of its mentions tell it, gender (settled once
+over the table of all mentions), and is written inside a typed placeholder such as ``[PHONE:0961-4420158]``. The same entity, however it is written, gets the
 same surrogate everywhere (coreference); two entities that would get the same one are told
 apart by a number given after a collision check over the table of all distinct entities.
 
@@ -274,7 +274,7 @@ def personal_found(df: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return slim.mapInArrow(rows, schema).distinct().withColumnRenamed("id", id)
 
 
-_MENTION = "array<struct<kind:string,canon:string,form:string,start:int,stop:int>>"
+_MENTION = "array<struct<kind:string,canon:string,value:string,gender:string,start:int,stop:int>>"
 
 
 def redact(df: DataFrame, id: str = "doc_id", text: str = "text", key: str = "sheafline") -> DataFrame:
@@ -284,14 +284,13 @@ def redact(df: DataFrame, id: str = "doc_id", text: str = "text", key: str = "sh
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("canon", pa.string()), ("form", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("canon", pa.string()), ("value", pa.string()), ("gender", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
         for b in batches:
             out = []
             for t in b.column(2).to_pylist():
                 own = []
                 for x, y, k in mentions(t) if t else ():
-                    canon = canonical(k, t[x:y])
-                    own.append({"kind": k, "canon": canon, "form": surrogate(k, t[x:y], canon, gender_of(t, x, y) if k == "name" else "", key), "start": x, "stop": y})
+                    own.append({"kind": k, "canon": canonical(k, t[x:y]), "value": t[x:y], "gender": gender_of(t, x, y) if k == "name" else "", "start": x, "stop": y})
                 out.append(own)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, kind)], names=["row", "id", "text", "found"])
 
@@ -299,11 +298,21 @@ def redact(df: DataFrame, id: str = "doc_id", text: str = "text", key: str = "sh
     schema = T.StructType([*slim.schema.fields, T.StructField("found", T._parse_datatype_string(_MENTION))])
     rows = stage(slim.mapInArrow(scan, schema), "personal-rows")
     each = rows.where("size(found) > 0").select("row", F.explode("found").alias("m")).select("row", "m.*")
+    # one gender an entity: that of most of its titles, none if they are as many; its spellings are few
+    spellings = each.groupBy("kind", "canon", "value").agg(F.count_if(F.col("gender") == "m").alias("m"), F.count_if(F.col("gender") == "f").alias("f"))
+    entity = Window.partitionBy("kind", "canon")
+    lead = F.sum("m").over(entity) - F.sum("f").over(entity)
+    settled = spellings.select("kind", "canon", "value", F.when(lead > 0, "m").when(lead < 0, "f").otherwise("").alias("gender"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            forms = [surrogate(k, v, c, g, key) for k, c, v, g in zip(*(x.to_pylist() for x in b.columns))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(forms, pa.string())], names=["kind", "canon", "value", "form"])
+
+    entities = settled.mapInArrow(draw, "kind string, canon string, value string, form string")
     # the surrogate of an entity is the same whatever its form: the check is on kind and stand-in
-    entities = each.select("kind", "canon", "form").distinct()
     rank = F.dense_rank().over(Window.partitionBy("kind", "form").orderBy("canon"))
-    clashes = entities.withColumn("rank", rank).where("rank > 1")
-    named = each.join(clashes, ["kind", "canon", "form"], "left")
+    named = each.join(entities.withColumn("rank", F.nullif(rank, F.lit(1))), ["kind", "canon", "value"])
     spans = named.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.concat(F.lit("["), F.upper("kind"), F.lit(":"), F.col("form"), F.coalesce(F.concat(F.lit("~"), F.col("rank").cast("string")), F.lit("")), F.lit("]")).alias("new")))).alias("spans"))
 
     def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

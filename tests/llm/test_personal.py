@@ -61,3 +61,14 @@ def test_clashing_surrogates_stay_apart(spark):
     assert n > 3000
     assert redact(df).where("text like '%[NAME:%'").select("text").distinct().count() == n
     assert personal_found(df.limit(0)).collect() == [] and redact(df.limit(0)).collect() == []
+
+
+def test_one_surrogate_whatever_the_title(spark):
+    """A name with and without a title, in one text and in several, is one entity with one gender."""
+    texts = ["录入员林栖溪于当日完成，林栖溪女士核对", "联系人：林栖溪。", "感谢林栖溪小姐。感谢林栖溪先生。", "Reviewed by Ms. Oswina Ashgrove. Thanks to Ashgrove, Oswina for it.", "Author: Oswina Ashgrove."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = " ".join(r.text for r in redact(df).orderBy("doc_id").collect())
+    han, latin = re.findall(r"\[NAME:([^\]A-Z]+)\]", out), re.findall(r"\[NAME:([A-Z][^\]]+)\]", out)
+    assert len(han) == 5 and len(set(han)) == 1 and han[0] == surrogate("name", "林栖溪", "林栖溪", "f", "sheafline")
+    assert len(latin) == 3 and len({" ".join(reversed(x.split(", "))) for x in latin}) == 1
+    assert latin[0] == surrogate("name", "Oswina Ashgrove", "oswina ashgrove", "f", "sheafline")

@@ -132,16 +132,22 @@ def find_copies(df: DataFrame, id: str = "bank_id", body: str = "body", bits_per
     return stage(groups, "copy-groups"), rows
 
 
-def members(groups: DataFrame, rows: DataFrame, share: int = 1000) -> DataFrame:
+def by_size(rows: DataFrame, groups: DataFrame, key: list[str], size: str, share: int = 1000) -> DataFrame:
+    """``rows`` joined to their groups (key, .., size: the number of rows), so that no task holds a hot group.
+
+    Groups of more than a ``share``-th of all rows, of which fewer than ``share`` can exist, are
+    broadcast; their rows never move.
+    """
+    most = F.greatest(F.lit(share), F.floor(F.lit((groups.agg(F.sum(size)).first()[0] or 0) / share)))
+    large = F.broadcast(groups.where(F.col(size) > most))
+    hot = rows.join(large, key)
+    cold = rows.join(large.select(*key), key, "left_anti").join(groups.where(F.col(size) <= most), key)
+    return hot.unionByName(cold)
+
+
+def members(groups: DataFrame, rows: DataFrame) -> DataFrame:
     """(first_id, id, copies) of every row in a group of at least two."""
-    groups = groups.where("copies > 1")
-    n = groups.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    most = max(n // share, share)  # fewer than ``share`` groups can be larger
-    large = F.broadcast(groups.where(F.col("copies") > most))
-    own = rows.where("maybe").drop("maybe")
-    hot = own.join(large, ["k1", "k2"])
-    cold = own.join(large.select("k1", "k2"), ["k1", "k2"], "left_anti").join(groups.where(F.col("copies") <= most), ["k1", "k2"])
-    return hot.unionByName(cold).select("first_id", "id", "copies")
+    return by_size(rows.where("maybe").drop("maybe"), groups.where("copies > 1"), ["k1", "k2"], "copies").select("first_id", "id", "copies")
 
 
 def copies_found(df: DataFrame, id: str = "bank_id", body: str = "body", **bounds: int) -> DataFrame:

@@ -2,24 +2,29 @@
 
 Method: multiple-global-order filtering. Texts are reduced to letters and digits, equal ones to
 one representative, and each to its set of trigrams. Let ``n`` be the size of a set and ``t``
-the threshold.
-
-* Order 1 puts rare trigrams first (frequencies from a hashed count over all texts, of fixed
-  size). Similar sets share a token among their first ``n - ceil(t n) + 1``; where a shared token
-  is frequent, the next shared one is at most one place further, so frequent tokens are paired.
-  Only records that meet under such a key are compared at all.
-  Sets of more than 512 trigrams are cut into parts by hash, of which one at least is as similar.
-* Orders 2 and 3 put one half of the (hashed) trigrams first. Under each, the prefix made of
-  that half is kept as parity bits; similar sets differ in ``n1 + n2 - 2 overlap`` tokens at
-  most, so parity bits that differ in more places rule a pair out, as do sizes and positions
-  under order 1. What all orders leave is verified exactly on the texts.
+the threshold. All orders put rare tokens first (frequencies from a hashed count over all texts).
+
+* Order 0 ranks all tokens. Two similar sets share a token among their first ``n - ceil(t n) + 1``
+  tokens, the least token they share. If that one is rare it is a key by itself.
+* Otherwise no shared token is rare. Then the prefixes longer by ``s - 1`` share ``s`` frequent
+  tokens. ``s - 1`` further global orders each put one hash class of the tokens first; with
+  ``s`` tokens shared, the prefixes under at least one of these orders (the tokens of its class
+  within the prefix of order 0) share two tokens. A key is a pair of tokens of one order's prefix:
+  the filters "shares this token" and "shares that token" are intersected in the key, before any
+  pair exists.
+* Sizes and a bitmap bound the overlap of what meets under a key; the rest is verified on the texts.
 * Verified links and the copies of problem 3 go through large-star / small-star contraction.
 
-Scale: before the full filter, records that meet under three smallest trigrams of a random order
-are linked to the least of their group and verified; records already linked with each other are
-not compared again, so a family that holds a third of all rows costs a comparison or two a row
-instead of all pairs. Groups under rare keys are bounded by ``rare``; larger ones are split into
-blocks whose pairs of blocks go to different tasks. Nothing grows on the driver.
+Every step is exact: no pair at the threshold is lost. Sets too small to share ``s`` tokens use a
+smaller ``s`` (SHARED); sets of more than 512 trigrams are cut into parts by hash.
+
+Scale: a family that may hold a third of all rows would meet itself under every key. Its texts are
+first linked to its least text where the first two tokens under two orders agree, verified, and
+then never compared with each other again. Keys of rare tokens have at most ``rare`` texts; pairs
+of frequent tokens are about as rare; the largest are split into blocks whose meetings go to
+different tasks. A text travels once a part with all its keys there. Nothing that grows with the
+texts reaches the driver or a broadcast: frequencies have a fixed number of slots and large keys
+a fixed maximum.
 
 Defined results: a null body belongs to no group; texts of fewer than three letters are grouped
 only with their copies; ids are integers, and rows that repeat one are one record; no candidate is ever dropped.
@@ -36,16 +41,18 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from sheafline.llm.copies import members
+from sheafline.llm.copies import by_size
 from sheafline.llm.letters import FieldParser, letters
 from sheafline.session import spread, stage, unstage
 
 SLOTS = 1 << 20
 PART = 256  # sets of more than twice as many trigrams are cut into parts
-WORDS = 6  # 64-bit words of parity bits, the first half for order 2, the second for order 3
+WORDS = 6  # 64-bit words of a bitmap
 PAIRS_AT_ONCE = 1 << 20
-#: Groups of more rows than this are compared in blocks of rows, smaller ones all at once.
-DENSE = 48
+#: Letters whose keys make up one part, which one task holds (about as many keys).
+KEYS_A_PART = 1 << 21
+#: Shared tokens that prefixes are extended to; the largest that both sets allow is used.
+SHARED = (1, 2, 8, 30)
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -102,258 +109,260 @@ def keyed(df: DataFrame, id: str, body: str) -> DataFrame:
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """How many texts hold a trigram, hashed into a fixed number of slots.
-
-    Slots whose texts all carry one label count 1: nothing is left to find under their trigrams.
-    """
+    """How many texts hold a trigram, hashed into a fixed number of slots."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
-        low, high = np.full(SLOTS, np.iinfo(np.int64).max), np.full(SLOTS, np.iinfo(np.int64).min)
         for b in batches:
-            labels, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
+            texts = b.column(0).to_pylist()
             for x, y in slices(texts):
-                gram, size = trigrams(texts[x:y])
-                slot = (mix(gram) % np.uint64(SLOTS)).astype(np.int64)
-                own = np.repeat(labels[x:y], size)
-                total += np.bincount(slot, minlength=SLOTS)
-                np.minimum.at(low, slot, own)
-                np.maximum.at(high, slot, own)
+                total += np.bincount((mix(trigrams(texts[x:y])[0]) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(v[at] if k else at) for k, v in enumerate((at, total, low, high))], names=["slot", "n", "low", "high"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
 
     out = np.zeros(SLOTS, np.int64)
-    counted = docs.select("label", "letters").mapInArrow(rows, "slot long, n long, low long, high long").groupBy("slot")
-    counted = counted.agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    counted = counted.select("slot", F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("n")).alias("n")).toPandas()
+    counted = docs.select("letters").mapInArrow(rows, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     out[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    return out
+    return np.minimum(out, 1 << 30).astype(np.int32)
 
 
 def parity(gram: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Parity bits of each text: the half a trigram belongs to, then its place in that half."""
-    h = mix(gram, 2)
-    half = (h & np.uint64(1)).astype(np.int64)
-    bit = half * (WORDS // 2 * 64) + ((h >> np.uint64(1)) % np.uint64(WORDS // 2 * 64)).astype(np.int64)
+    """A bitmap of each text's trigrams in which every trigram flips one bit."""
+    bit = (mix(gram, 2) % np.uint64(WORDS * 64)).astype(np.int64)
     odd = np.bincount(owner * (WORDS * 64) + bit, minlength=n * WORDS * 64).reshape(n, WORDS * 64) & 1
     return np.packbits(odd.astype(np.uint8), axis=1)
 
 
-def prelinks(docs: DataFrame, bands: int = 8, rows_each: int = 5) -> DataFrame:
-    """(a, b): each text with the least text that has the same smallest trigrams under five random orders."""
+def ordered_tokens(gram: np.ndarray, size: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, frequency, set, level, set sizes) of all tokens, by set and then rare ones first.
 
-    odd = mix(np.arange(bands * rows_each, dtype=np.uint64), 40) | np.uint64(1)
+    A set is a text, or a part of a long one: long sets are cut into parts by hash, so that of two
+    similar sets at least one pair of parts is as similar; similar sets differ by one level at
+    most, so each is cut at two.
+    """
+    owner = np.repeat(np.arange(len(size)), size)
+    h = mix(gram)
+    level = np.maximum(0, np.floor(np.log2(np.maximum(size, 1) / PART)).astype(np.int64))[owner]
+    again = np.flatnonzero(level)
+    at = np.concatenate([np.arange(len(h)), again])
+    level = np.concatenate([level, level[again] - 1])
+    part = (mix(gram, 7)[at] & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+    h, owner = h[at], owner[at]
+    seen = table[(h % np.uint64(SLOTS)).astype(np.int64)]
+    if level.max() > 12:  # more parts than the packed form has room for
+        order = np.lexsort((h, seen, part, level, owner))
+    else:
+        pack = lambda x, n: x.astype(np.uint64) << np.uint64(n)
+        order = np.argsort(pack(owner, 52) | pack(level, 48) | pack(part, 36) | pack(np.minimum(seen, (1 << 20) - 1), 16) | h >> np.uint64(48), kind="stable")
+    h, seen, owner, level, part = h[order], seen[order], owner[order], level[order], part[order]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (level[1:] != level[:-1]) | (part[1:] != part[:-1]))
+    start = np.flatnonzero(new)
+    return h, seen, np.cumsum(new) - 1, owner[start], level[start], np.diff(np.append(start, len(h)))
+
+
+def keys_of(gram: np.ndarray, size: np.ndarray, table: np.ndarray, threshold: float, rare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, text ordinal, least frequency of its tokens) of every key under which a text is looked for."""
+    h, seen, group, owners, levels, length = ordered_tokens(gram, size, table)
+    pos = np.arange(len(h)) - np.repeat(np.cumsum(length) - length, length)
+    least = np.ceil(threshold * length - 1e-9).astype(np.int64)
+    prefix = (length - least + 1)[group]
+    token = np.where(levels[group] > 0, mix(h, 11) + levels[group].astype(np.uint64), h)
+    single = np.flatnonzero((pos < prefix) & (seen > 1) & (seen <= rare))
+    keys, owner, held = [token[single]], [owners[group[single]]], [seen[single]]
+    kind = lambda n: np.searchsorted(SHARED, n, side="right") - 1
+    # a partner is at least ``threshold`` times as large; both use the kind of the smaller one
+    high, low = kind(least), kind(np.ceil(threshold * least - 1e-9).astype(np.int64).clip(1))
+    for k, s in enumerate(SHARED):
+        fits = ((low <= k) & (k <= high))[group]
+        at = np.flatnonzero(fits & (pos < prefix + s - 1) & (seen > rare))
+        if s == 1:
+            keys.append(mix(token[at], 20))
+            owner.append(owners[group[at]])
+            held.append(seen[at])
+            continue
+        order = group[at] * (s - 1) + (mix(h[at], 3) % np.uint64(s - 1)).astype(np.int64)
+        by = np.argsort(order, kind="stable")
+        at, order = at[by], order[by]
+        for far in range(1, len(at)):
+            i = np.flatnonzero(order[:-far] == order[far:])
+            if not len(i):
+                break
+            a, b = at[i], at[i + far]
+            keys.append(mix(np.minimum(token[a], token[b]) * np.uint64(3) ^ np.maximum(token[a], token[b]), 20 + k))
+            owner.append(owners[group[a]])
+            held.append(np.minimum(seen[a], seen[b]))
+    return np.concatenate(keys), np.concatenate(owner), np.concatenate(held)
+
+
+def early_links(docs: DataFrame, table: np.ndarray, bands: int = 8, family: int = 32) -> DataFrame:
+    """(a, b): the texts of a large family with its least text, where the first two tokens under each of
+    two orders are the same; families of up to ``family`` texts are left to the full filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
             for x, y in slices(texts):
                 gram, size = trigrams(texts[x:y])
-                full = np.flatnonzero(size > 0)
-                if not len(full):
-                    continue
-                starts = (np.cumsum(size) - size)[full]
-                h = mix(gram, 16)
-                keys = []
-                for band in range(bands):
-                    key = np.full(len(full), band, np.uint64)
-                    for r in range(rows_each):
-                        # an odd factor permutes the 64-bit hashes, so the least product is a random trigram of the text
-                        key = mix(key ^ np.minimum.reduceat(h * odd[band * rows_each + r], starts), r)
-                    keys.append(key.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(ids[x:y][full], bands))], names=["key", "doc"])
-
-    keys = stage(docs.select("doc", "letters").mapInArrow(rows, "key long, doc long"), "near-prelinks")
-    least = keys.groupBy("key").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return keys.join(least, "key").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
-
-
-def in_order(h: np.ndarray, seen: np.ndarray, part: np.ndarray, level: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """The order by owner, level, part, rarity and hash; rows come in order of trigrams, which settles ties."""
-    if level.max() > 12:  # more parts than the packed form has room for
-        return np.lexsort((h, seen, part, level, owner))
-    pack = lambda x, n: x.astype(np.uint64) << np.uint64(n)
-    code = pack(owner, 52) | pack(level, 48) | pack(part, 36) | pack(np.minimum(seen, (1 << 20) - 1), 16) | h >> np.uint64(48)
-    return np.argsort(code, kind="stable")
+                h = mix(gram)
+                seen = shared.value[(h % np.uint64(SLOTS)).astype(np.int64)]
+                keep = np.flatnonzero(seen > family)  # what fewer texts hold is in no large family's prefix
+                h, seen, owner = h[keep], seen[keep], np.repeat(np.arange(y - x), size)[keep]
+                order = owner * (2 * bands) + (mix(h, 5) % np.uint64(2 * bands)).astype(np.int64)
+                by = np.lexsort((h, seen, order))
+                h, order = h[by], order[by]
+                start = np.flatnonzero(np.append(True, order[1:] != order[:-1])[: len(order)])
+                two = start[np.append(order, -1)[start + 1] == order[start]]
+                first = np.zeros((y - x) * 2 * bands, np.uint64)
+                first[order[two]] = mix(h[two] * np.uint64(3) ^ h[two + 1], 6) | np.uint64(1)
+                first = first.reshape(-1, bands, 2)
+                doc, band = np.nonzero(first.all(axis=2))
+                key = mix(first[doc, band, 0] * np.uint64(3) ^ first[doc, band, 1], 7) + band.astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[x:y][doc])], names=["key", "doc"])
+
+    keys = stage(docs.select("doc", "letters").mapInArrow(rows, "key long, doc long"), "near-early")
+    hubs = keys.groupBy("key").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") > family)
+    return by_size(keys, hubs, ["key"], "n").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
+
+
+def large_keys(docs: DataFrame, table: np.ndarray, threshold: float, rare: int, block: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Keys with more than ``block`` texts and their number of blocks, the ``most`` largest; all others
+    hold at most a ``most``-th of all rows. Only keys whose tokens are frequent enough are counted."""
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    if table.max(initial=0) <= block:
+        return none
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            for x, y in slices(texts, 1 << 18):
+                gram, size = trigrams(texts[x:y])
+                if len(gram):
+                    key, _, held = keys_of(gram, size, shared.value, threshold, rare)
+                    key, n = np.unique(key[held > block], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    counted = docs.select("letters").mapInArrow(rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > block)
+    out = counted.orderBy(F.desc("n"), "key").limit(most).toPandas().sort_values("key")
+    key = out["key"].to_numpy().astype(np.int64).view(np.uint64)
+    by = np.argsort(key)
+    return key[by], -(-out["n"].to_numpy().astype(np.int64)[by] // block)
 
 
-def signatures(docs: DataFrame, counts: np.ndarray, threshold: float, rare: int, pairs_only: bool = False) -> DataFrame:
-    """(key, doc, label, n, pos, bits): a row for each key of order 1 under which a text is looked for.
+def signatures(docs: DataFrame, table: np.ndarray, large: tuple[np.ndarray, np.ndarray], parts: int, threshold: float, rare: int) -> DataFrame:
+    """(part, doc, label, n, bits, keys): a text and its keys of one part of all keys.
 
-    ``pairs_only`` gives the keys made of two frequent tokens alone, the only ones whose groups are not bounded by ``rare``.
+    The last two bits of a key tell the side of a text where two blocks of a large key meet.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 1 << 30).astype(np.int32))
+    shared = docs.sparkSession.sparkContext.broadcast((table, *large))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, hot, blocks = shared.value
         for b in batches:
             ids, labels, texts = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_pylist()
             for x, y in slices(texts, 1 << 18):
                 gram, size = trigrams(texts[x:y])
                 if not len(gram):
                     continue
-                n = y - x
-                owner = np.repeat(np.arange(n), size)
-                bits = np.zeros((n, WORDS * 8), np.uint8) if pairs_only else parity(gram, owner, n)
-                h = mix(gram)
-                seen = table[(h % np.uint64(SLOTS)).astype(np.int64)]
-                # long sets are cut into parts: if two sets are similar, so is at least one of their parts;
-                # similar sets differ by one level at most, so each is looked for at two
-                level = np.maximum(0, np.floor(np.log2(np.maximum(size, 1) / PART)).astype(np.int64))[owner]
-                again = np.flatnonzero(level)
-                at = np.concatenate([np.arange(len(h)), again])
-                level = np.concatenate([level, level[again] - 1])
-                part = (mix(gram, 7)[at] & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))).astype(np.int64)
-                order = in_order(h[at], seen[at], part, level, owner[at])
-                h, seen, owner, level, part = h[at][order], seen[at][order], owner[at][order], level[order], part[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (owner[1:] != owner[:-1]) | (level[1:] != level[:-1]) | (part[1:] != part[:-1])
-                start = np.flatnonzero(new)
-                length = np.diff(np.append(start, len(h)))
-                pos = np.arange(len(h)) - np.repeat(start, length)
-                length = np.repeat(length, length)
-                shared_least = np.ceil(threshold * length - 1e-9).astype(np.int64)
-                prefix = length - shared_least + 1
-                key = np.where(level > 0, mix(h, 11) + level.astype(np.uint64), h)
-                place = np.where(level > 0, 0, pos)  # positions bound the overlap of whole sets only
-                single = np.flatnonzero((pos < prefix) & (seen > 1) & ((seen <= rare) | (shared_least < 2)))
-                parts = [(key[:0], owner[:0], pos[:0])] if pairs_only else [(key[single], owner[single], place[single])]
-                common = np.flatnonzero((pos <= prefix) & (seen > rare))
-                if len(common):
-                    group = np.cumsum(new)[common]
-                    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-                    for s, e in zip(begin, np.append(begin[1:], len(common))):
-                        i, j = np.triu_indices(e - s, 1)
-                        i, j = common[s + i], common[s + j]
-                        parts.append((mix(key[i] * np.uint64(3) ^ key[j], 5), owner[i], place[i]))
-                key, own, place = (np.concatenate(p) for p in zip(*parts))
-                for u in range(0, len(key), 1 << 16):
-                    k, o, p = key[u : u + (1 << 16)], own[u : u + (1 << 16)], place[u : u + (1 << 16)]
-                    packed = pa.Array.from_buffers(pa.binary(WORDS * 8), len(o), [None, pa.py_buffer(np.ascontiguousarray(bits[o]).tobytes())]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(ids[x:y][o]), pa.array(labels[x:y][o]), pa.array(size[o].astype(np.int32)), pa.array(p.astype(np.int32)), packed], names=["key", "doc", "label", "n", "pos", "bits"])
-
-    return docs.select("doc", "label", "letters").mapInArrow(rows, "key long, doc long, label long, n int, pos int, bits binary")
-
-
-def survivors(cols: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
-    """Which of the pairs (i, j) every order leaves."""
-    doc, label, n, pos, bits = cols
-    keep = label[i] != label[j]
-    i, j = i[keep], j[keep]
+                bits = parity(gram, np.repeat(np.arange(y - x), size), y - x)
+                key, owner, _ = keys_of(gram, size, table, threshold, rare)
+                side = np.zeros(len(key), np.uint64)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+                    cut = hot[at] == key
+                    n = blocks[at[cut]]
+                    own = (mix(ids[x:y][owner[cut]].view(np.uint64), 9) % n.astype(np.uint64)).astype(np.int64)
+                    # a text goes to the meetings of its block with every block, its own included
+                    k, o, own, size_ = (np.repeat(v, n) for v in (key[cut], owner[cut], own, n))
+                    other = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+                    low, high = np.minimum(own, other), np.maximum(own, other)
+                    k = mix(k + (low * size_ + high).astype(np.uint64), 10)
+                    key, owner = np.concatenate([key[~cut], k]), np.concatenate([owner[~cut], o])
+                    side = np.concatenate([side[~cut], np.where(low == high, 0, 2 + (own == high)).astype(np.uint64)])
+                part = (key % np.uint64(parts)).astype(np.int64)
+                by = np.argsort(part * (y - x) + owner, kind="stable")
+                part, owner = part[by], owner[by]
+                short = ((key[by] >> np.uint64(32)) & np.uint64(0xFFFFFFFC) | side[by]).astype(np.uint32)
+                start = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])))
+                part, owner = part[start], owner[start]
+                packed = pa.Array.from_buffers(pa.binary(WORDS * 8), len(owner), [None, pa.py_buffer(np.ascontiguousarray(bits[owner]).tobytes())]).cast(pa.binary())
+                offsets = pa.py_buffer((np.append(start, len(short)) * 4).astype(np.int32).tobytes())
+                held = pa.Array.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(short.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(ids[x:y][owner]), pa.array(labels[x:y][owner]), pa.array(size[owner].astype(np.int32)), packed, held], names=["part", "doc", "label", "n", "bits", "keys"])
+
+    return docs.select("doc", "label", "letters").mapInArrow(rows, "part int, doc long, label long, n int, bits binary, keys binary")
+
+
+def survivors(n: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs (i, j) sizes and bitmaps leave: similar sets differ in at most
+    ``n1 + n2 - 2 overlap`` tokens, hence in no more bits."""
     total = n[i] + n[j]
     need = np.ceil(threshold / (1 + threshold) * total - 1e-9).astype(np.int64)
-    fits = (np.minimum(n[i], n[j]) >= need) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
-    i, j, most = i[fits], j[fits], (total - 2 * need)[fits]
-    apart = np.zeros(len(i), np.int64)
+    keep = np.flatnonzero(np.minimum(n[i], n[j]) >= need)
+    most, apart = (total - 2 * need)[keep], np.zeros(len(keep), np.int64)
     for w in range(WORDS):
-        apart += np.bitwise_count(bits[i, w] ^ bits[j, w])
+        apart += np.bitwise_count(bits[w][i[keep]] ^ bits[w][j[keep]])
         if w % 2:
             near = apart <= most
-            i, j, most, apart = i[near], j[near], most[near], apart[near]
-    return np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], axis=1)
-
-
-def dense_pairs(cols: tuple[np.ndarray, ...], a: int, b: int, beyond: np.ndarray, threshold: float, rows: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one large group whose parity bits are near enough, found in blocks of rows.
+            keep, most, apart = keep[near], most[near], apart[near]
+    return keep
 
-    Rows come in order of label; ``beyond`` is where the rows of the next label begin, and a row is
-    compared from there on only. The bound is that of ``survivors`` before rounding up, so no pair
-    that it keeps is missed.
-    """
-    _, _, n, _, bits = cols
-    exact = (n[a:b] * ((1 - threshold) / (1 + threshold)) + 1e-6).astype(np.float32)
-    small = exact.max() < 120
-    # the first words alone rule most pairs out; a count that wraps to 0 only keeps a pair that ``survivors`` looks at again
-    words = [np.ascontiguousarray(bits[a:b, w]) for w in (0, 1, WORDS // 2, WORDS // 2 + 1)]
-    most = np.ceil(exact).astype(np.uint8) if small else exact
-    x = 0
-    while x < b - a:
-        y = min(x + rows, b - a)
-        start = int(beyond[a + x]) - a
-        if start >= b - a:  # the last label of the group: nothing follows
-            return
-        apart = np.zeros((y - x, b - a - start), np.uint8 if small else np.uint16)
-        for w in words:
-            apart += np.bitwise_count(w[x:y, None] ^ w[None, start:])
-        i, j = np.nonzero(apart <= most[x:y, None] + most[None, start:])
-        i, j = i + a + x, j + a + start
-        later = j >= beyond[i]
-        yield i[later], j[later]
-        x = y
 
+def meetings(key: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, beyond, end): the order by key and label, and for every place of it where the next
+    label of its key begins and where its key ends."""
+    order = np.argsort((key & np.uint32(0xFFFFFFFC)).astype(np.uint64) << np.uint64(32) | label.astype(np.uint64))
+    key, label = key[order] & np.uint32(0xFFFFFFFC), label[order]
+    new = np.append(True, key[1:] != key[:-1])
+    edge = np.append(np.flatnonzero(new), len(key))
+    run = np.append(np.flatnonzero(new | np.append(True, label[1:] != label[:-1])), len(key))
+    return order, np.repeat(run[1:], np.diff(run)), np.repeat(edge[1:], np.diff(edge))
 
-def compare_groups(rows: DataFrame, unbounded: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
-    """(a, b): the pairs of each key's group that pass the filters.
 
-    ``unbounded`` has key and label of those rows whose groups may exceed a block.
-    """
-    # groups beyond a block are cut into blocks; each pair of blocks is a group of its own; those of one label go
-    stat = unbounded.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("m") > block)
-    stat = stage(stat, "large-keys")
-    large = stat.where("low <> high").select("key", "m")
-    schema = "a long, b long"
+def compare(rows: DataFrame, parts: int, threshold: float) -> DataFrame:
+    """(a, b): the pairs of texts of different labels that meet under a key and pass the filters."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-
-        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            key = table.column("key").to_numpy()
-            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
-            cols = (*(table.column(c).to_numpy() for c in ("doc", "label")), *(table.column(c).to_numpy().astype(np.int64) for c in ("n", "pos")), bits)
-            side = table.column("side").to_numpy()
-            label = cols[1]
-            new = np.append(True, key[1:] != key[:-1])
-            edge = np.append(np.flatnonzero(new), len(key))
-            run = np.append(np.flatnonzero(new | np.append(True, label[1:] != label[:-1])), len(key))
-            beyond = np.repeat(run[1:], np.diff(run))  # where the next label of the group, or the next group, begins
-            out = [np.empty((0, 2), np.int64)]
-            wide = np.flatnonzero(np.diff(edge) > DENSE)
-            for g in wide.tolist():
-                for i, j in dense_pairs(cols, int(edge[g]), int(edge[g + 1]), beyond, threshold):
-                    apart = (side[i] < 0) | (side[i] != side[j])
-                    out.append(survivors(cols, i[apart], j[apart], threshold))
-            end = np.repeat(edge[1:], np.diff(edge))
-            each = end - beyond  # partners after each row: those of later labels in its group
-            for g in wide.tolist():
-                each[edge[g] : edge[g + 1]] = 0
-            upto = np.cumsum(each)
-            a = 0
-            while a < len(key):
-                b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS_AT_ONCE, side="right")))
-                i = np.repeat(np.arange(a, b), each[a:b])
-                j = beyond[i] + np.arange(len(i)) - np.repeat(np.cumsum(each[a:b]) - each[a:b], each[a:b])
-                apart = (side[i] < 0) | (side[i] != side[j])
-                out.append(survivors(cols, i[apart], j[apart], threshold))
-                a = b
-            found = np.unique(np.concatenate(out), axis=0)
-            if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-
-        for b in batches:
-            rest.append(b)
-            if sum(x.num_rows for x in rest) < 20_000:
-                continue
-            table = pa.Table.from_batches(rest)
-            key = table.column("key").to_numpy()
-            last = int(np.searchsorted(key, key[-1])) if key[0] != key[-1] else 0
-            if last:
-                yield from done(table.slice(0, last))
-                rest = table.slice(last).to_batches()
-        if rest:
-            yield from done(pa.Table.from_batches(rest))
-
-    def gather(x: DataFrame) -> DataFrame:
-        return x.repartition("key").sortWithinPartitions("key", "label").mapInArrow(pairs, schema)
-
-    if not stat.limit(1).count():
-        return gather(rows.withColumn("side", F.lit(-1)))
-    small = rows.join(stat.select("key"), "key", "left_anti").withColumn("side", F.lit(-1))
-    cut = rows.join(large, "key").withColumn("blocks", F.ceil(F.col("m") / block).cast("int")).withColumn("own", F.expr("cast(pmod(xxhash64(doc), blocks) as int)"))
-    # block x meets every block y: the pair (x, y) is one group; inside (x, x) all pairs, in (x, y) those across
-    spreaded = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    lo, hi = F.least("own", "other"), F.greatest("own", "other")
-    blocks = spreaded.select(F.xxhash64("key", lo, hi).alias("key"), "doc", "label", "n", "pos", "bits", F.when(lo == hi, F.lit(-1)).otherwise(F.col("own")).alias("side"))
-    return gather(small.unionByName(blocks))
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        del held
+        doc, label, n = (table.column(c).to_numpy() for c in ("doc", "label", "n"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
+        bits = [np.ascontiguousarray(bits[:, w]) for w in range(WORDS)]
+        own = table.column("keys").to_pylist()
+        key = np.frombuffer(b"".join(own), np.uint32)
+        row = np.repeat(np.arange(len(doc), dtype=np.int32), [len(k) // 4 for k in own])
+        del table, own
+        n = n.astype(np.int64)
+        order, beyond, end = meetings(key, np.unique(label, return_inverse=True)[1].astype(np.uint32)[row])
+        row, side = row[order], (key[order] & np.uint32(3)).astype(np.int8)
+        del key, order
+        partners = end - beyond
+        at = np.flatnonzero(partners)
+        upto = np.cumsum(partners[at])
+        found, a = [], 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS_AT_ONCE, side="right")))
+            each = partners[at[a:b]]
+            i = np.repeat(at[a:b], each)
+            j = np.repeat(beyond[at[a:b]] - (np.cumsum(each) - each), each) + np.arange(len(i))
+            if side[at[a:b]].any():
+                apart = (side[i] == 0) | (side[i] != side[j])
+                i, j = i[apart], j[apart]
+            i, j = row[i], row[j]
+            keep = survivors(n, bits, i, j, threshold)
+            x, y = doc[i[keep]], doc[j[keep]]
+            found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0))
+            a = b
+            if sum(map(len, found)) > PAIRS_AT_ONCE or a >= len(at):
+                out = np.unique(np.concatenate(found), axis=0)
+                found = []
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+
+    return rows.repartitionById(parts, F.col("part")).mapInArrow(pairs, "a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -391,33 +400,31 @@ def components(edges: DataFrame) -> DataFrame:
         unstage(old, large)
 
 
-def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 3000, block: int = 4096) -> DataFrame:
+def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 128, block: int = 4096) -> DataFrame:
     """(first_id, other_id): every record of a group with its group's smallest id."""
-    rare = min(rare, (1 << 20) - 1)  # as far as the packed order tells frequencies apart
     rows = stage(keyed(df, id, body), "near-keys")
-    groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("letters").alias("letters")), "near-texts")
+    groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("letters").alias("letters")), "near-texts")
     docs = groups.select(F.col("first_id").alias("doc"), "letters")
     # texts that copies of problem 3 hold together
     held = rows.select("k1", "k2", "c1", "c2").distinct().join(groups.select("c1", "c2", "first_id"), ["c1", "c2"])
     known = held.groupBy("k1", "k2").agg(F.min("first_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = held.join(known, ["k1", "k2"]).select("a", F.col("first_id").alias("b")).where("a <> b")
-    first = stage(verified(prelinks(docs), docs, threshold).unionByName(links), "near-first")
-    label = components(first)
+    links = by_size(held, known, ["k1", "k2"], "n").select("a", F.col("first_id").alias("b")).where("a <> b")
+    table = frequencies(docs)
+    label = components(stage(verified(early_links(docs, table), docs, threshold).unionByName(links), "near-first"))
     labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
     labelled = stage(labelled, "near-labelled")
-    counts = frequencies(labelled)
-    keys = signatures(labelled, counts, threshold, rare)
-    # a rare token's group has at most ``rare`` rows, so only pairs of frequent tokens can exceed a block
-    unbounded = signatures(labelled, counts, threshold, rare, pairs_only=rare <= block)
-    found = verified(compare_groups(keys, unbounded.select("key", "label"), threshold, block).distinct(), docs, threshold)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil((docs.agg(F.sum(F.length("letters"))).first()[0] or 0) / KEYS_A_PART))
+    large = large_keys(labelled, table, threshold, rare, block)
+    pairs = compare(signatures(labelled, table, large, parts, threshold, rare), parts, threshold)
+    found = verified(pairs.distinct(), docs, threshold)
     # what is found links whole components: only their labels go through another contraction
     base = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     between = found.join(base("a"), "a", "left").join(base("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
     merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("last"))
-    own = rows.select("id", F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.lit(True).alias("maybe"))
+    own = rows.select("id", F.col("c1").alias("k1"), F.col("c2").alias("k2"))
     texts = groups.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "first_id", "copies")
     # the representatives themselves, and the copies each stands for
-    copies = members(texts, own).where("id <> first_id").select("first_id", "id")
+    copies = by_size(own, texts.where("copies > 1"), ["k1", "k2"], "copies").where("id <> first_id").select("first_id", "id")
     every = groups.select("first_id", F.col("first_id").alias("id")).unionByName(copies)
     labelled_ids = every.join(label.select(F.col("node").alias("first_id"), "label"), "first_id", "left").select(F.coalesce("label", "first_id").alias("label"), "id")
     return labelled_ids.join(merged, "label", "left").select(F.coalesce("last", "label").alias("first_id"), F.col("id").alias("other_id")).where("first_id <> other_id").distinct()

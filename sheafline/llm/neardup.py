@@ -49,6 +49,8 @@ SLOTS = 1 << 20
 PART = 256  # sets of more than twice as many trigrams are cut into parts
 WORDS = 6  # 64-bit words of a bitmap
 PAIRS_AT_ONCE = 1 << 20
+#: Groups of more places than this are compared in blocks of rows.
+DENSE = 24
 #: Letters whose keys make up one part, which one task holds (about as many keys).
 KEYS_A_PART = 1 << 21
 #: Shared tokens that prefixes are extended to; the largest that both sets allow is used.
@@ -294,19 +296,13 @@ def signatures(docs: DataFrame, table: np.ndarray, large: tuple[np.ndarray, np.n
     return docs.select("doc", "label", "letters").mapInArrow(rows, "part int, doc long, label long, n int, bits binary, keys binary")
 
 
-def survivors(n: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+def survivors(n: np.ndarray, bits: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
     """Which of the pairs (i, j) sizes and bitmaps leave: similar sets differ in at most
     ``n1 + n2 - 2 overlap`` tokens, hence in no more bits."""
     total = n[i] + n[j]
     need = np.ceil(threshold / (1 + threshold) * total - 1e-9).astype(np.int64)
-    keep = np.flatnonzero(np.minimum(n[i], n[j]) >= need)
-    most, apart = (total - 2 * need)[keep], np.zeros(len(keep), np.int64)
-    for w in range(WORDS):
-        apart += np.bitwise_count(bits[w][i[keep]] ^ bits[w][j[keep]])
-        if w % 2:
-            near = apart <= most
-            keep, most, apart = keep[near], most[near], apart[near]
-    return keep
+    apart = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in bits)
+    return (np.minimum(n[i], n[j]) >= need) & (apart <= total - 2 * need)
 
 
 def meetings(key: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -320,6 +316,43 @@ def meetings(key: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, np.repeat(run[1:], np.diff(run)), np.repeat(edge[1:], np.diff(edge))
 
 
+def near(bits: list[np.ndarray], most: np.ndarray, beyond: np.ndarray, end: np.ndarray, rows: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that meet under a key and differ in no more bits than both of their bounds allow.
+
+    Four words are read here, which rule most pairs out. Groups of more than DENSE places are
+    taken in blocks of rows, all others by their distance.
+    """
+    start = np.flatnonzero(np.append(True, end[1:] != end[:-1])[: len(end)])
+    size = np.diff(np.append(start, len(end)))
+    partners = end - beyond
+    for a, b in zip(start[size > DENSE].tolist(), (start + size)[size > DENSE].tolist()):
+        partners[a:b] = 0
+        small = most[a:b].max() < 120
+        bound = np.ceil(most[a:b]).astype(np.uint8) if small else most[a:b]
+        for x in range(a, b, rows):
+            y, first = min(x + rows, b), int(beyond[x])
+            if first >= b:  # the last label of the group: nothing follows
+                break
+            apart = np.zeros((y - x, b - first), np.uint8 if small else np.uint16)
+            for w in bits[:4]:
+                apart += np.bitwise_count(w[x:y, None] ^ w[None, first:b])
+            i, j = np.nonzero(apart <= bound[x - a : y - a, None] + bound[None, first - a :])
+            i, j = i + x, j + first
+            later = j >= beyond[i]
+            yield i[later], j[later]
+    i, far = np.flatnonzero(partners), 0
+    while len(i):
+        j = beyond[i] + far
+        apart = np.bitwise_count(bits[0][i] ^ bits[0][j]) + np.bitwise_count(bits[1][i] ^ bits[1][j])
+        kept = np.flatnonzero(apart <= most[i] + most[j])
+        x, y = i[kept], j[kept]
+        apart = apart[kept] + np.bitwise_count(bits[2][x] ^ bits[2][y]) + np.bitwise_count(bits[3][x] ^ bits[3][y])
+        kept = apart <= most[x] + most[y]
+        yield x[kept], y[kept]
+        far += 1
+        i = i[partners[i] > far]
+
+
 def compare(rows: DataFrame, parts: int, threshold: float) -> DataFrame:
     """(a, b): the pairs of texts of different labels that meet under a key and pass the filters."""
 
@@ -331,36 +364,35 @@ def compare(rows: DataFrame, parts: int, threshold: float) -> DataFrame:
         del held
         doc, label, n = (table.column(c).to_numpy() for c in ("doc", "label", "n"))
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
-        bits = [np.ascontiguousarray(bits[:, w]) for w in range(WORDS)]
         own = table.column("keys").to_pylist()
         key = np.frombuffer(b"".join(own), np.uint32)
         row = np.repeat(np.arange(len(doc), dtype=np.int32), [len(k) // 4 for k in own])
         del table, own
-        n = n.astype(np.int64)
         order, beyond, end = meetings(key, np.unique(label, return_inverse=True)[1].astype(np.uint32)[row])
         row, side = row[order], (key[order] & np.uint32(3)).astype(np.int8)
         del key, order
-        partners = end - beyond
-        at = np.flatnonzero(partners)
-        upto = np.cumsum(partners[at])
-        found, a = [], 0
-        while a < len(at):
-            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS_AT_ONCE, side="right")))
-            each = partners[at[a:b]]
-            i = np.repeat(at[a:b], each)
-            j = np.repeat(beyond[at[a:b]] - (np.cumsum(each) - each), each) + np.arange(len(i))
-            if side[at[a:b]].any():
-                apart = (side[i] == 0) | (side[i] != side[j])
-                i, j = i[apart], j[apart]
-            i, j = row[i], row[j]
-            keep = survivors(n, bits, i, j, threshold)
-            x, y = doc[i[keep]], doc[j[keep]]
-            found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0))
-            a = b
-            if sum(map(len, found)) > PAIRS_AT_ONCE or a >= len(at):
-                out = np.unique(np.concatenate(found), axis=0)
-                found = []
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+        n = n.astype(np.int64)
+        size = n[row]
+        words = [np.ascontiguousarray(bits[:, w])[row] for w in range(WORDS)]
+        found, total = [], 0
+
+        def emit() -> pa.RecordBatch:
+            code = np.unique(np.concatenate(found))
+            x, y = doc[code >> 32], doc[code & 0xFFFFFFFF]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+        for i, j in near(words, (size * ((1 - threshold) / (1 + threshold)) + 1e-6).astype(np.float32), beyond, end):
+            apart = (side[i] == 0) | (side[i] != side[j])
+            i, j = i[apart], j[apart]
+            kept = survivors(size, words, i, j, threshold)
+            x, y = row[i[kept]].astype(np.int64), row[j[kept]].astype(np.int64)
+            found.append(np.minimum(x, y) << 32 | np.maximum(x, y))
+            total += len(x)
+            if total > PAIRS_AT_ONCE:
+                yield emit()
+                found, total = [], 0
+        if total:
+            yield emit()
 
     return rows.repartitionById(parts, F.col("part")).mapInArrow(pairs, "a long, b long")
 

@@ -75,7 +75,8 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), size)[:-2]
     inside = np.arange(len(gram)) + 2 < np.cumsum(size)[owner]
     gram, owner = gram[inside], owner[inside]
-    order = np.lexsort((gram, owner))
+    # by text and hash; a text whose trigrams agree in so many bits of the hash keeps them apart all the same
+    order = np.argsort(owner.astype(np.uint64) << np.uint64(52) | mix(gram) >> np.uint64(12)) if len(texts) <= 4096 else np.lexsort((gram, owner))
     gram, owner = gram[order], owner[order]
     new = np.ones(len(gram), bool)
     new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
@@ -211,7 +212,7 @@ def early_links(docs: DataFrame, table: np.ndarray, bands: int = 8, family: int
                 keep = np.flatnonzero(seen > family)  # what fewer texts hold is in no large family's prefix
                 h, seen, owner = h[keep], seen[keep], np.repeat(np.arange(y - x), size)[keep]
                 order = owner * (2 * bands) + (mix(h, 5) % np.uint64(2 * bands)).astype(np.int64)
-                by = np.lexsort((h, seen, order))
+                by = np.argsort(order.astype(np.uint64) << np.uint64(44) | np.minimum(seen, (1 << 20) - 1).astype(np.uint64) << np.uint64(24) | h >> np.uint64(40))
                 h, order = h[by], order[by]
                 start = np.flatnonzero(np.append(True, order[1:] != order[:-1])[: len(order)])
                 two = start[np.append(order, -1)[start + 1] == order[start]]
@@ -240,6 +241,11 @@ def large_keys(docs: DataFrame, table: np.ndarray, threshold: float, rare: int,
             texts = b.column(0).to_pylist()
             for x, y in slices(texts, 1 << 18):
                 gram, size = trigrams(texts[x:y])
+                # only texts with a frequent token within the longest prefix have such keys
+                owner = np.repeat(np.arange(y - x), size)
+                rest = size - np.bincount(owner[shared.value[(mix(gram) % np.uint64(SLOTS)).astype(np.int64)] > block], minlength=y - x)
+                own = (rest < size - np.ceil(threshold * size - 1e-9) + SHARED[-1]) | (size >= 2 * PART)
+                gram, size = gram[own[owner]], size[own]
                 if len(gram):
                     key, _, held = keys_of(gram, size, shared.value, threshold, rare)
                     key, n = np.unique(key[held > block], return_counts=True)
@@ -413,13 +419,41 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(rows, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node of its component, for every node of an edge (a, b)."""
+def merged_in_one(edges: DataFrame) -> DataFrame:
+    """(node, label) of edges (u, v) of a checked number, by union and find in one task."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        u, v = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+        node, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        u, v = at[: len(u)], at[len(u) :]
+        root = np.arange(len(node))  # hooks the larger root below the smaller one, then halves all paths, until nothing changes
+        while True:
+            x, y = root[u], root[v]
+            if (x == y).all():
+                break
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while (root[root] != root).any():
+                root = root[root]
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[root])], names=["node", "label"])
+
+    return edges.select("u", "v").coalesce(1).mapInArrow(rows, "node long, label long")
+
+
+def components(edges: DataFrame, at_once: int = 1 << 20) -> DataFrame:
+    """(node, label): the least node of its component, for every node of an edge (a, b).
+
+    Rounds of large-star and small-star; what they have contracted to ``at_once`` edges of roots is merged in one task.
+    """
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:  # every round reads a table and writes the next, which then is all that is needed
         state = now.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if state == before or not state[0]:
+        if state[0] <= at_once:
+            return merged_in_one(now)
+        if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -442,7 +476,7 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     known = held.groupBy("k1", "k2").agg(F.min("first_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     links = by_size(held, known, ["k1", "k2"], "n").select("a", F.col("first_id").alias("b")).where("a <> b")
     table = frequencies(docs)
-    label = components(stage(verified(early_links(docs, table), docs, threshold).unionByName(links), "near-first"))
+    label = stage(components(verified(early_links(docs, table), docs, threshold).unionByName(links)), "near-first")
     labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
     labelled = stage(labelled, "near-labelled")
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil((docs.agg(F.sum(F.length("letters"))).first()[0] or 0) / KEYS_A_PART))

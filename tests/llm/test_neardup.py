@@ -89,7 +89,8 @@ def test_long_texts(spark, rare):
     assert sorted(map(tuple, near_found(df, rare=rare).collect())) == brute(rows)
 
 
-def test_components_of_a_path(spark):
+@pytest.mark.parametrize("at_once", [0, 20, 1 << 20])
+def test_components_of_a_path(spark, at_once):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (5, 5)], "a long, b long")
-    got = dict(map(tuple, components(edges).collect()))
+    got = dict(map(tuple, components(edges, at_once).collect()))
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}

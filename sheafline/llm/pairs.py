@@ -4,14 +4,14 @@ A response is read without its markup and in the one form of characters. In this
 first defect that holds is given:
 
 * ``empty``: nothing, or only a stand-in for missing content (a null answer; a null memo is none);
-* ``refusal``: a refusal grammar (polite opening, a core that declines, a closing) covers it;
+* ``refusal``: a refusal grammar (a sentence that declines, politely or as a speaker, then grounds) reads it;
 * ``copy``: greedy string tiling covers most of it by the prompt, and most of the prompt's stem;
 * ``language``: script and function words show another language than the prompt's;
 * ``truncated``: a pushdown parser over fences, formulas, environments, brackets and quotations
   ends with something open, or the last statement breaks off inside a sentence.
 
-Scale: rows are independent; one pass, no shuffle. Tiling runs only where probes of the response
-occur in the prompt, and over an index of the prompt's n-grams.
+Scale: rows are independent; one pass, no shuffle. Tiling runs only where as many letters and
+6-grams of the response occur in the prompt as any such tiling needs; matches come from one order of all suffixes, at every length.
 
 Defined results: a null prompt is treated as empty (nothing can copy it, it has no language);
 repeated rows repeat their defects; texts of any length are read whole.
@@ -21,8 +21,11 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
@@ -50,8 +53,25 @@ CORE = re.compile(_CORE, re.I)
 _HINT = re.compile(r"恕|不便|婉拒|拒绝|超出|不具备|不予|爱莫|无可奉|不在我|没有办法|(?:无法|不能|没法|难以)(?:直接|继续|再)?(?:为|帮|给|向|提|回|解|作|完|协|透|处)|不(?:可以|应|会)(?:提供|透露|给出)")
 _HINTS = ("unable", "not able", "not allowed", "not permitted", "can't", "can’t", "cannot", "can not", "won't", "won’t", "will not", "must not", "may not", "could not", "decline", "not something", "outside", "beyond", "against", "не ", "отказ", "nicht", "できません", "かねます", "puedo", "peux pas", "없")
 POLITE = re.compile(r"抱歉|对不起|很遗憾|遗憾|您好|你好|不好意思|作为(?:一个|一名)?.{0,6}(?:助手|模型|人工智能)|请(?:您)?(?:咨询|谅解|理解|换|查阅|自行)|敬请谅解|建议|可以换|sorry|apologi[sz]e|unfortunately|as an? (?:ai|assistant|language model)|please|i'm afraid|извините|к сожалению|простите|leider|tut mir leid|申し訳|すみません|lo siento|désolé|죄송", re.I)
-#: A refusal is short, or says little beside its grammar.
-REFUSAL_LETTERS = 110
+#: Who declines.
+SPEAKER = re.compile(r"我|本(?:助手|模型|系统|平台)|\b(?:i|we|ich|wir|je|nous|yo|no)\b|(?<!\w)(?:я|мы)(?!\w)|私|저", re.I)
+#: What a sentence of a solution holds: an equation, a formula, a choice, a conclusion, a value with its unit.
+WORKED = re.compile(r"[=＝≈∝]|\$[^$]+\$|\\\(|解得|代入|联立|故选|(?:答案|选项?)[是为]?\s*[A-I]\b|\d\s*(?:[A-Za-zμΩ]{1,3}\b|°)")
+_SENTENCE = re.compile(r"[^。！？!?\n]+")
+
+
+def refuses(text: str) -> bool:
+    """The refusal grammar: one of the first two sentences or the last declines (a core beside
+    politeness or a speaker, or little but a core), and grounds may follow at any length, but no solution."""
+    parts = [x for x in _SENTENCE.findall(text) if letters(x)]
+    size = [len(letters(x)) for x in parts]
+    if not parts or sum(n for x, n in zip(parts, size) if WORKED.search(x)) > 0.25 * sum(size):
+        return False
+    for k in {0, 1, len(parts) - 1} & set(range(len(parts))):
+        m = CORE.search(parts[k])
+        if m and (POLITE.search(" ".join(parts[max(0, k - 1) : k + 2])) or SPEAKER.search(parts[k]) or len(letters(CORE.sub("", parts[k]))) <= 0.75 * size[k]):
+            return True
+    return False
 
 # -- languages -------------------------------------------------------------------------------
 _NO_WORDS = re.compile(r"(?s)```.*?(?:```|\Z)|`[^`\n]*`|\$[^$]*\$|\\\(.*?\\\)|!?\[[^\]\n]*\]\([^)\n]*\)|https?://\S+|\[[\w.]+\]|\b[\w.+\-]+@[\w.\-]+\b|\d[\d.,]*\s*[A-Za-zμΩ°/²³·]{1,6}\b")
@@ -67,7 +87,15 @@ _UNITS = frozenset("km cm mm kg mg kn hz khz mhz mv kv ma kw mw min ms mt kpa pa
 
 _EAST = re.compile(r"[ぁ-んァ-ヴー一-鿿㐀-䶿]")
 _KANA = re.compile(r"[ぁ-んァ-ヴー]")
-_SCRIPTS = re.compile(r"[A-Za-zÀ-ɏЀ-ӿ؀-ۿ가-힣]")
+_SCRIPTS = re.compile(r"[^\W\d_ぁ-んァ-ヴー一-鿿㐀-䶿]")
+#: Runs of signs outside Latin, Han and kana; their letters (marks stand between those of some scripts) make a word from two on.
+_OTHERS = re.compile(r"[^\s\x00-ɏぁ-んァ-ヴー一-鿿㐀-䶿]{2,}")
+
+
+@functools.cache
+def script(c: str) -> str:
+    """The script of a letter, by the first word of its name."""
+    return unicodedata.name(c, "").partition(" ")[0].lower()
 
 
 def language(text: str) -> str:
@@ -79,13 +107,13 @@ def language(text: str) -> str:
     text = _NO_WORDS.sub(" ", text)
     kana = len(re.findall(r"[ぁ-んァ-ヴー]", text))
     han = len(re.findall(r"[一-鿿㐀-䶿]", text))
-    hangul = len(re.findall(r"[가-힣]", text))
-    cyrillic = len(re.findall(r"[Ѐ-ӿ]", text))
-    arabic = len(re.findall(r"[؀-ۿ]", text))
     words = [w for w in re.findall(r"[A-Za-zÀ-ɏ]+(?:['’][A-Za-z]+)?", text) if len(w) > 1 and w.lower() not in _UNITS or w in ("a", "I", "A")]
     latin = sum(map(len, words)) if any(len(w) > 2 for w in words) else 0
     east = 2.5 * (han + kana)
-    weight = {"east": east, "ko": 2.5 * hangul, "cyrillic": cyrillic, "arabic": arabic, "latin": latin}
+    weight: Counter = Counter({"east": east, "latin": latin})
+    for word in _OTHERS.findall(text):
+        for c in filter(str.isalpha, word):
+            weight[script(c)] += 2.5 if "가" <= c <= "힣" else 1
     best = max(weight, key=weight.get)
     if weight[best] < 8:
         return ""
@@ -103,31 +131,56 @@ def language(text: str) -> str:
 # -- copies ----------------------------------------------------------------------------------
 
 
+def longest_matches(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
+    """For every place of ``a`` the longest text from there that occurs in ``b``, and one place where it does.
+
+    Suffixes of both are ranked together by prefix doubling; the best match of a suffix of ``a`` is
+    the nearest suffix of ``b`` before or after it in that order.
+    """
+    n, m = len(a), len(b)
+    code = np.frombuffer(f"{a}\0{b}\1".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    size, levels = len(code), []
+    rank, width = np.unique(code, return_inverse=True)[1].astype(np.int64), 1
+    while True:
+        levels.append((width, rank.astype(np.int32)))
+        after = np.append(rank[width:], np.full(min(width, size), -1)) if width < size else np.full(size, -1)
+        pair = rank * (size + 1) + after + 1
+        if width >= size or rank.max() == size - 1:
+            break
+        rank, width = np.unique(pair, return_inverse=True)[1].astype(np.int64), 2 * width
+    order = np.argsort(rank, kind="stable")
+    place = np.empty(size, np.int64)
+    place[order] = np.arange(size)
+    other = order > n
+    before = np.maximum.accumulate(np.where(other, np.arange(size), -1))
+    behind = np.minimum.accumulate(np.where(other, np.arange(size), size)[::-1])[::-1]
+    best, at = np.zeros(n, np.int64), np.full(n, -1)
+    own = np.arange(n)
+    for near in (before[place[:n]], behind[place[:n]]):
+        there = (near >= 0) & (near < size)
+        x, y = own.copy(), np.where(there, order[np.clip(near, 0, size - 1)], size)
+        for w, level in reversed(levels):
+            fits = (x + w <= n) & (y + w <= size - 1)
+            same = np.flatnonzero(fits)[level[x[fits]] == level[y[fits]]]
+            x[same] += w
+            y[same] += w
+        longer = (x - own > best) & there
+        best[longer] = (x - own)[longer]
+        at[longer] = (y - (x - own))[longer] - n - 1
+    return best, at
+
+
 def tiling(a: str, b: str, least: int = 6) -> int:
-    """Characters of ``a`` covered by greedy string tiling with ``b``: longest common tiles first."""
-    grams: dict[str, list[int]] = {}
-    for j in range(len(b) - least + 1):
-        grams.setdefault(b[j : j + least], []).append(j)
-    if len(a) > 20_000 or any(len(g) > 64 for g in grams.values()):
-        # long or repetitive texts: what any common tile can cover, in one pass
-        covered = bytearray(len(a))
-        for i in range(len(a) - least + 1):
-            if a[i : i + least] in grams:
-                covered[i : i + least] = b"\1" * least
-        return min(sum(covered), len(b))
-    runs = []
-    i = 0
+    """Characters of ``a`` covered by greedy string tiling with ``b``: longest common tiles first, no
+    character of either in two tiles."""
+    if len(a) < least or len(b) < least:
+        return 0
+    best, at = (x.tolist() for x in longest_matches(a, b))
+    runs, i = [], 0
     while i <= len(a) - least:
-        best, at = 0, -1
-        for j in grams.get(a[i : i + least], ()):
-            k = least
-            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
-                k += 1
-            if k > best:
-                best, at = k, j
-        if best:
-            runs.append((best, i, at))
-            i += max(1, best - least + 1)
+        if best[i] >= least:
+            runs.append((best[i], i, at[i]))
+            i += best[i] - least + 1
         else:
             i += 1
     used_a, used_b, covered = bytearray(len(a)), bytearray(len(b)), 0
@@ -154,16 +207,16 @@ def stem(prompt: str) -> str:
     return prompt
 
 
-def copies(response: str, prompt: str, prompt_stem: str) -> bool:
+def copies(response: str, prompt: "Prompt") -> bool:
+    """Tiles of the prompt cover most of a response and, of a short one, most of the prompt's stem too."""
     own = letters(LEADS.sub("", response))
-    n = len(own)
-    if n < 16 or n < 0.4 * len(prompt_stem):
+    n, held = len(own), prompt.signs
+    if n < 6 or n < 0.4 * len(prompt.stem) or sum(c in held for c in own) < 0.8 * n:
         return False
-    probes = [own[k * (n - 8) // 6 : k * (n - 8) // 6 + 8] for k in range(7)]
-    if sum(p in prompt for p in probes) < 3:
+    grams = prompt.grams  # every tile of six letters or more shows as one of these at least
+    if sum(own[i : i + 6] in grams for i in range(n - 5)) < 0.8 * n / 6 or tiling(own, prompt.letters) < 0.8 * n:
         return False
-    covered = tiling(own, prompt)
-    return covered >= 0.8 * n and tiling(prompt_stem, own) >= 0.4 * len(prompt_stem)
+    return tiling(prompt.stem, own) >= (0.4 if n >= 16 else 0.8) * len(prompt.stem)
 
 
 # -- truncation ------------------------------------------------------------------------------
@@ -173,44 +226,60 @@ _VALUE = re.compile(r"(?:[-+−±]?\d[\d.,]*(?:\s*[×x]\s*10\^?[-−]?\d+)?\s*(?
 _FINISHED = re.compile(r"(?:略去|不变|守恒|可知|正确|错误|成立|减小|增大|变小|变大|相等|相同|不同|为零|无关|有关|平衡|静止|选项?[A-I]+|完毕|证毕|得证|即可|如下|所示|为准|左右|所求|附注|图表|个单位|倍|另列|另计|联立|correct|wrong|true|false|zero|constant|done|rest|equal|unchanged)$", re.I)
 #: A value alone, after a label or a picture at most, and its direction: a short answer.
 _DIRECTED = re.compile(r"(?:^|[:：)）\]】*])\s*[-+−±]?\d[\d.,]*\s*[A-Za-zμΩ°/²³·]{0,6}\s*[，,]?\s*[^，,。\d]{0,8}$")
-#: What may come after a response and says nothing about it, by its end: tables, code, pictures, links, tags, entities.
+#: What may come after a response and says nothing about it: how it ends, how it begins, its form where
+#: that is not all it takes. Tables, code, pictures, links, tags, entities.
 _TAILS = (
-    (">", re.compile(r"</?[A-Za-z][^<>]{0,400}>\Z"), {"</pre>": "<pre", "</table>": "<table"}),
-    (">", re.compile(r"-->\Z"), {"-->": "<!--"}),
-    (";", re.compile(r"&lt;/?[A-Za-z][^&<>]{0,200}&gt;\Z"), {}),
-    (";", re.compile(r"&#?\w{1,10};\Z"), {}),
-    ("}", re.compile(r"\|\}\Z"), {"|}": "{|"}),
-    ("}", re.compile(r"\}\}\Z"), {"}}": "{{"}),
-    ("}", re.compile(r"\\end\{(?:equation|align|gather|tabular|verbatim)\*?\}\Z"), {}),
-    ("}", re.compile(r"\\(?:onepicture|includegraphics)(?:\[[^\]\n]{0,200}\])?\{[^{}]{0,200}\}\Z"), {}),
-    ("}", re.compile(r"\\quad\s*[\d.]{1,20}\s*\\,\s*\\mathrm\{[^{}]{0,40}\}\Z"), {}),
-    (")", re.compile(r"见?!?\[[^\]\n]{0,200}\]\([^()\s]{1,400}\)\Z"), {}),
-    ("|", re.compile(r"(?:^|\n)[ \t]*\|[^\n]*\|\Z"), {}),
-    ("`", re.compile(r"```\Z"), {}),
+    ("</pre>", "<pre", None),
+    ("</table>", "<table", None),
+    ("-->", "<!--", None),
+    (">", "<", re.compile(r"</?[A-Za-z][^<>]*>")),
+    ("&gt;", "&lt;", re.compile(r"&lt;/?[A-Za-z][^&<>]*&gt;")),
+    (";", "&", re.compile(r"&#?\w{1,32};")),
+    ("|}", "{|", None),
+    ("}}", "{{", None),
+    ("}", "\\end{", re.compile(r"\\end\{(equation|align|gather|tabular|verbatim)(\*?)\}")),
+    ("}", "\\onepicture", re.compile(r"\\onepicture(?:\[[^\]\n]*\])?\{[^{}]*\}")),
+    ("}", "\\includegraphics", re.compile(r"\\includegraphics(?:\[[^\]\n]*\])?\{[^{}]*\}")),
+    ("}", "\\quad", re.compile(r"\\quad\s*[\d.]+\s*\\,\s*\\mathrm\{[^{}]*\}")),
+    (")", "[", re.compile(r"\[[^\]\n]*\]\([^()\s]+\)")),
+    ("|", "\n", re.compile(r"\n[ \t]*\|[^\n]*\|")),
+    ("```", "```", None),
 )
+_LINK_LEAD = re.compile(r"见?!?\Z")
 
 
 def strip_appended(raw: str) -> str:
-    """A response without what is appended to it; every step takes one mark off the end."""
-    end = len(raw)
+    """A response without what is appended to it; every step takes one mark off the end.
+
+    Places only move forward to the beginning, so each opening sign is looked for once.
+    """
+    end, last = len(raw), {}
+
+    def before(sign: str, end: int) -> int:
+        at = last.get(sign)
+        if at is None or at + len(sign) > end:
+            last[sign] = at = raw.rfind(sign, 0, end)
+        return at
+
     while True:
         while end and raw[end - 1].isspace():
             end -= 1
-        window = raw[max(0, end - 1000) : end]
-        for last, pattern, opens in _TAILS:
-            if window.endswith(last) and (m := pattern.search(window)):
-                whole = m[0]
-                if whole == "```":
-                    at = raw.rfind("```", 0, end - 3)
-                elif whole.startswith("\\end{"):
-                    at = raw.rfind("\\begin" + whole[4:], 0, end)
-                elif whole in opens:
-                    at = raw.rfind(opens[whole], 0, end)
-                else:
-                    at = end - len(whole)
-                if 0 <= at < end:
-                    end = at
-                    break
+        for mark, sign, form in _TAILS:
+            if not raw.endswith(mark, 0, end):
+                continue
+            at = before(sign, end - len(mark))
+            if mark == "|" and at < 0 and re.fullmatch(r"[ \t]*\|[^\n]*\|", raw[:end]):
+                return ""
+            if at < 0 or form and not (m := form.fullmatch(raw, at, end)):
+                continue
+            if sign == "\\end{":  # the whole environment goes, from where it begins
+                at = raw.rfind(f"\\begin{{{m[1]}{m[2]}}}", 0, at)
+                if at < 0:
+                    continue
+            if sign == "[":
+                at -= len(_LINK_LEAD.search(raw, max(0, at - 2), at)[0])
+            end = at
+            break
         else:
             return raw[:end]
 
@@ -293,7 +362,8 @@ def truncated(raw: str, clean: str) -> bool:
         return len(re.findall(r"[一-鿿]", sentence)) >= 2
     if re.search(r"[ぁ-んァ-ヴー]$", sentence):
         return not re.search(r"(?:る|た|す|い|ん|だ)$", sentence)
-    return len(words) >= 2 and bool(re.search(r"[^\W\d_]{2,}$|\b[aI]$", sentence))
+    # a single small letter after running words is the beginning of a word
+    return len(words) >= 2 and bool(re.search(r"[^\W\d_]{2,}$|\b[aI]$|[a-z]{2,}[ ,]+(?:[a-z]{2,}[ ,]+)+[b-z]$", sentence))
 
 
 # -- rows ------------------------------------------------------------------------------------
@@ -323,21 +393,21 @@ def defect(response: str | None, prompt: "Prompt", null_is_empty: bool) -> str |
             return "empty"
         if re.fullmatch(r"[A-I]{1,9}|[\d.\s]+[^\W\d]{0,4}", bare):
             return None
-    size = len(letters(clean))
-    if size <= 3 * REFUSAL_LETTERS and hinted(clean) and CORE.search(clean):
-        rest = len(letters(POLITE.sub("", CORE.sub("", clean))))
-        if size <= REFUSAL_LETTERS and (POLITE.search(clean) or rest <= 0.75 * size) or POLITE.search(clean) and rest <= 0.5 * size:
-            return "refusal"
-    if copies(clean, prompt.letters, prompt.stem):
+    if hinted(clean) and CORE.search(clean) and refuses(clean):
+        return "refusal"
+    if copies(clean, prompt):
         return "copy"
     own = language(bare)
     if own and prompt.language and own != prompt.language and "latin" not in (own, prompt.language):
         return "language"
-    if own == "latin" and prompt.language in ("zh", "ja", "ko", "cyrillic"):
+    if own == "latin" and prompt.language not in ("", "latin", *FUNCTION_WORDS):
         return "language"
     if clean[-1:] in _ENDS:  # nothing breaks off
         return None
-    stop = max(response.rfind(c) for c in _ENDS) + 1  # what is appended stands after the last full stop
+    mark = len(response)
+    while (mark := response.rfind("!", 0, mark)) >= 0 and response[mark + 1 : mark + 2] == "[":  # a picture is no end
+        pass
+    stop = max(mark, *(response.rfind(c) for c in _ENDS if c != "!")) + 1  # what is appended stands after the last full stop
     raw = response[:stop] + strip_appended(_SUP.sub("", response[stop:]))
     if "\\\\ " in raw:
         raw = raw.rpartition("\\\\ ")[0]
@@ -359,6 +429,14 @@ class Prompt:
     def letters(self) -> str:
         return letters(self.clean)
 
+    @functools.cached_property
+    def signs(self) -> frozenset[str]:
+        return frozenset(self.letters)
+
+    @functools.cached_property
+    def grams(self) -> frozenset[str]:
+        return frozenset(self.letters[i : i + 6] for i in range(len(self.letters) - 5))
+
     @functools.cached_property
     def stem(self) -> str:
         return letters(stem(self.clean)) or self.letters

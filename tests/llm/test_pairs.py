@@ -2,7 +2,7 @@
 
 import random
 
-from sheafline.llm.pairs import Prompt, Pushdown, defect, defects_found, language, tiling
+from sheafline.llm.pairs import Prompt, Pushdown, defect, defects_found, language, longest_matches, tiling
 
 BODY = "由小球和木箱组成的系统静置于暗箱，总质量32.0 kg。\n环境温度维持在873 K，电压表的带电量为6.60 μC。\n写出折射率与效率之间的关系式。\nA．电压表读数为30.1 V\nB．动能先增大后减小"
 PROMPT = Prompt(BODY)
@@ -66,3 +66,39 @@ def test_rows(spark):
     got = sorted(map(tuple, defects_found(df).collect()))
     assert got == [(1, "answer", "empty"), (1, "answer", "empty"), (2, "memo", "empty"), (3, "memo", "copy"), (4, "memo", "copy")]
     assert defects_found(df.limit(0)).collect() == []
+
+
+def test_no_length_changes_a_result():
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏") for _ in range(n))
+    for n in (12, 15, 16, 17, 300, 19990, 20010):
+        prompt = text(n)
+        edited = "".join(c if i % 23 else "甲" for i, c in enumerate(prompt))
+        assert defect(edited if n > 30 else prompt, Prompt(prompt), True) == "copy", n
+        assert defect(text(n) + "。", Prompt(prompt), True) is None, n
+    unit = text(9)
+    for times in (60, 64, 65, 70, 3000):  # one 6-gram stands any number of times
+        assert tiling(unit * times, unit * 3) == 27 and tiling(unit * times, unit * times) == 9 * times
+    for n in (5, 40, 330, 353, 3000):
+        assert defect("抱歉，我无法回答这个问题。" + "因为相关内容需要由任课人员确认，平台没有得到允许。" * (n // 24 + 1), Prompt("求小车的速度"), True) == "refusal"
+    assert defect("静摩擦力不能提供足够的向心力，故物体做离心运动。" * 8, Prompt("求小车的速度"), True) is None
+    for n in (150, 250, 399, 401, 1200):
+        assert defect(f'速度变大，于是小车的动<a title="{"x" * n}">', Prompt("求小车的速度"), True) == "truncated"
+        assert defect(f"速度变大，于是小车的动![](figs/{'x' * n}.png)", Prompt("求小车的速度"), True) == "truncated"
+
+
+def test_tiling_equals_its_definition():
+    rng = random.Random(5)
+    for _ in range(60):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randrange(30))) for _ in range(2))
+        best, at = longest_matches(a, b)
+        for i in range(len(a)):
+            want = max((k for k in range(len(a) - i + 1) if a[i : i + k] in b), default=0)
+            assert best[i] == want and (not want or b[at[i] : at[i] + want] == a[i : i + want])
+
+
+def test_every_script_is_a_language():
+    for text in ("ความเร็วของรถเพิ่มขึ้นตามเวลา", "गाड़ी का वेग समय के साथ बढ़ता है", "המהירות של העגלה גדלה עם הזמן", "η ταχύτητα του οχήματος αυξάνεται με τον χρόνο", "Скорость тележки растёт", "속도가 증가한다 시간에 따라"):
+        assert defect(text + "。", Prompt("求小车在水平面上运动的速度与时间的关系。"), True) == "language"
+        assert defect(text + ".", Prompt("Find the speed of the cart and the time that it needs."), True) == "language"
+    assert defect("μ、Ω 与 α 均为正", Prompt("求小车在水平面上运动的速度与时间的关系。"), True) != "language"

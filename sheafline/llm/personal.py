@@ -2,17 +2,19 @@
 
 Finding: one scanner per kind (e-mail, phone, citizen number, address, name). Numbers are
 checked by form, date and check character; addresses and names by grammars anchored on what
-surrounds them (lead-in words, titles, labels, verbs).
+surrounds them (lead-in words, titles, labels, verbs, other names). Every mention belongs to an
+entity, its kind and canonical form.
 
 Replacing (method: surrogate generation): every entity gets a keyed surrogate of its kind that
-keeps script, format, length and, where the titles of its mentions tell it, gender (settled once
-over the table of all mentions), and is written inside a typed placeholder such as ``[PHONE:0961-4420158]``. The same entity, however it is written, gets the
-same surrogate everywhere (coreference); two entities that would get the same one are told
-apart by a number given after a collision check over the table of all distinct entities.
+keeps script, format, length, country or sex and, where the titles of its mentions tell it, gender
+(settled once over the table of all mentions), and is written inside a typed placeholder such as
+``[PHONE:0961-4420158]``. The same entity, however it is written, gets the same surrogate
+everywhere (coreference); two entities that would get the same one are told apart by a number
+given after a collision check over the table of all distinct entities.
 
-Scale: finding is one pass without a shuffle. For replacing, only the mentions travel; they are
-cut to distinct entities before the collision check, and joined back with adaptive skew
-handling, so a mention that a third of all documents share is no hot task.
+Scale: finding is one pass. For replacing, mentions are cut to distinct entities map-side before
+they move; only the entities that have a gender or clash come back, by broadcast under a checked
+number (``at_once``) and by a join beyond it, so up to that number no text moves.
 
 Defined results: null and empty text have no mentions and come out unchanged; mentions do not
 overlap (the kind named first above wins); repeated documents repeat their mentions.
@@ -24,8 +26,9 @@ import datetime
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
@@ -97,9 +100,25 @@ NAME_EN = re.compile(
     rf"|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof)\.?\s({_EN})"
     rf"|(?<![A-Za-z.,])(?<!\d )({_EN})(?=\s(?:typed|wrote|reviewed|checked|signed|prepared|marked|graded|edited|scanned|submitted|reported|set|invigilated)\s)"
 )
+#: Common given names; with a capitalised word behind them they need no other sign.
+FIRST = "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Mark Donald Steven Paul Andrew Joshua Kenneth Kevin Brian George Edward Ronald Timothy Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Stephen Larry Justin Scott Brandon Benjamin Samuel Frank Gregory Raymond Alexander Patrick Jack Dennis Jerry Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Margaret Betty Sandra Ashley Dorothy Kimberly Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Laura Sharon Cynthia Kathleen Amy Angela Shirley Anna Brenda Pamela Emma Nicole Helen Samantha Katherine Christine Debra Rachel Carolyn Janet Catherine Maria Heather Diane Ruth Julie Olivia Joyce Virginia Victoria Kelly Lauren Christina Joan Evelyn Judith Alice Grace Henry Peter Oliver Lucy Sophie".split()
+NAME_FIRST = re.compile(rf"\b(?:{'|'.join(FIRST)})(?: [A-Z]\.)* (?!(?:{'|'.join('The A An At In On By From With Over And Or Is Was Has Road Street Avenue Lane Drive Court Way Place Square School College University Bridge Law'.split())})\b){_W}\b")
+#: Signs common in given names, and what may stand around a name in running text.
+GIVEN = {
+    "m": "伟强磊军勇杰涛斌鹏辉刚健浩宇轩博峰龙飞超毅俊锋栋梁晨志国建松海波亮旭东升振庆元凯诚",
+    "f": "芳娜敏静丽娟艳霞婷雪莉萍颖倩蕾琳秀英玲燕慧琴洁梅兰凤欣怡佳琪雯瑶悦莹菲薇月竹春香珍",
+    "": "文华明安宁远思清子嘉若一书和平川云心如可晓雨星言希乐天润泽之恒景行知秋木南北真",
+}
+_PERSON = rf"{_ZH}[{''.join(GIVEN.values())}小大玉桂福]{{2}}"
+NAME_RUNNING = re.compile(rf"(?<!{_H})({_PERSON})(?=[和与、及去在来说把将对给向到也是已曾又便就])|(?<=[和与、及])({_PERSON})(?=[去在来说把将对给向到一也是已曾共])")
 STARTS = frozenset("The A An At In On By From With Over Near After Between Hence Energy How Find State Compare Explain Sensor Gauge Phone Call Leave Please Pages Scans Room Print Identity Holder Address Post Unit This That Each".split())
 
 
+def check_character(body: str) -> str:
+    """The check character of the first 17 digits of a citizen number."""
+    return "10X98765432"[sum(int(c) * w for c, w in zip(body, (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2))) % 11]
+
+
 def check_id(value: str) -> bool:
     """A citizen number: a real date and the right check character."""
     s = unicodedata.normalize("NFKC", value).replace(" ", "").upper()
@@ -107,8 +126,7 @@ def check_id(value: str) -> bool:
         born = datetime.date(int(s[6:10]), int(s[10:12]), int(s[12:14]))
     except ValueError:
         return False
-    weights = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
-    return 1850 < born.year <= 2100 and "10X98765432"[sum(int(c) * w for c, w in zip(s, weights)) % 11] == s[17]
+    return 1850 < born.year <= 2100 and check_character(s[:17]) == s[17]
 
 
 def _address(m: re.Match, text: str) -> tuple[int, int] | None:
@@ -156,6 +174,10 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
         g = 1 if m[1] else 2
         if not ROLES.match(m[g]):
             add(*m.span(g), "name")
+    for m in NAME_RUNNING.finditer(text):
+        g = 1 if m[1] else 2
+        if not ROLES.match(m[g]):
+            add(*m.span(g), "name")
     for m in NAME_EN.finditer(text):
         g = next(i for i in (1, 2, 3) if m[i])
         words = re.findall(r"[A-Za-z]+", m[g])
@@ -166,14 +188,16 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
             words = words[:-1]
         if words[0] not in STARTS and words[-1] not in STARTS and len(words) > 1:
             add(a, b, "name")
+    for m in NAME_FIRST.finditer(text):
+        add(*m.span(), "name")
     return sorted(found)
 
 
-# -- surrogates ------------------------------------------------------------------------------
+# -- entities --------------------------------------------------------------------------------
 
 
 def canonical(kind: str, value: str) -> str:
-    """One form for all spellings of an entity."""
+    """One form for all spellings of an entity; a phone number with the code of its country, without a trunk 0."""
     s = unicodedata.normalize("NFKC", value)
     if kind == "email":
         return re.sub(r"[\[({<\s]*\bat\b[\])}>\s]*", "@", re.sub(r"[\[({\s]*\bdot\b[\])}\s]*", ".", re.sub(r"\s?@\s?", "@", s.lower())))
@@ -181,7 +205,15 @@ def canonical(kind: str, value: str) -> str:
         return s.replace(" ", "").upper()
     if kind == "phone":
         digits = re.sub(r"\D", "", s)
-        return digits[2:] if len(digits) == 13 and digits.startswith("86") else digits
+        if re.match(r"\(?(?:\+|00)", s) or len(digits) == 13 and digits.startswith("86"):
+            digits = digits.removeprefix("00")
+            code = next((c for c in ("86", "1") if digits.startswith(c)), "")
+            return f"{code}-{digits[len(code):].removeprefix('0')}"
+        if digits.startswith("0"):
+            return f"86-{digits[1:]}"
+        if len(digits) == 11 and digits.startswith("1"):
+            return f"1-{digits[1:]}" if re.match(r"1\D", s) else f"86-{digits}"
+        return f"1-{digits}"
     if kind == "address":
         return re.sub(r"\s+", " ", s).lower()
     if "," in s:
@@ -190,81 +222,111 @@ def canonical(kind: str, value: str) -> str:
     return re.sub(r"\s+", " ", s).lower()
 
 
-def _draw(key: str, kind: str, canon: str, what: str, n: int) -> list[int]:
-    out, i = [], 0
-    while len(out) < n:
-        out += hashlib.blake2b(f"{kind}\x1f{canon}\x1f{what}\x1f{i}".encode(), key=key.encode()[:64], digest_size=64).digest()
-        i += 1
-    return out[:n]
+def gender_of(text: str, a: int, b: int) -> str:
+    """m, f or unknown, from the title at a name."""
+    before, after = text[max(0, a - 5) : a], text[b : b + 2]
+    if after == "先生" or re.search(r"\bMr\.?\s$", before):
+        return "m"
+    return "f" if after in ("女士", "小姐") or re.search(r"\b(?:Mrs|Ms|Miss)\.?\s$", before) else ""
+
 
+def entities(text: str) -> list[dict]:
+    """Every mention with its entity. A name of three signs or more that some sign gives away is
+    followed through the whole text: what is written alike elsewhere in it is the same person."""
+    spans = mentions(text)
+    taken = np.zeros(len(text) + 1, bool)
+    for a, b, _ in spans:
+        taken[a:b] = True
+    for name in {text[a:b] for a, b, k in spans if k == "name" and b - a > 2}:
+        edge = r"\b" if name[0].isascii() else ""
+        for m in re.finditer(edge + re.escape(name) + edge, text):
+            if not taken[m.start() : m.end()].any():
+                taken[m.start() : m.end()] = True
+                spans.append((m.start(), m.end(), "name"))
+    return [{"kind": k, "canon": canonical(k, text[a:b]), "value": text[a:b], "gender": gender_of(text, a, b) if k == "name" else "", "start": a, "stop": b} for a, b, k in sorted(spans)]
 
-#: Parts of surrogates.
-GIVEN = {"m": "伟强磊军勇杰涛斌鹏辉刚健浩宇轩博", "f": "芳娜敏静丽娟艳霞婷雪莉萍颖倩蕾琳", "": "文华明安宁远思清子嘉若一书和平川"}
-FIRST = {"m": "Adam Brian Colin David Edwin Frank Gavin Harold".split(), "f": "Alice Brenda Clara Diana Edith Fiona Grace Helen".split(), "": "Alex Blair Casey Drew Emery Jordan Morgan Quinn".split()}
-LAST = "Carter Mason Turner Walker Cooper Barker Fisher Weaver Potter Sawyer Miller Baker Porter Parker Archer Hunter".split()
-STREETS, PLACES = "甲乙东南西北中和平安长宁新光明文华春秋", "安宁平和清远"
+
+# -- surrogates ------------------------------------------------------------------------------
+
+
+def _draw(key: str, kind: str, canon: str) -> Callable[[int], int]:
+    """A keyed source of numbers that belongs to an entity: each call gives one below its argument."""
+    own = hashlib.blake2b(f"{kind}\x1f{canon}".encode(), key=hashlib.blake2b(key.encode()).digest(), digest_size=16).digest()
+    state = int.from_bytes(hashlib.shake_128(own).digest(160), "big")
+
+    def below(n: int) -> int:
+        nonlocal state
+        state, x = divmod(state, n)
+        return x
+
+    return below
+
+
+#: Parts of surrogates. Latin names are made of syllables, others of GIVEN.
+ENDINGS = {"m": "an on us ard er o".split(), "f": "a ia ine elle ette ena".split(), "": "en is y ey in el".split()}
+SURNAMES = "son ley ton man ford well wood field worth by stone ham".split()
+ONSETS, VOWELS, CODAS = "bdfghjklmnprstvw", "aeiou", "lmnrstdbv"
+
+
+def _syllables(below: Callable[[int], int]) -> str:
+    pick = lambda pool: pool[below(len(pool))]
+    return (pick(ONSETS) + pick(VOWELS) + pick(CODAS) + (pick(VOWELS) + pick(CODAS) if below(2) else "")).capitalize()
+
+
+def _written(value: str, new: str, keep: int) -> str:
+    """``new`` digits in the places of a value's digits after the first ``keep``, in their width."""
+    pool, out, seen = iter(new), [], 0
+    for c in value:
+        if c.isdigit() or c in "XxＸｘ" and len(new) == 18:
+            seen += 1
+            if seen > keep:
+                d = next(pool, "0")
+                c = chr(ord(d) + 0xFEE0) if ord(c) > 0xFF00 else d
+        out.append(c)
+    return "".join(out)
 
 
 def surrogate(kind: str, value: str, canon: str, gender: str, key: str) -> str:
     """A keyed stand-in of the same kind, script and format; depends on the entity and its form alone."""
-    if kind in ("phone", "id_number"):
-        digits = re.sub(r"\D", "", canon) if kind == "phone" else canon[:17]
-        new = "".join(str(x % 10) for x in _draw(key, kind, canon, "d", len(digits) + 2))
-        keep = 2 if kind == "phone" else 0  # the type of line stays readable, the number does not
-        pool = iter(digits[:keep] + new[keep:])
-        skip = len(re.sub(r"\D", "", unicodedata.normalize("NFKC", value))) - len(digits) if kind == "phone" else 0
-        out = []
-        for c in value:
-            if c.isdigit() and skip > 0:
-                skip -= 1
-                out.append(c)
-            elif c.isdigit() or kind == "id_number" and c in "XxＸｘ":
-                d = next(pool, "0")
-                out.append(chr(ord(d) + 0xFEE0) if ord(c) > 0xFF00 else d)
-            else:
-                out.append(c)
-        return "".join(out)
-    r = _draw(key, kind, canon, "x", 24)
-    pick = lambda pool, i: pool[(r[i] << 8 | r[i + 1]) % len(pool)]
+    below = _draw(key, kind, canon)
+    pick = lambda pool: pool[below(len(pool))]
+    if kind == "phone":  # country, trunk 0 and type of line stay readable, the number does not
+        own = canon.partition("-")[2]
+        new = own[:2] + "".join(str(below(10)) for _ in own[2:])
+        return _written(value, new, sum(c.isdigit() for c in value) - len(own))
+    if kind == "id_number":  # a citizen number with a date, the same sex and a valid check character
+        body = f"{1 + below(8)}{below(100000):05d}{1940 + below(70)}{1 + below(12):02d}{1 + below(28):02d}{below(100):02d}{2 * below(5) + int(canon[16]) % 2}"
+        return _written(value, body + check_character(body), 0)
     if kind == "email":
-        user = "".join("abcdefghijklmnopqrstuvwxyz"[x % 26] for x in r[:8])
-        user = user.upper() if value.isupper() else user
-        return f"{user}@{'EXAMPLE.INVALID' if value.isupper() else 'example.invalid'}"
+        user = "".join(chr(97 + below(26)) for _ in range(10))
+        return f"{user}@example.invalid".upper() if value.isupper() else f"{user}@example.invalid"
     han = re.search(_H, value)
     if kind == "address":
         if han:
-            head = f"{pick(PLACES, 0)}{pick(PLACES, 2)}{m[0]}" if (m := re.search(r"[市县区镇]", value)) else ""
+            pool = GIVEN[""]
+            head = f"{pick(pool)}{pick(pool)}{m[0]}" if (m := re.search(r"[市县区镇]", value)) else ""
+            street = f"{pick(pool)}{pick(pool)}"
             road = re.search(rf"{STREET}(?={_D})", value)
-            i = iter(range(8, 24))
-            number = re.sub(_D, lambda _: str(r[next(i, 23)] % 9 + 1), value[road.end() :] if road else "1号")
-            return f"{head}{pick(STREETS, 4)}{pick(STREETS, 6)}{road[0] if road else '路'}{number}"
-        i = iter(range(8, 24))
-        tail = re.search(r" (\w+)(,.*)?$", value)
-        return f"{r[0] % 9 + 1}{r[1] % 10} {pick(LAST, 2)} {tail[1] if tail else 'Road'}" + re.sub(r"\d", lambda _: str(r[next(i, 23)] % 9 + 1), tail[2] or "" if tail else "")
+            number = re.sub(_D, lambda _: str(below(9) + 1), value[road.end() :] if road else "1号")
+            return f"{head}{street}{road[0] if road else '路'}{number}"
+        tail = re.search(r" (\w+\.?)(,.*| (?:unit|apt|apartment|suite|room|flat|floor|#).*)?$", value, re.I)
+        return f"{below(90) + 10} {_syllables(below)}{pick(SURNAMES)} {tail[1] if tail else 'Road'}" + re.sub(r"\d", lambda _: str(below(9) + 1), tail[2] or "" if tail else "")
     if han:
-        family = FAMILY[19:] if len(value) < 4 and value[:2] not in FAMILY[:19] else FAMILY[:19]
-        return pick(family, 0) + "".join(pick(GIVEN[gender], 2 + 2 * i) for i in range(len(value) - len(pick(family, 0))))
-    first, last = pick(FIRST[gender], 0), pick(LAST, 2)
-    middle = "".join(f" {chr(65 + x % 26)}." for x in r[4 : 4 + len(re.findall(r"\b[A-Z]\.", value)) - (value[1:2] == ".")])
+        family = pick(FAMILY[19:] if value[:2] not in FAMILY[:19] else FAMILY[:19])
+        return family + "".join(pick(GIVEN[gender]) for _ in range(len(value) - len(family)))
+    first, last = _syllables(below) + pick(ENDINGS[gender]), _syllables(below) + pick(SURNAMES)
+    middle = "".join(f" {chr(65 + below(26))}." for _ in range(len(re.findall(r"\b[A-Za-z]\.", value)) - (value[1:2] == ".")))
     if "," in value:
         return f"{last}, {first}{middle}"
     return f"{first[0]}.{middle} {last}" if value[1:2] == "." else f"{first}{middle} {last}"
 
 
-def gender_of(text: str, a: int, b: int) -> str:
-    """m, f or unknown, from the title at a name."""
-    before, after = text[max(0, a - 5) : a], text[b : b + 2]
-    if after == "先生" or re.search(r"\bMr\.?\s$", before):
-        return "m"
-    return "f" if after in ("女士", "小姐") or re.search(r"\b(?:Mrs|Ms|Miss)\.?\s$", before) else ""
-
-
 def personal_found(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, kind, value), distinct: every mention exactly as written."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(i, k, t[x:y]) for i, t in enumerate(b.column(1).to_pylist()) if t for x, y, k in mentions(t)]
+            out = [(i, k, v) for i, t in enumerate(b.column(1).to_pylist()) if t for k, v in {(e["kind"], e["value"]) for e in entities(t)}]
             if out:
                 at, kinds, values = zip(*out)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(kinds), pa.array(values)], names=["id", "kind", "value"])
@@ -277,55 +339,79 @@ def personal_found(df: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
 _MENTION = "array<struct<kind:string,canon:string,value:string,gender:string,start:int,stop:int>>"
 
 
-def redact(df: DataFrame, id: str = "doc_id", text: str = "text", key: str = "sheafline") -> DataFrame:
+def settled(found: DataFrame, key: str) -> DataFrame:
+    """(kind, canon, gender, rank) of the entities that have a gender or clash with another's surrogate.
+
+    The gender is that of most titles of an entity, none if they are as many. Entities that drew the
+    same surrogate are ranked by their canonical form; the space of surrogates keeps such groups small.
+    """
+    each = found.select(F.explode("found").alias("m")).select("m.*")
+    lead = F.count_if(F.col("gender") == "m") - F.count_if(F.col("gender") == "f")
+    distinct = each.groupBy("kind", "canon").agg(F.when(lead > 0, "m").when(lead < 0, "f").otherwise("").alias("gender"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            forms = [surrogate(k, c.partition("-")[2] if k == "phone" else c, c, g, key) for k, c, g in zip(*(x.to_pylist() for x in b.columns))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(forms, pa.string())], names=["kind", "canon", "gender", "form"])
+
+    drawn = distinct.mapInArrow(draw, "kind string, canon string, gender string, form string")
+    rank = F.row_number().over(Window.partitionBy("kind", "form").orderBy("canon"))
+    return drawn.withColumn("rank", rank).where("gender <> '' or rank > 1").select("kind", "canon", "gender", "rank")
+
+
+def redact(df: DataFrame, key: str, id: str = "doc_id", text: str = "text", at_once: int = 500_000) -> DataFrame:
     """(id, text) with every mention replaced by a typed placeholder that holds its surrogate.
 
-    ``key`` is the secret of the surrogates: the same key gives the same stand-ins in every run.
+    ``key`` is the secret of the surrogates: the same key gives the same stand-ins in every run. Up
+    to ``at_once`` entities that have a gender or clash are broadcast and no text moves; more of
+    them are joined to the mentions and these to their texts, with the same result.
     """
+    if not key:
+        raise ValueError("surrogates need a key")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("canon", pa.string()), ("value", pa.string()), ("gender", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
         for b in batches:
-            out = []
-            for t in b.column(2).to_pylist():
-                own = []
-                for x, y, k in mentions(t) if t else ():
-                    own.append({"kind": k, "canon": canonical(k, t[x:y]), "value": t[x:y], "gender": gender_of(t, x, y) if k == "name" else "", "start": x, "stop": y})
-                out.append(own)
+            out = [entities(t) if t else [] for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, kind)], names=["row", "id", "text", "found"])
 
     slim = spread(df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))).select(F.monotonically_increasing_id().alias("row"), "id", "text")
     schema = T.StructType([*slim.schema.fields, T.StructField("found", T._parse_datatype_string(_MENTION))])
     rows = stage(slim.mapInArrow(scan, schema), "personal-rows")
-    each = rows.where("size(found) > 0").select("row", F.explode("found").alias("m")).select("row", "m.*")
-    # one gender an entity: that of most of its titles, none if they are as many; its spellings are few
-    spellings = each.groupBy("kind", "canon", "value").agg(F.count_if(F.col("gender") == "m").alias("m"), F.count_if(F.col("gender") == "f").alias("f"))
-    entity = Window.partitionBy("kind", "canon")
-    lead = F.sum("m").over(entity) - F.sum("f").over(entity)
-    settled = spellings.select("kind", "canon", "value", F.when(lead > 0, "m").when(lead < 0, "f").otherwise("").alias("gender"))
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            forms = [surrogate(k, v, c, g, key) for k, c, v, g in zip(*(x.to_pylist() for x in b.columns))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(forms, pa.string())], names=["kind", "canon", "value", "form"])
-
-    entities = settled.mapInArrow(draw, "kind string, canon string, value string, form string")
-    # the surrogate of an entity is the same whatever its form: the check is on kind and stand-in
-    rank = F.dense_rank().over(Window.partitionBy("kind", "form").orderBy("canon"))
-    named = each.join(entities.withColumn("rank", F.nullif(rank, F.lit(1))), ["kind", "canon", "value"])
-    spans = named.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.concat(F.lit("["), F.upper("kind"), F.lit(":"), F.col("form"), F.coalesce(F.concat(F.lit("~"), F.col("rank").cast("string")), F.lit("")), F.lit("]")).alias("new")))).alias("spans"))
-
-    def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for t, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                parts, done = [], 0
-                for s in spans or ():
-                    parts += [t[done : s["start"]], s["new"]]
-                    done = s["stop"]
-                out.append(t if not spans else "".join([*parts, t[done:]]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["id", "text"])
-
-    joined = rows.select("row", "id", "text").join(spans, "row", "left").select("id", "text", "spans")
-    done = joined.mapInArrow(splice, T.StructType([slim.schema["id"], slim.schema["text"]]))
+    special = stage(settled(rows, key), "personal-entities")
+    out = T.StructType([slim.schema["id"], slim.schema["text"]])
+
+    def replaced(t: str, found: list[dict], more: Callable[[int, dict], tuple[str, int]]) -> str:
+        parts, done = [], 0
+        for i, e in enumerate(found):
+            gender, rank = more(i, e)
+            new = surrogate(e["kind"], e["value"], e["canon"], gender, key)
+            parts += [t[done : e["start"]], f"[{e['kind'].upper()}:{new}{f'~{rank}' if rank > 1 else ''}]"]
+            done = e["stop"]
+        return "".join([*parts, t[done:]]) if found else t
+
+    if special.count() <= at_once:
+        table = {(r.kind, r.canon): (r.gender, r.rank) for r in special.toLocalIterator()}
+        shared = df.sparkSession.sparkContext.broadcast(table)
+
+        def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                own = shared.value
+                new = [replaced(t, found, lambda _, e: own.get((e["kind"], e["canon"]), ("", 1))) for t, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(new, pa.string())], names=["id", "text"])
+
+        done = rows.select("id", "text", "found").mapInArrow(splice, out)
+    else:
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                new = []
+                for t, found, more in zip(*(b.column(i).to_pylist() for i in (1, 2, 3))):
+                    at = {x["at"]: (x["gender"], x["rank"]) for x in more or ()}
+                    new.append(replaced(t, found, lambda i, _: at.get(i, ("", 1))))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(new, pa.string())], names=["id", "text"])
+
+        each = rows.select("row", F.posexplode("found").alias("at", "m")).select("row", "at", "m.kind", "m.canon")
+        more = each.join(special, ["kind", "canon"]).groupBy("row").agg(F.collect_list(F.struct("at", "gender", "rank")).alias("more"))
+        done = rows.join(more, "row", "left").select("id", "text", "found", "more").mapInArrow(join, out)
     return done.withColumnRenamed("id", id).withColumnRenamed("text", text)

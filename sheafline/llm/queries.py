@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,8 +79,11 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document with typed placeholders in place of the mentions."""
-    return redact(table(spark, folder, "documents"))
+    """Every document with typed placeholders in place of the mentions.
+
+    The key of the surrogates is the session's ``spark.sheafline.key``; without one it is drawn for this run.
+    """
+    return redact(table(spark, folder, "documents"), spark.conf.get("spark.sheafline.key", None) or secrets.token_hex(32))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def collapse_tail(text: str, least: int = 8000, period: int = 200, times: int = 5, size: int = 100) -> str:
-    """A long text whose end repeats a short unit keeps the unit once.
+    """A long text whose end repeats a short unit keeps the unit once, and what was cut off of a last one.
 
     The unit has at most ``period`` characters, stands ``times`` at least and covers ``size`` at least.
     """
@@ -21,7 +21,7 @@ def collapse_tail(text: str, least: int = 8000, period: int = 200, times: int =
             k -= 1
         covered = n - 1 - k + p
         if covered >= max(times * p, size):
-            return text[: n - covered + p]
+            return text[: n - covered + p] + text[n - covered % p :]
     return text
 
 

@@ -32,26 +32,44 @@ def option_letters(x: Text) -> Column:
 
 def halfwidth_colon(x: Text) -> Column:
     """Full-width colons between digits as half-width ones, chains included."""
-    return F.regexp_replace(col(x), r"(?<=[0-9])：(?=[0-9])", ":")
+    return F.regexp_replace(col(x), r"(?<=\p{Nd})：(?=\p{Nd})", ":")
 
 
-def merge_math(x: Text) -> Column:
-    """Adjacent inline formulas joined by a hyphen, dash or tilde become one formula with hyphens.
+#: What joins formulas, each group under a rule of its own.
+HYPHENS, DASHES = "-", "–—~～"
+
+
+def chain(joints: str) -> str:
+    """The pattern of two or more formulas of one line with one joint between each two."""
+    formula = r"\$[^$\n]+\$"
+    return f"{formula}(?:[{joints}]{formula})+"
+
+
+def merge_chains(x: Text, joints: str) -> Column:
+    """Every chain of formulas as one formula, its joints and those inside as hyphens; all else stays.
 
-    A text is cut at its dollar signs: pieces at odd places are formulas, those at even places lie
-    between them; a piece between two formulas that is one connector closes the gap.
+    The text is cut at its chains, so a sign elsewhere, paired or not, changes nothing.
     """
-    parts = F.split(col(x), r"\$", -1)
-    n = F.size(parts)
+    found = F.regexp_extract_all(col(x), F.lit(chain(joints)), F.lit(0))
+    between = F.split(col(x), chain(joints), -1)
+    inner = lambda c: F.translate(F.replace(c, F.lit("$"), F.lit("")), joints, "-" * len(joints))
+    merged = F.transform(found, lambda c: F.concat(F.lit("$"), inner(c), F.lit("$")))
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.size(between) - 1), lambda i: F.concat(F.get(between, i), F.coalesce(F.get(merged, i), F.lit("")))), "")
 
-    def joins(i: Column) -> Column:
-        inner = F.get(parts, i)
-        return (i % 2 == 0) & (i > 0) & (i < n - 2) & inner.isin("-", "–", "—", "~", "～") & (F.length(F.get(parts, i - 1)) > 0) & (F.length(F.get(parts, i + 1)) > 0)
 
-    glue = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.when(joins(i), F.lit("-")).otherwise(F.get(parts, i)), F.when((i < n - 1) & ~joins(i) & ~joins(i + 1), F.lit("$")).otherwise(F.lit(""))))
-    # formulas do not span lines: without a line break inside one the merge is safe
-    whole = (n % 2 == 1) & ~F.exists(F.sequence(F.lit(0), n - 1), lambda i: (i % 2 == 1) & F.get(parts, i).contains("\n"))
-    return F.when(whole, F.array_join(glue, "")).otherwise(col(x))
+def merge_hyphens(x: Text) -> Column:
+    """``$a$-$b$`` as ``$a-b$``."""
+    return merge_chains(x, HYPHENS)
+
+
+def merge_dashes(x: Text) -> Column:
+    """``$a$–$b$`` and its like as ``$a-b$``."""
+    return merge_chains(x, DASHES)
+
+
+def merge_math(x: Text) -> Column:
+    """Formulas joined by hyphens, then those joined by dashes or tildes, as one."""
+    return merge_dashes(merge_hyphens(x))
 
 
 def plain_fraction(x: Text) -> Column:
@@ -64,9 +82,14 @@ def drop_private(x: Text) -> Column:
     return F.regexp_replace(col(x), r"[-]", "")
 
 
+#: What ends a line.
+LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
 def squeeze_noise(x: Text) -> Column:
-    """Lines of capitals alone (scanner noise) go; runs of blank lines become one."""
-    return F.regexp_replace(F.regexp_replace(col(x), r"(?m)^[A-Z][A-Z ]{3,}$\n?", ""), r"\n{3,}", "\n\n")
+    """Lines of three or more capitals alone (scanner noise) go, runs of blank lines become one, none stays outside."""
+    kept = F.filter(F.split(col(x), LINE_ENDS), lambda v: ~F.regexp_replace(v, r"^\s+|\s+$", "").rlike("^[A-Z]{3,}$"))
+    return F.regexp_replace(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"), r"^\n+|\n+$", "")
 
 
 def set_text(values: Column, none: str = "（无）") -> Column:
@@ -74,27 +97,42 @@ def set_text(values: Column, none: str = "（无）") -> Column:
     return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), "、")).otherwise(F.lit(none))
 
 
+#: Signs of an explanation that only says there is none.
+NOTHING = "无沒没有-—–.。、"
+
+
 def is_placeholder(memo: Text) -> Column:
-    """An explanation that only says there is none."""
-    return F.coalesce(squeeze(memo) == "", F.lit(True)) | squeeze(memo).rlike(r"^(?:略|无|暂缺|暂无|待补充?|（待补）)[。.]?$")
+    """An explanation that is empty or made of such signs alone."""
+    return F.translate(squeeze(memo), NOTHING + " ", "") == ""
 
 
-def fill_bracket(stem: Text, answer: Text) -> Column:
-    """The answer in the last empty bracket of a stem, or the stem as it is."""
-    return F.when(col(stem).rlike(r"[（(][\s　]*[）)][。．.]?\s*$"), F.concat(F.regexp_replace(col(stem), r"[（(][\s　]*[）)]([。．.]?)\s*$", "（"), col(answer), F.lit("）"))).otherwise(col(stem))
+def answer_bracket(stem: Text, answer: Text) -> Column:
+    """A stem whose last empty bracket is the answer command; ``Z`` stands for an answer not known."""
+    given = F.coalesce(F.nullif(col(answer), F.lit("")), F.lit("Z"))
+    bare = F.regexp_replace(col(stem), r"[（(][\s　\u00a0]*[)）][\s　]*$", "")
+    return F.when(F.length(bare) < F.length(col(stem)), F.concat(bare, F.lit("\\xzanswer{"), given, F.lit("}"))).otherwise(col(stem))
 
 
 #: The picture command for each number of pictures.
 PICTURES = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
 
 
-def picture_command(files: Column) -> Column:
-    """The command that shows one to nine pictures; more are shown one by one."""
+def picture_command(files: Column, label: Text | None = None, align: str | None = None) -> Column:
+    """The command that shows the pictures, a line each; vector graphics by their own command.
+
+    One picture has at most an alignment; two to nine have a label each (``label`` and a letter);
+    more are shown one by one.
+    """
     n = F.size(files)
-    name = F.element_at(F.array(*map(F.lit, PICTURES)), F.least(F.greatest(n, F.lit(1)), F.lit(9)))
-    many = F.concat(F.lit("\\"), name, F.lit("picture"), F.array_join(F.transform(files, lambda f: F.concat(F.lit("{"), f, F.lit("}"))), ""))
-    single = F.array_join(F.transform(files, lambda f: F.concat(F.lit("\\onepicture{"), f, F.lit("}"))), "\n")
-    return F.when(n == 0, F.lit("")).when(n <= 9, many).otherwise(single)
+    shown = F.transform(files, lambda f: F.concat(F.lit("{"), F.when(F.lower(f).endswith(".svg"), F.concat(F.lit("\\includesvg{"), F.substring(f, F.lit(1), F.length(f) - 4), F.lit("}"))).otherwise(f), F.lit("}")))
+    single = F.array_join(F.transform(shown, lambda f: F.concat(F.lit(f"\\onepicture{f'[align={align}]' if align else ''}"), f)), "\n")
+    base = F.lit("fig") if label is None else col(label)
+    letter = lambda i, small: F.char(i + (97 if small else 65))
+    labels = F.transform(files, lambda f, i: F.concat(F.lit("label"), letter(i, False), F.lit("="), base, letter(i, True)))
+    options = F.array_join(F.concat(labels, F.array(F.lit(f"align={align}"))) if align else labels, ", ")
+    name = F.get(F.array(*map(F.lit, PICTURES)), n - 1)
+    many = F.concat(F.lit("\\"), name, F.lit("picture["), options, F.lit("]\n"), F.array_join(shown, "\n"))
+    return F.when(n.between(2, len(PICTURES)), many).otherwise(single)
 
 
 def derived_status(questions: Text, placeholder: Text, teacher: Text, student: Text) -> Column:
@@ -102,10 +140,18 @@ def derived_status(questions: Text, placeholder: Text, teacher: Text, student: T
     return F.when(col(questions) == 0, "未开始").when(col(placeholder) > 0, "待补充").when(~col(student), "进行中").when(~col(teacher), "待复核").otherwise("已完成")
 
 
+#: Spellings of units in running text and the macro of each, in the order they are taken.
+UNIT_FORMS = (
+    (r"m\s*/\s*(?:\$?s\s*\^\s*\{?2\}?\$|s(?:\^2|²|2))", r"\\Umsq"),
+    (r"(?<![A-Za-z])km\s*/\s*h(?![A-Za-z])", r"\\Ukmh"),
+    (r"(?<![A-Za-z\\])m\s*/\s*s(?![A-Za-z0-9$])", r"\\Ums"),
+    (r"Ω\s*·\s*m|\\Omega\s*\\cdot\s*m", r"\\UOm"),
+)
+
+
 def unit_macros(x: Text) -> Column:
-    """Values in plain units as unit macros, longest unit first."""
-    steps = ((r"(?<![A-Za-z])m/s(?:\^2|²)(?![A-Za-z0-9])", r"\\Umsq"), (r"(?<![A-Za-z])km/h(?![A-Za-z])", r"\\Ukmh"), (r"(?<![A-Za-z])m/s(?![A-Za-z0-9^²])", r"\\Ums"), (r"(?<![A-Za-z])kg/m(?:\^3|³)(?![A-Za-z0-9])", r"\\Ukgmc"))
-    return reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), steps, col(x))
+    """Units written out as unit macros."""
+    return reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), UNIT_FORMS, col(x))
 
 
 # -- rules -----------------------------------------------------------------------------------
@@ -122,8 +168,9 @@ class Rule:
 
 
 RULES: list[Rule] = [
-    Rule("colon", "full-width colon between digits", r"[0-9]+(?:：[0-9]+)+", halfwidth_colon),
-    Rule("math-merge", "formulas joined by a hyphen, dash or tilde", r"\$[^$\n]+\$(?:[-–—~～]\$[^$\n]+\$)+", merge_math),
+    Rule("colon", "full-width colon between digits", r"\p{Nd}+(?:：\p{Nd}+)+", halfwidth_colon),
+    Rule("math-hyphen", "formulas joined by a hyphen", chain(HYPHENS), merge_hyphens),
+    Rule("math-dash", "formulas joined by a dash or tilde", chain(DASHES), merge_dashes),
     Rule("fraction", "displayed fractions", r"\\dfrac(?![A-Za-z])", plain_fraction),
 ]
 
@@ -136,14 +183,18 @@ def register(rule: Rule) -> None:
 
 
 def fix_text(df: DataFrame, text: str, rules: list[Rule] | None = None) -> DataFrame:
-    """``text`` under every rule in order, and ``changes``: the count of each rule that found something."""
+    """``text`` under every rule in order, and ``changes``: the count of each rule that found something.
+
+    A projection a rule, so that each rewrite is computed once for its count and for what follows.
+    """
     rules = RULES if rules is None else rules
-    counts, now = [], F.col(text)
-    for r in rules:
-        counts.append(F.struct(F.lit(r.name).alias("rule"), F.regexp_count(now, F.lit(r.finds)).alias("n")))
-        now = r.rewrite(now)
+    names = [f"_changes_{k}" for k in range(len(rules))]
+    columns = df.columns
+    for name, r in zip(names, rules):
+        df = df.select("*", F.regexp_count(text, F.lit(r.finds)).alias(name)).withColumn(text, r.rewrite(F.col(text)))
+    counts = [F.struct(F.lit(r.name).alias("rule"), F.col(n).alias("n")) for n, r in zip(names, rules)]
     changes = F.filter(F.array(*counts), lambda c: c["n"] > 0) if counts else F.array().cast("array<struct<rule:string,n:int>>")
-    return df.withColumns({"changes": changes, text: now})
+    return df.select(*(c for c in columns if c != "changes"), changes.alias("changes"))
 
 
 def scan_text(df: DataFrame, id: str, text: str, rules: list[Rule] | None = None) -> DataFrame:

@@ -62,22 +62,26 @@ def source_hash(*texts: Column) -> Column:
     return F.sha2(F.concat(*parts[:-1]), 256)
 
 
+#: The list whose items are counted, and lists that hide what they hold.
+COUNTED, HIDING = "enumerate", ("steps", "itemize", "description")
+
+
 def outer_items(text: Column) -> Column:
-    r"""How many ``\item`` stand at the least depth of nested enumerations; other lists do not count.
+    r"""How many ``\item`` stand at the least depth of nested enumerations, none inside another list.
 
+    The marks of a text are folded into the depths of its items; only those at the least depth count.
     Depth never falls below 0; items outside every enumeration do not count.
     """
-    bare = F.regexp_replace(text, r"(?s)\\begin\{(steps|itemize|description)\}.*?\\end\{\1\}", "")
-    marks = F.regexp_extract_all(bare, F.lit(r"\\begin\{enumerate\}|\\end\{enumerate\}|\\item\b"), F.lit(0))
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("least"), F.lit(0).alias("n"))
-
-    def step(s: Column, m: Column) -> Column:
-        deeper, back = m.startswith(r"\begin"), m.startswith(r"\end")
-        depth = F.when(deeper, s["depth"] + 1).when(back, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
-        counts = ~deeper & ~back & (s["depth"] >= 1)
-        first = counts & ((s["least"] == 0) | (s["depth"] < s["least"]))
-        least = F.when(first, s["depth"]).otherwise(s["least"])
-        n = F.when(first, F.lit(1)).when(counts & (s["depth"] == s["least"]), s["n"] + 1).otherwise(s["n"])
-        return F.struct(depth.cast("int").alias("depth"), least.cast("int").alias("least"), n.cast("int").alias("n"))
-
-    return F.aggregate(F.coalesce(marks, F.array().cast("array<string>")), start, step, lambda s: s["n"])
+    names = "|".join((COUNTED, *HIDING))
+    marks = F.regexp_extract_all(text, F.lit(rf"\\(?:begin|end)\{{(?:{names})\}}|\\item(?![A-Za-z0-9_])"), F.lit(0))
+    start = F.struct(F.lit(0).alias("hidden"), F.lit(0).alias("depth"), F.array().cast("array<int>").alias("items"))
+
+    def fold(s: Column, m: Column) -> Column:
+        step = F.when(m.startswith("\\begin"), 1).when(m.startswith("\\end"), -1).otherwise(0)
+        moved = lambda level, here: F.greatest(level + F.when(here, step).otherwise(0), F.lit(0)).cast("int")
+        own = m.endswith(f"{{{COUNTED}}}") & (s["hidden"] == 0)
+        counts = (step == 0) & (s["hidden"] == 0) & (s["depth"] > 0)
+        return F.struct(moved(s["hidden"], ~m.endswith(f"{{{COUNTED}}}")).alias("hidden"), moved(s["depth"], own).alias("depth"), F.when(counts, F.array_append(s["items"], s["depth"])).otherwise(s["items"]).alias("items"))
+
+    least = lambda s: F.size(F.filter(s["items"], lambda d: d == F.array_min(s["items"])))
+    return F.aggregate(F.coalesce(marks, F.array().cast("array<string>")), start, fold, least)

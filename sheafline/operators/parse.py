@@ -91,41 +91,67 @@ def options(text: Column) -> Column:
     return F.when(F.size(marks) > 0, F.arrays_zip(labels.alias("label"), F.transform(values, lambda v: F.trim(v)).alias("value"))).otherwise(F.array().cast("array<struct<label:string,value:string>>"))
 
 
-_LABEL = re.compile(r"^\s*(?:[（(]([A-I])[）)]|([A-I])[．.、])\s*(.*)$", re.S)
-_QUESTION = re.compile(r"^\s*[（(]\s*[0-9０-９]{1,2}\s*[）)]")
+_MARK = re.compile(r"（([A-I])）|(?<![A-Za-z0-9])([A-I])[．.、][ \t]")
+_FIRST = re.compile(r"（([A-I])）|([A-I])[．.、]")
+_LONE = re.compile(r"[（(]?[A-I][）)、．.]?")
+_ASKED = re.compile(r"[（(]?\s*\d+\s*[）)、．.]")
+_PICTURE = re.compile(r"<img\b[^>]*>|!\[[^\]]*\]\([^)]*\)")
+
+
+def paragraph_options(text: str) -> list[tuple[str, str]]:
+    """(letter, content) of all options of a paragraph: at a label in brackets, or a letter with its
+    sign and a blank; the paragraph's first label needs no blank. What stands before a label is none."""
+    text = text.strip()
+    cuts = sorted({m.start() for m in _MARK.finditer(text)} | {0})
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(text)]):
+        if m := _FIRST.match(text, a, b):
+            out.append((m[1] or m[2], text[m.end() : b].strip()))
+    return out
 
 
-def classify(parts: list[str]) -> list[tuple[str, str, str]]:
+def classify(parts: list[str], choice: bool = True) -> list[tuple[str, str, str]]:
     """(kind, label, text) of paragraphs: stem, option, question or image option.
 
-    An option counts only if its letter continues the run from A; once options have begun, any
-    other paragraph is a sub-question.
+    The options of a paragraph count if the first continues the run from A; once options have begun,
+    any other paragraph is a sub-question, and so is a numbered one where nothing is to be chosen.
+    A paragraph of a picture alone, or of one and a lone label, is an image option; a lone label is nothing.
     """
-    out, expected = [], "A"
+    out: list[tuple[str, str, str]] = []
+    held = 0
     for p in parts:
-        m = _LABEL.match(p)
-        label = (m[1] or m[2]) if m else ""
-        if label == expected:
-            kind = "image_option" if re.fullmatch(r"\s*(?:<img\b[^>]*>|!\[[^\]]*\]\([^)]*\))\s*", m[3]) else "option"
-            out.append((kind, label, m[3].strip()))
-            expected = chr(ord(expected) + 1)
-        elif expected > "A" or _QUESTION.match(p):
-            out.append(("question", "", p.strip()))
-        else:
-            out.append(("stem", "", p.strip()))
+        text = _PICTURE.sub("", p).strip()
+        if _PICTURE.search(p) and (not text or _LONE.fullmatch(text)):
+            out.append(("image_option", "", p.strip()))
+            continue
+        own = paragraph_options(text)
+        if own and (not held or own[0][0] == chr(ord("A") + held)):
+            out += [("option", letter, content) for letter, content in own]
+            held += len(own)
+        elif text and held:
+            out.append(("question", "", text))
+        elif text and not choice and _ASKED.match(text):
+            out.append(("question", "", text))
+        elif text and not _LONE.fullmatch(text):
+            out.append(("stem", "", text))
     return out
 
 
-def classify_paragraphs(df: DataFrame, id: str, html: str) -> DataFrame:
-    """(id, pos, kind, label, text) of the paragraphs of each text; one pass, state inside a row only."""
+def classify_paragraphs(df: DataFrame, id: str, html: str, choice: Column | None = None) -> DataFrame:
+    """(id, pos, kind, label, text) of the paragraphs of each text; one pass, state inside a row only.
+
+    ``choice`` tells the items whose options are to be chosen from; all are without it.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(i, k, *x) for i, p in zip(b["id"], b["parts"]) if p is not None for k, x in enumerate(classify(list(p)), 1)]
+            out = [(i, k, *x) for i, p, c in zip(b["id"], b["parts"], b["choice"]) if p is not None for k, x in enumerate(classify(list(p), bool(c)), 1)]
             yield pd.DataFrame(out, columns=["id", "pos", "kind", "label", "text"])
 
     kind = df.schema[id].dataType.simpleString()
-    return df.select(F.col(id).alias("id"), paragraphs(F.col(html)).alias("parts")).mapInPandas(rows, f"id {kind}, pos long, kind string, label string, text string").withColumnRenamed("id", id)
+    chosen = F.lit(True) if choice is None else F.coalesce(choice, F.lit(False))
+    slim = df.select(F.col(id).alias("id"), paragraphs(F.col(html)).alias("parts"), chosen.alias("choice"))
+    return slim.mapInPandas(rows, f"id {kind}, pos long, kind string, label string, text string").withColumnRenamed("id", id)
 
 
 IMAGE = r"""(?:<img[^>]*?src\s*=\s*["']?([^"'\s>]+)|!\[[^\]]*\]\(([^)\s]+)\)|picture(?:\[[^\]]*\])?\{([^}]+)\})"""

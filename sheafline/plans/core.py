@@ -586,6 +586,10 @@ def lint_findings(spark, d):
     return ag.verdict(found, ["doc_id"])
 
 
+#: The class and the version switch that papers of these tables are checked for: parameters of their archive.
+PAPER = ("exam", "version")
+
+
 @query()
 def paper_findings(spark, d):
     """R01 to R31 on paper sources: all findings of all rules, one scan of the papers."""
@@ -596,7 +600,7 @@ def paper_findings(spark, d):
     items = parse.item_blocks(docs, "id").select("id.year", "id.region", "number", "block", parse.metadata(F.col("block")).alias("m"))
     items = items.select("year", "region", "number", "block", F.col("m")["typeId"].try_cast("long").alias("typeId"), F.col("m")["type"].alias("type"), parse.section(F.col("block"), "%% memo:", None).alias("memo"))
     own = lines(docs, "id").select("id.year", "id.region", "line", "value")
-    parts = [rules.skeleton(docs), rules.item_fields(items), rules.label_rules(docs), rules.line_rules(own), rules.paragraph_breaks(own), rules.math_blocks(docs), rules.unknown_macros(docs, table(spark, d, "unit_macros")), rules.suggested_units(own), rules.answer_rules(items), rules.figure_rules(items), rules.choice_rules(items), rules.numbering_rules(items)]
+    parts = [rules.skeleton(docs, *PAPER), rules.item_fields(items), rules.label_rules(docs), rules.line_rules(own), rules.paragraph_breaks(own), rules.math_blocks(docs), rules.unknown_macros(docs, table(spark, d, "unit_macros")), rules.suggested_units(own), rules.answer_rules(items), rules.figure_rules(items), rules.choice_rules(items), rules.numbering_rules(items)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -234,10 +234,12 @@ def usable_images(images: DataFrame, least: int = 110) -> DataFrame:
 
 
 def output_folders(pdfs: DataFrame) -> DataFrame:
-    """(path, year, stem, target): one output folder per PDF; stems that meet in a year keep their parent's name.
+    """(path, year, stem, target): one output folder per PDF named ``<..>_<region>``: the region, or the
+    whole stem where a year has the region more than once or is no four digits. Other names have none.
 
     ``pdfs`` has path, year and stem.
     """
-    many = F.count(F.lit(1)).over(Window.partitionBy("year", "stem")) > 1
-    parent = F.element_at(F.split("path", "/"), -2)
-    return pdfs.withColumn("target", F.concat_ws("/", "year", F.when(many, F.concat_ws("_", parent, F.col("stem"))).otherwise(F.col("stem"))))
+    region = F.regexp_extract("stem", r"^[^_]*_(.*)$", 1)
+    many = F.count(F.lit(1)).over(Window.partitionBy("year", region)) > 1
+    whole = many | ~F.col("year").rlike(r"^[0-9]{4}$")
+    return pdfs.where(F.col("stem").contains("_")).withColumn("target", F.concat_ws("/", "year", F.when(whole, F.col("stem")).otherwise(region)))

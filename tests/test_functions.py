@@ -21,13 +21,13 @@ def values(spark, make, texts):
         (t.strip_comment, {"a%b": "a", r"5\% x % y": r"5\% x ", "": "", None: None}),
         (t.squeeze, {" a\t\n b　": "a b", None: ""}),
         (t.option_letters, {"<p>A、C</p>": "AC", None: "", "xyz": ""}),
-        (t.halfwidth_colon, {"8：00：00 与 1：2": "8:00:00 与 1:2", "答：3": "答：3", "3：甲": "3：甲"}),
-        (t.merge_math, {"$x$-$t$": "$x-t$", "$a$–$b$—$c$": "$a-b-c$", "$v$~$t$图": "$v-t$图", "$x$ 与 $t$": "$x$ 与 $t$", "$a$-b": "$a$-b", "$-5$": "$-5$", "5-6": "5-6", "$a": "$a", "$a$-$b$ c $d$": "$a-b$ c $d$"}),
+        (t.halfwidth_colon, {"8：00：00 与 1：2": "8:00:00 与 1:2", "٣：４": "٣:４", "答：3": "答：3", "3：甲": "3：甲"}),
+        (t.merge_math, {"$x$-$t$": "$x-t$", "$a$–$b$—$c$": "$a-b-c$", "$v$~$t$图": "$v-t$图", "$x$ 与 $t$": "$x$ 与 $t$", "$a$-b": "$a$-b", "$-5$": "$-5$", "5-6": "5-6", "$a": "$a", "$a$-$b$ c $d$": "$a-b$ c $d$", "价格 $5 元，$a$-$b$": "价格 $5 元，$a-b$", "$x\ny$ $a$–$b$-$c$": "$x\ny$ $a-b-c$", "$$": "$$", "$a~b$~$c$": "$a-b-c$"}),
         (t.plain_fraction, {r"\dfrac{1}{2}": r"\frac{1}{2}", r"\dfracX": r"\dfracX"}),
         (t.drop_private, {"ab": "ab"}),
-        (t.squeeze_noise, {"甲\nABCD EF\n\n\n\n乙": "甲\n\n乙"}),
-        (t.unit_macros, {"3 m/s^2 5 m/s 6 km/h": r"3 \Umsq 5 \Ums 6 \Ukmh"}),
-        (lambda x: t.fill_bracket(x, F.lit("B")), {"求（　）": "求（B）", "求（ ）。": "求（B）", "求": "求"}),
+        (t.squeeze_noise, {"甲\nABCD EF\n\n\n\n乙": "甲\nABCD EF\n\n乙", "\n ABC \r\n甲\nAB\n\n\nDIYIZHANG\n\n乙\n": "甲\nAB\n\n乙", None: None}),
+        (t.unit_macros, {"3 m/s^2 5 m/s 6 km/h": r"3 \Umsq 5 \Ums 6 \Ukmh", "m/$s^{2}$ m/s2 2 Ω·m": r"\Umsq \Umsq 2 \UOm"}),
+        (lambda x: t.answer_bracket(x, F.lit("B")), {"求（　）": "求\\xzanswer{B}", "求（ ）。": "求（ ）。", "求": "求"}),
     ],
 )
 def test_rewrites(spark, make, cases):
@@ -40,10 +40,10 @@ def test_rewrites(spark, make, cases):
 def test_rules_in_order(spark):
     df = spark.createDataFrame([(1, "8：00 $a$-$b$ \\dfrac12"), (2, "无"), (3, None)], "id int, x string")
     out = {r.id: r for r in t.fix_text(df, "x").collect()}
-    assert out[1].x == "8:00 $a-b$ \\frac12" and [(c.rule, c.n) for c in out[1].changes] == [("colon", 1), ("math-merge", 1), ("fraction", 1)]
+    assert out[1].x == "8:00 $a-b$ \\frac12" and [(c.rule, c.n) for c in out[1].changes] == [("colon", 1), ("math-hyphen", 1), ("fraction", 1)]
     assert out[2].changes == [] and out[3].x is None
     hits = [tuple(r) for r in t.scan_text(spark.createDataFrame([(1, "x\n8：00\n$a$-$b$")], "id int, x string"), "id", "x").orderBy("line").collect()]
-    assert hits == [(1, 2, "colon", "8：00"), (1, 3, "math-merge", "$a$-$b$")]
+    assert hits == [(1, 2, "colon", "8：00"), (1, 3, "math-hyphen", "$a$-$b$")]
     extra = t.Rule("dots", "", r"\.\.\.", lambda c: F.replace(c, F.lit("..."), F.lit("…")))
     t.register(extra)
     try:
@@ -57,9 +57,11 @@ def test_rules_in_order(spark):
 def test_pictures_and_sets(spark):
     df = spark.createDataFrame([([],), (["a"],), (["a", "b"],), (list("abcdefghij"),)], "f array<string>")
     got = [r[0] for r in df.select(t.picture_command(F.col("f"))).collect()]
-    assert got[:3] == ["", "\\onepicture{a}", "\\twopicture{a}{b}"] and got[3].count("\\onepicture") == 10
+    assert got[:3] == ["", "\\onepicture{a}", "\\twopicture[labelA=figa, labelB=figb]\n{a}\n{b}"] and got[3].count("\\onepicture") == 10
+    svg = spark.createDataFrame([(["x/1.svg"],), (["x/1.SVG", "b.png"],)], "f array<string>").select(t.picture_command(F.col("f"), F.lit("2020甲01"), "right")).collect()
+    assert [r[0] for r in svg] == ["\\onepicture[align=right]{\\includesvg{x/1}}", "\\twopicture[labelA=2020甲01a, labelB=2020甲01b, align=right]\n{\\includesvg{x/1}}\n{b.png}"]
     assert [r[0] for r in df.limit(3).select(t.set_text(F.col("f"))).collect()] == ["（无）", "a", "a、b"]
-    assert values(spark, t.is_placeholder, [None, "", "略。", "由图可知"]) == [True, True, True, False]
+    assert values(spark, t.is_placeholder, [None, "", "无。", "没有", "——", "略。", "由图可知"]) == [True] * 5 + [False] * 2
 
 
 HTML = {
@@ -95,7 +97,8 @@ def test_html(spark):
 
 def test_tail():
     text = "".join(chr(0x4E00 + i * 7 % 9000) for i in range(9000))
-    assert collapse_tail(text + "循环内容" * 60) == text + "循环内容"
+    assert collapse_tail(text + "循环内容" * 60) == text + "循环内容" and collapse_tail(text + "循环内容" * 60 + "循环") == text + "循环内容循环"
+    assert collapse_tail(text + "abcdefghijk" * 20 + "abcd") == text + "abcdefghijk" + "abcd"
     assert collapse_tail(text) == text and collapse_tail("ab" * 100) == "ab" * 100 and collapse_tail(None) is None
 
 

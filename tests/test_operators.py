@@ -66,7 +66,10 @@ def test_paragraphs_and_options(spark):
     df = spark.createDataFrame([(1, "<p>题干</p><p>&nbsp;</p><p>A．甲</p><p>C．乙</p><p>B．<img src='x.png'></p><p>（1）问</p>"), (2, None), (3, "")], "id int, h string")
     assert [r.n for r in df.orderBy("id").select(F.size(parse.paragraphs(F.coalesce("h", F.lit("")))).alias("n")).collect()] == [5, 0, 0]
     got = [(r.kind, r.label) for r in parse.classify_paragraphs(df, "id", "h").where("id = 1").orderBy("pos").collect()]
-    assert got == [("stem", ""), ("option", "A"), ("question", ""), ("image_option", "B"), ("question", "")]
+    assert got == [("stem", ""), ("option", "A"), ("question", ""), ("image_option", ""), ("question", "")]
+    assert parse.classify(["题", "A．甲 B． 乙", "C． 丙 D． 丁", "（1）问"]) == [("stem", "", "题"), ("option", "A", "甲"), ("option", "B", "乙"), ("option", "C", "丙"), ("option", "D", "丁"), ("question", "", "（1）问")]
+    assert parse.classify(["题（A）甲（B）乙", "（1）问", "A", "完"], False) == [("option", "A", "甲"), ("option", "B", "乙"), ("question", "", "（1）问"), ("question", "", "A"), ("question", "", "完")]
+    assert parse.classify(["（1）问", "完"], False) == [("question", "", "（1）问"), ("stem", "", "完")] and parse.classify(["（1）问", "B．"]) == [("stem", "", "（1）问"), ("option", "B", "")]
     o = spark.createDataFrame([("求。 （A）5 m B．6 C、7",), ("无",)], "x string").select(parse.options(F.col("x")).alias("o")).collect()
     assert [(x.label, x.value) for x in o[0].o] == [("A", "5 m"), ("B", "6"), ("C", "7")] and o[1].o == []
     refs = spark.createDataFrame([("<img src='a.png'> ![x](b.png) \\onepicture[h]{c} ![x](b.png) <a href=z>q</a> [t](u)",)], "x string").select(parse.image_refs(F.col("x")), parse.links(F.col("x"))).first()
@@ -78,9 +81,9 @@ def found(df):
 
 
 def test_paper_rules(spark):
-    assert found(rules.skeleton(paper(spark))) == []
+    assert found(rules.skeleton(paper(spark), "exampaper", "paperver")) == []
     bare = spark.createDataFrame([("2020", "乙", "\\begin{figure} pic/x figs/pic/ok")], "year string, region string, text string")
-    assert [m for c, _, m in found(rules.skeleton(bare))] == ["no item", "figure", "pic/", "missing begin", "missing chapter", "missing class", "missing end", "missing version switch"]
+    assert [m for c, _, m in found(rules.skeleton(bare, "exampaper", "paperver"))] == ["no item", "figure", "pic/", "missing begin", "missing chapter", "missing class", "missing end", "missing version switch"]
     assert [(c, m) for c, _, m in found(rules.item_fields(items(spark)))][:2] == [("explanation", "author's only"), ("fields", "number,paperName,paperName,typeId,type,body,answer,memo")]
     assert found(rules.label_rules(paper(spark))) == [("label-number", "warning", "label=2020甲02"), ("ref", "error", "2020甲01")]
     assert [(c, m) for c, _, m in found(rules.answer_rules(items(spark)))] == [("answer-count", "2/1")]
@@ -105,6 +108,23 @@ def test_line_rules(spark):
     assert rules.line_rules(df).where("check = 'unit'").count() == len(units)
 
 
+def test_every_picture_and_formula(spark):
+    """R13, R14, R18, R32 at their edges."""
+    row = lambda *v: spark.createDataFrame([("y", "r", i, x) for i, x in enumerate(v, 1)], "year string, region string, line long, value string")
+    got = sorted((r.check, r.line) for r in rules.line_rules(row(r"\includegraphics{a} $x \includesvg{b}$ $\includegraphics{c}$", "$$力$$", "$a 力", "价 $5 力 $6")).where("check like 'math%'").collect())
+    assert got == [("math-cjk", 2), ("math-cjk", 4), ("math-picture", 1), ("math-picture", 1)]
+    text = lambda t: spark.createDataFrame([("y", "r", t)], "year string, region string, text string")
+    assert found(rules.math_blocks(text("\\begin{align*}\n力\\text{力}\\end{align*}\\begin{gather}\\text{力}\\includesvg{a}\\end{gather}\\begin{align}力"))) == [("math-cjk", "error", "in an environment"), ("math-picture", "error", "picture in an environment")]
+    assert found(rules.unknown_macros(text("% \\Uzzz\n5\\% \\Uyy"), spark.createDataFrame([("\\Ums",)], "macro string"))) == [("macro", "error", "Uyy")]
+    memos = ["得①②。", "为v④。", "图象为②。", "①过程开始", "联立①②式", "\\tag{③}", "（2）①从", ""]
+    df = spark.createDataFrame(list(enumerate(memos)), "i int, memo string")
+    assert [r[0] for r in df.orderBy("i").select(rules.formula_numbers(F.col("memo"))).collect()] == [[2], [4], [], [], [1, 2], [3], [], []]
+    items_ = spark.createDataFrame([("y", "r", 1, "由①式得③。①过程")], "year string, region string, number long, memo string")
+    assert [(c, m) for c, _, m in found(rules.numbering_rules(items_))] == [("formula-gap", "2"), ("formula-once", "1")]
+    bare = spark.createDataFrame([("2020", "乙", "\\documentclass{other} $a\\over b$ %% number: 1")], "year string, region string, text string")
+    assert {"missing class", "missing version switch"} <= {m for _, _, m in found(rules.skeleton(bare, "exampaper", "paperver"))}
+
+
 def test_suggested_units(spark):
     """Each of the seven patterns, its limits, and no comment."""
     lines_ = ["3 m/s^2", "5 m / s", "6 km/h", "1 kg/m^3 与 kg/m3", "2 mA", "3 kPa", "4 eV", "m/s^3 rpm/s m/sec MeV % 5 m/s"]

@@ -26,8 +26,8 @@ def test_files(spark, tmp_path):
     assert s.page_images(spark.createDataFrame([("page_12",), ("x",)], "stem string")).where("page = 12").count() == 1
     images = spark.createDataFrame([(50, 500), (4000, 200), (300, 300)], "width int, height int")
     assert s.usable_images(images).count() == 1
-    pdfs = spark.createDataFrame([("/m/a/p.pdf", "2020", "p"), ("/m/b/p.pdf", "2020", "p"), ("/m/q.pdf", "2020", "q")], "path string, year string, stem string")
-    assert sorted(r.target for r in s.output_folders(pdfs).collect()) == ["2020/a_p", "2020/b_p", "2020/q"]
+    pdfs = spark.createDataFrame([("/m/a.pdf", "2020", "2020_甲"), ("/m/b.pdf", "2020", "2020春_甲"), ("/m/q.pdf", "1985", "1985_上海"), ("/m/r.pdf", "旧卷", "旧_甲"), ("/m/s.pdf", "2020", "s")], "path string, year string, stem string")
+    assert sorted(r.target for r in s.output_folders(pdfs).collect()) == ["1985/上海", "2020/2020_甲", "2020/2020春_甲", "旧卷/旧_甲"]
 
 
 def test_json(spark, tmp_path):

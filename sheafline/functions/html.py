@@ -41,7 +41,6 @@ _SCRIPT = re.compile(r"^([\^_])\{((?:[^{}]|\{[^{}]*\})*)\}$")
 _LAST_SCRIPT = re.compile(r"([\^_])\{((?:[^{}]|\{[^{}]*\})*)\}$")
 _FORMULA = re.compile(r"(?<!\\)((?:\\\\)*)\$((?:[^$\\]|\\.)*)\$", re.S)
 _NO_TAG = re.compile(r"<(?!!--)(?=[^<>]*(?:<|\Z))")
-_LINKS = set(" \t\n=+-<>")
 _INLINE_CLOSE, _DISPLAY_CLOSE = re.compile(r"\\\s*\)"), re.compile(r"\\\s*\]")
 
 
@@ -72,41 +71,72 @@ def math_to_tex(s: str) -> str:
     return out.replace(r"\rm{", r"\mathrm{").replace(r"\bar", r"\overline")
 
 
-def _glue(a: str, b: str) -> str:
-    return a + " " + b if b[:1].isalnum() and _WORD_END.search(a) else a + b
-
-
-def join_formulas(a: str, b: str) -> str:
-    """Two formulas side by side as one: scripts of one kind become one group, primes are grouped."""
-    script = _SCRIPT.match(b)
-    if script:
-        last = _LAST_SCRIPT.search(a, max(0, len(a) - 2000))
-        if last and last[1] == script[1]:
-            return f"{a[: last.start()]}{last[1]}{{{_glue(last[2], script[2])}}}"
-        if script[1] == "^" and "'" in a:
-            return f"{{{a}}}{b}"
-    return _glue(a, b) if not script else a + b
+#: What may stand between formulas that become one.
+BETWEEN = frozenset(" \t\n=+-<>")
+
+
+class _Run:
+    """Formulas that become one: what is written so far and, apart, the script that ends it."""
+
+    def __init__(self, inner: str):
+        self.body, self.kind, self.script = "", "", ""
+        self.take("", inner)
+
+    def take(self, gap: str, inner: str) -> bool:
+        """Append a formula, and tell whether it could be; a gap before a script or after one and before another ends the run."""
+        kind, script = self._whole_script(inner)
+        if gap:
+            if set(gap) - BETWEEN or self.kind and inner[:1] in ("^", "_"):
+                return False
+            self._close(gap + inner)
+        elif kind and kind == self.kind:  # two scripts of one kind are one group
+            self.script = self._spaced(self.script, script)
+        elif kind:
+            if kind == "^" and not self.kind and "'" in self.body:
+                self.body = f"{{{self.body}}}"  # a prime and a power
+            elif kind == "^" and "'" in str(self):
+                self.body, self.kind, self.script = f"{{{self}}}", "", ""
+            self._close("")
+            self.kind, self.script = kind, script
+        else:
+            self._close(inner)
+        return True
+
+    @staticmethod
+    def _spaced(a: str, b: str) -> str:
+        return a + " " + b if b[:1].isalnum() and _WORD_END.search(a) else a + b
+
+    @staticmethod
+    def _whole_script(inner: str) -> tuple[str, str]:
+        m = _SCRIPT.match(inner)
+        return (m[1], m[2]) if m else ("", "")
+
+    def _close(self, more: str) -> None:
+        """The script that ended the run is part of what is written; so is what follows, but for its own last script."""
+        whole = str(self) if not more else str(self) + more if more[:1] in BETWEEN else self._spaced(str(self), more)
+        last = _LAST_SCRIPT.search(whole, max(0, len(whole) - 2000)) if more else None
+        self.body, self.kind, self.script = (whole[: last.start()], last[1], last[2]) if last else (whole, "", "")
+
+    def __str__(self) -> str:
+        return self.body + (f"{self.kind}{{{self.script}}}" if self.kind else "")
 
 
 def merge_formulas(s: str) -> str:
-    """Formulas with nothing, blanks or operators between them become one."""
-    found = list(_FORMULA.finditer(s))
+    """Formulas with nothing, blanks or operators between them become one.
+
+    A text is a list of gaps and formulas in turn; each formula goes to the run before it or begins one.
+    """
+    found = [(m.start(2) - 1, m.end(), m[2]) for m in _FORMULA.finditer(s)]
     if len(found) < 2:
         return s
-    parts, done, k = [], 0, 0
-    while k < len(found):
-        m = found[k]
-        inner, end = m[2], m.end()
-        while k + 1 < len(found):
-            n = found[k + 1]
-            gap = s[end : n.start(2) - 1]
-            if not set(gap) <= _LINKS or gap and n[2][:1] in ("^", "_") and _LAST_SCRIPT.search(inner, max(0, len(inner) - 2000)):
-                break
-            inner = inner + gap + n[2] if gap else join_formulas(inner, n[2])
-            end, k = n.end(), k + 1
-        parts += [s[done : m.start(2) - 1], f"${inner}$"]
-        done, k = end, k + 1
-    return "".join([*parts, s[done:]])
+    out, run, done = [], None, 0
+    for start, end, inner in found:
+        gap = s[done:start]
+        if run is None or not run.take(gap, inner):
+            out += [f"${run}$", gap] if run else [gap]
+            run = _Run(inner)
+        done = end
+    return "".join([*out, f"${run}$", s[done:]])
 
 
 def _prepared(fragment: str) -> str:

@@ -7,10 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def gaps(df: DataFrame, key: Sequence[str], number: str) -> DataFrame:
-    """(key, missing): numbers from 1 to the largest of each key that do not occur."""
-    have = df.where(F.col(number) >= 1).groupBy(*key).agg(F.collect_set(number).alias("have"), F.max(number).alias("most"))
-    return have.select(*key, F.explode(F.array_except(F.sequence(F.lit(1).cast("long"), F.col("most").cast("long")), F.col("have").cast("array<bigint>"))).alias("missing"))
+def gaps(df: DataFrame, key: Sequence[str], number: str, at_once: int = 10_000) -> DataFrame:
+    """(key, missing): numbers from 1 to the largest of each key that do not occur.
+
+    Each number that is there is looked at with the one after it; what lies between is cut into
+    ranges of ``at_once`` before it is written out, so one number far off fills no single row.
+    """
+    have = df.where(F.col(number) >= 1).select(*key, F.col(number).cast("long").alias("_n")).distinct()
+    before = F.coalesce(F.lag("_n").over(Window.partitionBy(*key).orderBy("_n")), F.lit(0).cast("long"))
+    step = F.lit(at_once).cast("long")
+    holes = have.withColumn("_a", before + 1).where(F.col("_a") < F.col("_n")).withColumn("_a", F.explode(F.sequence("_a", F.col("_n") - 1, step)))
+    return holes.select(*key, F.explode(F.sequence("_a", F.least(F.col("_a") + step, "_n") - 1)).alias("missing"))
 
 
 def previous(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, name: str = "previous") -> DataFrame:

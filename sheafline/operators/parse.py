@@ -159,9 +159,14 @@ IMAGE = r"""(?:<img[^>]*?src\s*=\s*["']?([^"'\s>]+)|!\[[^\]]*\]\(([^)\s]+)\)|pic
 
 def image_refs(text: Column) -> Column:
     """Image references in order, each once."""
+    return F.array_distinct(image_places(text))
+
+
+def image_places(text: Column) -> Column:
+    """Image references in order, repeats included."""
     found = [F.regexp_extract_all(text, F.lit(IMAGE), F.lit(i)) for i in (1, 2, 3)]
     merged = F.zip_with(F.zip_with(found[0], found[1], lambda a, b: F.concat(a, b)), found[2], lambda a, b: F.concat(a, b))
-    return F.array_distinct(F.filter(merged, lambda x: x != ""))
+    return F.filter(merged, lambda x: x != "")
 
 
 def links(text: Column) -> Column:

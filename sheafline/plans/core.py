@@ -11,7 +11,7 @@ from sheafline.functions import geometry, html, repeat, text as tx
 from sheafline.operators import aggregates as ag
 from sheafline.operators import joins, merge, ordered, parse, rules, sets
 from sheafline.operators.packed import unpack
-from sheafline.session import spread, table
+from sheafline.session import spread, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -138,14 +138,19 @@ def year_totals(spark, d):
 
 @query(
     r"""
-    SELECT item_id, CAST(length(coalesce(answer, '')) - length(replace(coalesce(answer, ''), '\item', '')) AS BIGINT) // 5 AS items,
+    SELECT item_id, CASE WHEN coalesce(number, 0) % 4 > 0 THEN number % 4 ELSE CAST(length(coalesce(answer, '')) - length(replace(coalesce(answer, ''), '\item', '')) AS BIGINT) // 5 END AS items,
            CAST(length(coalesce(memo, '')) - length(replace(coalesce(memo, ''), '\item', '')) AS BIGINT) // 5 AS memo_items FROM items
     """
 )
 def depth_count(spark, d):
-    r"""List items of the outermost enumeration (one level in these tables) in answers and memos."""
-    rows = table(spark, d, "items")
-    return rows.select("item_id", ag.outer_items(F.coalesce("answer", F.lit(""))).cast("long").alias("items"), ag.outer_items(F.coalesce("memo", F.lit(""))).cast("long").alias("memo_items"))
+    r"""List items at the least depth: answers inside a list of none to three items of its own, and memos as they are.
+
+    Items of a list inside ``steps`` never count.
+    """
+    rows = table(spark, d, "items").select("item_id", F.coalesce(F.col("number") % 4, F.lit(0)).cast("int").alias("own"), F.coalesce("answer", F.lit("")).alias("answer"), F.coalesce("memo", F.lit("")).alias("memo"))
+    hidden = F.lit(r"\begin{steps}\item a\begin{enumerate}\item b\end{enumerate}\end{steps}")
+    nested = F.concat(F.lit(r"\begin{enumerate}"), F.repeat(F.lit(r"\item x "), F.col("own")), "answer", hidden, F.lit(r"\end{enumerate}"))
+    return rows.select("item_id", ag.outer_items(nested).cast("long").alias("items"), ag.outer_items(F.concat(hidden, "memo")).cast("long").alias("memo_items"))
 
 
 # -- ordered -----------------------------------------------------------------------------------
@@ -161,15 +166,15 @@ def number_gaps(spark, d):
     r"""
     WITH l AS (SELECT doc_id, line, value FROM (SELECT doc_id, unnest(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10))) AS value, generate_subscripts(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)), 1) AS line FROM documents)),
     p AS (SELECT *, lag(value) OVER (PARTITION BY doc_id ORDER BY line) AS previous FROM l)
-    SELECT doc_id, CAST(line AS BIGINT) AS line, sha256(value) AS value_hash FROM p WHERE value = previous AND value <> ''
+    SELECT doc_id, CAST(line AS BIGINT) AS line, sha256(value || '|' || previous) AS pair_hash FROM p WHERE value <> '' AND left(value, 1) = left(previous, 1)
     """
 )
 def prev_line_check(spark, d):
-    """Lines that repeat the line before."""
+    """Lines that begin as the line before does."""
     from sheafline.sources.texts import lines
 
     rows = ordered.previous(lines(table(spark, d, "documents").where("text is not null"), "doc_id"), ["doc_id"], ["line"], "value")
-    return rows.where("value = previous and value <> ''").select("doc_id", "line", F.sha2("value", 256).alias("value_hash"))
+    return rows.where("value <> '' and left(value, 1) = left(previous, 1)").select("doc_id", "line", F.sha2(F.concat_ws("|", "value", "previous"), 256).alias("pair_hash"))
 
 
 @query(
@@ -218,12 +223,26 @@ def carry_forward(spark, d):
     SELECT user_id, CAST(island AS BIGINT) AS island, min(event_type) AS event_type, count(*) AS n, min(event_id) AS first_id FROM i GROUP BY user_id, island
     """
 )
-def page_merge(spark, d):
-    """Runs of equal neighbours as islands."""
+def event_islands(spark, d):
+    """Runs of equal neighbours as islands."""
     rows = ordered.islands(table(spark, d, "events"), ["user_id"], ["event_id"], "event_type")
     return rows.groupBy("user_id", "island").agg(F.min("event_type").alias("event_type"), F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
 
 
+@query(
+    """
+    WITH p AS (SELECT user_id, event_id, event_id % 3 > 0 AS tab FROM events),
+    s AS (SELECT *, CASE WHEN tab AND lag(tab) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS s FROM p),
+    i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM s)
+    SELECT user_id, min(event_id) AS event_id, CASE WHEN bool_or(tab) THEN '<table class="t">' || string_agg('<tr>' || event_id || '</tr>', '' ORDER BY event_id) || '</table>' ELSE 'p' || min(event_id) END AS html FROM i GROUP BY user_id, island
+    """
+)
+def page_merge(spark, d):
+    """Pages of a user that end and begin with a table, joined (two of three pages are made tables)."""
+    html_ = F.when(F.col("event_id") % 3 > 0, F.concat(F.lit('<table class="t"><tr>'), "event_id", F.lit("</tr></table>"))).otherwise(F.concat(F.lit("p"), "event_id"))
+    return ordered.merge_tables(table(spark, d, "events").select("user_id", "event_id", html_.alias("html")), ["user_id"], "event_id", "html")
+
+
 @query(
     """
     WITH f AS (SELECT year, region, paperName AS v, min(item_id) AS seen FROM items GROUP BY ALL)
@@ -284,17 +303,14 @@ def meta_compare(spark, d):
 
 
 @query(f"""
-    WITH s AS (SELECT year, region, number, {_LETTERS} AS answer, item_id FROM items WHERE "typeId" IN (1, 2) AND year IS NOT NULL),
-    k AS (SELECT year, region, number, list(DISTINCT answer) AS allowed FROM s WHERE item_id % 2 = 0 GROUP BY ALL)
+    WITH s AS (SELECT year, region, number, {_LETTERS} AS answer, item_id FROM items WHERE "typeId" IN (1, 2)),
+    k AS (SELECT year, region, number, list(DISTINCT answer) AS allowed FROM (SELECT year, region, number, {_LETTERS.replace('answer', 'body')} AS answer FROM bank_items WHERE "typeId" IN (1, 2)) GROUP BY ALL)
     SELECT s.item_id, s.answer FROM s JOIN k USING (year, region, number) WHERE NOT list_contains(k.allowed, s.answer)
     """)
 def answer_agreement(spark, d):
-    """Deliveries whose answer is not in the set of answers of the even ids, which stand for the platform's side.
-
-    As its SQL has it: keys without an even id are not compared (``answer_agreement_all`` compares every row).
-    """
-    rows = table(spark, d, "items").where(F.col("typeId").isin(*schema.CHOICE_IDS) & F.col("year").isNotNull()).select(*schema.KEY, tx.option_letters("answer").alias("answer"), "item_id")
-    return joins.agree_with_set(rows, rows.where("item_id % 2 = 0"), schema.KEY, "answer", "answer").select("item_id", "answer")
+    """Deliveries whose answer is not in the set that the question bank has under their key (the letters of its bodies); all rows of both."""
+    letters = lambda t, c, *more: table(spark, d, t).where(F.col("typeId").isin(*schema.CHOICE_IDS)).select(*schema.KEY, tx.option_letters(c).alias("answer"), *more)
+    return joins.agree_with_set(letters("items", "answer", "item_id"), letters("bank_items", "body"), schema.KEY, "answer", "answer").select("item_id", "answer")
 
 
 @query(f"""
@@ -499,6 +515,34 @@ def hash_skip(spark, d):
     return merge.by_hash(now, then, ["doc_id"])
 
 
+@query(
+    """
+    WITH d AS (SELECT doc_id, length(text) AS length FROM documents WHERE doc_id % 5 <> 0)
+    SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM d WHERE length > 0)
+    """
+)
+def pending_work(spark, d):
+    """Documents whose output is missing or empty (a fifth of the outputs is made missing)."""
+    docs = table(spark, d, "documents")
+    done = docs.where("doc_id % 5 <> 0").select("doc_id", F.length("text").alias("length"))
+    return merge.pending(docs.select("doc_id"), done, ["doc_id"])
+
+
+@query(
+    """
+    WITH r AS (SELECT o_orderkey, 'figs/' || o_custkey || '.png' AS path FROM orders),
+    f AS (SELECT DISTINCT c_custkey FROM customer WHERE c_custkey % 3 > 0)
+    SELECT o_orderkey, path FROM r WHERE CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) NOT IN (SELECT c_custkey FROM f)
+    """
+)
+def unresolved_files(spark, d):
+    """References that exist neither as they are nor under another ending (two of three customers have a file, half of them of another ending)."""
+    refs = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("figs/"), "o_custkey", F.lit(".png")).alias("path"))
+    ends = F.when(F.col("c_custkey") % 3 == 1, ".png").otherwise(".svg")
+    files = table(spark, d, "customer").where("c_custkey % 3 > 0").select(F.concat(F.lit("figs/"), "c_custkey", ends).alias("path"))
+    return joins.resolve_files(refs, files).select("o_orderkey", "path")
+
+
 # -- parsing and rules -------------------------------------------------------------------------
 
 _PAPERS = r"""
@@ -552,38 +596,38 @@ def paragraph_kinds(spark, d):
     return parse.classify_paragraphs(spread(table(spark, d, "items").select("item_id", "body")), "item_id", "body")
 
 
-@query(r"""SELECT item_id, unnest(list_distinct(regexp_extract_all(coalesce(body, '') || ' ' || coalesce(memo, ''), '!\[[^\]]*\]\(([^)\s]+)\)', 1))) AS image FROM items""")
+@query(
+    r"""
+    WITH t AS (SELECT item_id, coalesce(body, '') || ' ' || coalesce(answer, '') || ' ' || coalesce(memo, '') AS t FROM items),
+    m AS (SELECT item_id, [regexp_extract_all(t, P, 1), regexp_extract_all(t, P, 2), regexp_extract_all(t, P, 3)] AS g FROM t),
+    z AS (SELECT item_id, list_filter(list_transform(range(1, len(g[1]) + 1), lambda i: concat(g[1][i], g[2][i], g[3][i])), lambda x: x <> '') AS v FROM m)
+    SELECT item_id, image, CAST(min(pos) AS BIGINT) AS first_pos FROM (SELECT item_id, unnest(v) AS image, generate_subscripts(v, 1) AS pos FROM z) GROUP BY ALL
+    """.replace("P, ", "'" + parse.IMAGE.replace("'", "''") + "', ")
+)
 def image_refs(spark, d):
-    """Image references of bodies and memos, Markdown form, each once."""
-    text = F.concat_ws(" ", F.coalesce("body", F.lit("")), F.coalesce("memo", F.lit("")))
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"!\[[^\]]*\]\(([^)\s]+)\)"), F.lit(1)))
-    return table(spark, d, "items").select("item_id", F.explode(found).alias("image"))
+    """Image references in any notation, each once, at its first place."""
+    text = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("body", "answer", "memo")))
+    places = F.posexplode(parse.image_places(text)).alias("pos", "image")
+    return table(spark, d, "items").select("item_id", places).groupBy("item_id", "image").agg((F.min("pos") + 1).cast("long").alias("first_pos"))
 
 
-@query()
-def all_image_refs(spark, d):
-    """Image references in any notation, in order."""
-    text = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("body", "answer", "memo")))
-    return table(spark, d, "items").select("item_id", F.posexplode(parse.image_refs(text)).alias("pos", "image"))
 
 
 @query(
     r"""
-    WITH l AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10))) AS v FROM documents WHERE text IS NOT NULL),
-    f AS (SELECT doc_id, count_if(regexp_matches(v, '\\(newpage|clearpage|vfill|vfil|hfil)')) AS layout, count_if(regexp_matches(v, '[一-鿿][,;:()][一-鿿]')) AS punctuation, count_if(NOT contains(v, '$') AND regexp_matches(v, '[一-鿿][A-Za-z]|[A-Za-z][一-鿿]')) AS spacing,
-          count_if(regexp_matches(v, '[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+')) AS mail FROM l GROUP BY doc_id)
-    SELECT doc_id, CAST(layout AS BIGINT) AS errors, CAST(punctuation + spacing + mail AS BIGINT) AS warnings, CAST(layout > 0 AS INTEGER) AS failed FROM f WHERE layout + punctuation + spacing + mail > 0
+    WITH l AS (SELECT doc_id, line, regexp_replace(v, '(^|[^\\])%.*$', '\1') AS v FROM (SELECT doc_id, unnest(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10))) AS v, generate_subscripts(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)), 1) AS line FROM documents WHERE text IS NOT NULL)),
+    f AS (SELECT doc_id, count_if(regexp_matches(v, '\\(newpage|clearpage|vfill|vfil|hfil)([^A-Za-z]|$)')) AS layout, count_if(regexp_matches(v, '\\mathrm\{[^{}]*[一-鿿][^{}]*\}')) AS roman, count_if(regexp_matches(v, '[一-鿿][,;:()][一-鿿]')) AS punctuation, count_if(NOT contains(v, '$') AND regexp_matches(v, '[一-鿿][A-Za-z]|[A-Za-z][一-鿿]')) AS spacing FROM l GROUP BY doc_id)
+    SELECT doc_id, CAST(layout + roman AS BIGINT) AS errors, CAST(punctuation + spacing AS BIGINT) AS warnings, CAST(layout + roman > 0 AS INTEGER) AS failed FROM f WHERE layout + roman + punctuation + spacing > 0
     """
 )
 def lint_findings(spark, d):
-    """Line rules over all documents and the verdict of each."""
+    """The line rules that SQL can say over all documents, a finding a line, and the verdict of each."""
     from sheafline.sources.texts import lines
 
-    v = F.col("value")
     rows = lines(table(spark, d, "documents").where("text is not null"), "doc_id")
-    checks = (("error", v.rlike(r"\\(newpage|clearpage|vfill|vfil|hfil)")), ("warning", v.rlike(r"[一-鿿][,;:()][一-鿿]")), ("warning", ~v.contains("$") & v.rlike(r"[一-鿿][A-Za-z]|[A-Za-z][一-鿿]")), ("warning", v.rlike(r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+")))
-    found = rows.select("doc_id", F.explode(F.array_compact(F.array(*(F.when(c, F.lit(level)) for level, c in checks)))).alias("level"))
-    return ag.verdict(found, ["doc_id"])
+    found = rules.line_rules(rows.select("doc_id", F.lit("").alias("year"), F.col("doc_id").alias("region"), "line", "value"))
+    told = found.where(F.col("check").isin("layout", "roman-cjk", "punctuation", "spacing")).select(F.col("region").alias("doc_id"), "check", "level", "line").distinct()
+    return ag.verdict(told, ["doc_id"])
 
 
 #: The class and the version switch that papers of these tables are checked for: parameters of their archive.
@@ -592,13 +636,14 @@ PAPER = ("exam", "version")
 
 @query()
 def paper_findings(spark, d):
-    """R01 to R31 on paper sources: all findings of all rules, one scan of the papers."""
+    """R01 to R31 on paper sources: all findings of all rules. Papers are cut out and items parsed once; the rules read those tables."""
     from sheafline.sources.texts import lines
 
     docs = table(spark, d, "documents").where("source = 'paper_tex' and text is not null").select(F.col("year"), F.concat_ws("#", "region", "doc_id").alias("region"), F.regexp_replace("text", r"\r\n?", "\n").alias("text"))
-    docs = docs.withColumn("id", F.struct("year", "region"))
+    docs = stage(docs.withColumn("id", F.struct("year", "region")), "papers")
     items = parse.item_blocks(docs, "id").select("id.year", "id.region", "number", "block", parse.metadata(F.col("block")).alias("m"))
     items = items.select("year", "region", "number", "block", F.col("m")["typeId"].try_cast("long").alias("typeId"), F.col("m")["type"].alias("type"), parse.section(F.col("block"), "%% memo:", None).alias("memo"))
+    items = stage(spread(items), "paper-items")
     own = lines(docs, "id").select("id.year", "id.region", "line", "value")
     parts = [rules.skeleton(docs, *PAPER), rules.item_fields(items), rules.label_rules(docs), rules.line_rules(own), rules.paragraph_breaks(own), rules.math_blocks(docs), rules.unknown_macros(docs, table(spark, d, "unit_macros")), rules.suggested_units(own), rules.answer_rules(items), rules.figure_rules(items), rules.choice_rules(items), rules.numbering_rules(items)]
     out = parts[0]
@@ -607,12 +652,18 @@ def paper_findings(spark, d):
     return out
 
 
-@query("SELECT DISTINCT year, region, entry_id, coalesce(category, '') AS category, coalesce(status, '') AS status FROM ledger WHERE coalesce(status, '') NOT IN ('待处理', '处理中', '已解决', '待人工核验', '待补充') OR year IS NULL OR year = ''")
+@query(
+    """
+    WITH l AS (SELECT DISTINCT year, region, entry_id, coalesce(category, '') AS category, coalesce(status, '') AS status FROM ledger)
+    SELECT 'status' AS "check", year, region, entry_id AS number, status AS message FROM l WHERE status NOT IN ('待处理', '处理中', '已解决')
+    UNION ALL SELECT 'category', year, region, entry_id, category FROM l WHERE category NOT IN ('缺题', '缺图', '缺详解', '详解', '来源', '公式', '单位', '文字')
+    """
+)
 def ledger_vocabulary(spark, d):
-    """Ledger rows with a status outside the vocabulary or without a year."""
-    rows = table(spark, d, "ledger")
-    bad = ~F.coalesce("status", F.lit("")).isin(*schema.LEDGER) | (F.coalesce("year", F.lit("")) == "")
-    return rows.where(bad).select("year", "region", "entry_id", F.coalesce("category", F.lit("")).alias("category"), F.coalesce("status", F.lit("")).alias("status")).distinct()
+    """Ledger rows outside the vocabularies that a caller gives for status and category."""
+    rows = table(spark, d, "ledger").select("year", "region", "entry_id", F.coalesce("category", F.lit("")).alias("category"), F.coalesce("status", F.lit("")).alias("status")).distinct()
+    bad = rules.vocabulary(rows, "status", schema.LEDGER[:3], "status", "entry_id").unionByName(rules.vocabulary(rows, "category", schema.CATEGORIES[:8], "category", "entry_id"))
+    return bad.select("check", "year", "region", "number", "message")
 
 
 @query("SELECT entry_id, year, region, question FROM (SELECT DISTINCT entry_id, year, region, question, problem FROM ledger) WHERE year IN ('2016', '2020') AND contains(region, '州') AND contains(problem, '图')")
@@ -622,31 +673,59 @@ def work_filter(spark, d):
     return rules.work_filter(rows, ["2016", "2020"], "州", "图").select("entry_id", "year", "region", "question")
 
 
+
+def _cut(text: str, pattern: str, made: str) -> str:
+    """SQL for a text cut at a pattern, what it finds put back as ``made`` (of ``m``)."""
+    return f"array_to_string(list_transform(range(1, len(regexp_split_to_array({text}, '{pattern}')) + 1), lambda i: regexp_split_to_array({text}, '{pattern}')[i] || coalesce(list_transform(regexp_extract_all({text}, '{pattern}'), lambda m: {made})[i], '')), '')"
+
+
+_COLON, _HYPHEN, _DASH = r"\p{Nd}+(?:：\p{Nd}+)+", r"\$[^$\n]+\$(?:-\$[^$\n]+\$)+", r"\$[^$\n]+\$(?:[–—~～]\$[^$\n]+\$)+"
+_INNER = {"colon": "replace(m, '：', ':')", "hyphen": "'$' || replace(m, '$', '') || '$'", "dash": "'$' || translate(replace(m, '$', ''), '–—~～', '----') || '$'"}
+_JOINED = "replace(coalesce(body, ''), '$ 与 $', '$-$')"
+
+
 # -- scalar functions --------------------------------------------------------------------------
 
 
 @query(
     r"""
-    SELECT item_id, regexp_replace(regexp_replace(regexp_replace(coalesce(body, ''), '\\dfrac([^A-Za-z]|$)', '\\frac\1', 'g'), '[\x{E000}-\x{F8FF}]', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g') AS body FROM items
+    WITH t AS (SELECT item_id, regexp_replace(regexp_replace(coalesce(body, '') || chr(10) || 'DIYIZHANG' || chr(10) || chr(10) || chr(10) || 'AB' || chr(10), '\\dfrac([^A-Za-z]|$)', '\\frac\1', 'g'), '[\x{E000}-\x{F8FF}]', '', 'g') AS t FROM items),
+    l AS (SELECT item_id, array_to_string(list_filter(regexp_split_to_array(t, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]'), lambda v: NOT regexp_matches(v, '^\s*[A-Z]{3,}\s*$')), chr(10)) AS t FROM t)
+    SELECT item_id, sha256(regexp_replace(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), '^\n+|\n+$', '', 'g')) AS body_hash FROM l
     """
 )
 def textfix(spark, d):
-    """Rewrites of bodies."""
-    return table(spark, d, "items").select("item_id", F.regexp_replace(tx.drop_private(tx.plain_fraction(F.coalesce("body", F.lit("")))), r"\n{3,}", "\n\n").alias("body"))
+    """Rewrites of bodies, each with a line of noise put behind it."""
+    noisy = F.concat(F.coalesce("body", F.lit("")), F.lit("\nDIYIZHANG\n\n\nAB\n"))
+    return table(spark, d, "items").select("item_id", F.sha2(tx.squeeze_noise(tx.drop_private(tx.plain_fraction(noisy))), 256).alias("body_hash"))
 
 
-@query()
+@query(
+    f"WITH a AS (SELECT item_id, {_JOINED} || ' 8：00：30 $a$-$b$ $v$–$t$~$x$ \\dfrac12' AS t FROM items), "
+    f"b AS (SELECT *, {_cut('t', _COLON, _INNER['colon'])} AS u FROM a), "
+    f"c AS (SELECT *, {_cut('u', _HYPHEN, _INNER['hyphen'])} AS v FROM b), "
+    f"e AS (SELECT *, {_cut('v', _DASH, _INNER['dash'])} AS w FROM c) "
+    rf"SELECT item_id, sha256(regexp_replace(w, '\\dfrac([^A-Za-z]|$)', '\\frac\1', 'g')) AS body_hash, CAST(len(regexp_extract_all(t, '{_COLON}')) AS BIGINT) AS colon, CAST(len(regexp_extract_all(u, '{_HYPHEN}')) AS BIGINT) AS hyphen, CAST(len(regexp_extract_all(v, '{_DASH}')) AS BIGINT) AS dash, CAST(len(regexp_extract_all(w, '\\dfrac([^A-Za-z]|$)')) AS BIGINT) AS fraction FROM e"
+)
 def rule_rewrites(spark, d):
-    """All rules in order over all bodies, with the count of each."""
-    out = tx.fix_text(table(spark, d, "items").select("item_id", F.coalesce("body", F.lit("")).alias("body")), "body")
-    return out.select("item_id", F.sha2("body", 256).alias("body_hash"), F.to_json("changes").alias("changes"))
+    """All rules in order over all bodies (with some chains put in), with the count of each."""
+    text = F.concat(F.replace(F.coalesce("body", F.lit("")), F.lit("$ 与 $"), F.lit("$-$")), F.lit(" 8：00：30 $a$-$b$ $v$–$t$~$x$ \\dfrac12"))
+    out = tx.fix_text(table(spark, d, "items").select("item_id", text.alias("body")), "body")
+    n = lambda rule: F.coalesce(F.get(F.filter("changes", lambda c: c["rule"] == rule), F.lit(0))["n"], F.lit(0)).cast("long")
+    return out.select("item_id", F.sha2("body", 256).alias("body_hash"), n("colon").alias("colon"), n("math-hyphen").alias("hyphen"), n("math-dash").alias("dash"), n("fraction").alias("fraction"))
 
 
-@query(r"""SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[0-9]+(：[0-9]+)+')) AS BIGINT) AS colon, CAST(len(regexp_extract_all(coalesce(text, ''), '[0-9]+ (mm|cm|kg|kN|km)')) AS BIGINT) AS units FROM documents""")
+@query(
+    rf"""
+    WITH l AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10))) AS v FROM documents),
+    f AS (SELECT doc_id, unnest([{{'rule': 'colon', 'n': len(regexp_extract_all(v, '{_COLON}'))}}, {{'rule': 'units', 'n': len(regexp_extract_all(v, '[0-9]+ (mm|cm|kg|kN|km)'))}}, {{'rule': 'fraction', 'n': len(regexp_extract_all(v, '\\dfrac([^A-Za-z]|$)'))}}]) AS x FROM l)
+    SELECT doc_id, x.rule AS rule, CAST(sum(x.n) AS BIGINT) AS n FROM f GROUP BY ALL HAVING sum(x.n) > 0
+    """
+)
 def rule_counts(spark, d):
-    """How often rules find something."""
-    n = lambda p: F.regexp_count(F.coalesce("text", F.lit("")), F.lit(p)).cast("long")
-    return table(spark, d, "documents").select("doc_id", n("[0-9]+(：[0-9]+)+").alias("colon"), n("[0-9]+ (mm|cm|kg|kN|km)").alias("units"))
+    """Every place that rules find in a document, counted by rule."""
+    own = [r for r in tx.RULES if not r.name.startswith("math")] + [tx.Rule("units", "values with a unit", "[0-9]+ (mm|cm|kg|kN|km)", lambda c: c)]
+    return tx.scan_text(table(spark, d, "documents").where("text is not null"), "doc_id", "text", own).groupBy("doc_id", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""SELECT item_id, {_NORM('"paperName"')} AS name, {_LETTERS} AS letters FROM items""")
@@ -655,10 +734,6 @@ def normalised_fields(spark, d):
     return table(spark, d, "items").select("item_id", tx.squeeze("paperName").alias("name"), tx.option_letters("answer").alias("letters"))
 
 
-@query("SELECT item_id, answer, memo, CAST(NULL AS VARCHAR) AS student_answer FROM items")
-def two_editions(spark, d):
-    """The masked projection: the teacher's edition shows what the student's hides."""
-    return table(spark, d, "items").select("item_id", "answer", "memo", F.lit(None).cast("string").alias("student_answer"))
 
 
 @query("SELECT year, region, CASE WHEN questions = 0 THEN '未开始' WHEN placeholder > 0 THEN '待补充' WHEN NOT student THEN '进行中' WHEN NOT teacher THEN '待复核' ELSE '已完成' END AS status FROM paper_facts")
@@ -669,16 +744,18 @@ def derived_status(spark, d):
 
 @query(
     """
-    SELECT p_partkey, CAST(least(greatest(round_even(p_size * 640.0 / 50, 0), 0), 640) AS BIGINT) AS x, greatest(4, CAST(round_even(greatest(p_size, 20) * 0.1, 0) AS BIGINT)) AS padding,
-           greatest(CAST(floor(p_size * least(1.0, 40.0 / greatest(p_size, 25))) AS BIGINT), 1) AS fit_w FROM part
+    WITH b AS (SELECT p_partkey, p_size, least(greatest(round_even((p_size * 30 - 200) * 640.0 / 1000, 0), 0), 640) AS x0, least(greatest(round_even((p_size * 40) * 640.0 / 1000, 0), 0), 640) AS x1 FROM part)
+    SELECT p_partkey, CAST(CASE WHEN x1 > x0 THEN x0 END AS BIGINT) AS x0, CAST(CASE WHEN x1 > x0 THEN x1 END AS BIGINT) AS x1, p_size * 30 - 200 >= 0 AND p_size * 40 <= 640 AND p_size * 30 - 200 < p_size * 40 AS within, greatest(4, CAST(round_even(greatest(p_size, 20) * 0.1, 0) AS BIGINT)) AS padding,
+           greatest(CAST(floor(p_size * least(1.0, 40.0 / greatest(p_size, 25))) AS BIGINT), 1) AS fit_w FROM b
     """
 )
 def box_arithmetic(spark, d):
-    """Boxes from a grid, paddings and sizes that fit."""
-    size = F.col("p_size").cast("long")
-    zero = F.lit(0).cast("long")
-    at = F.least(F.greatest(F.bround(size * 640.0 / 50).cast("long"), zero), F.lit(640).cast("long"))
-    return table(spark, d, "part").select("p_partkey", at.alias("x"), geometry.label_padding(size, F.lit(20).cast("long")).alias("padding"), geometry.fit_within(size, F.lit(25).cast("long"), 40)["width"].cast("long").alias("fit_w"))
+    """Boxes from a grid, whether they lie within, paddings and sizes that fit."""
+    size, n = F.col("p_size").cast("long"), lambda v: F.lit(v).cast("long")
+    left, right = size * 30 - 200, size * 40
+    box = geometry.grid_box(left, n(0), right, n(1000), n(640), n(480))
+    within = geometry.inside({"x0": left, "y0": n(0), "x1": right, "y1": n(5)}, n(640), n(480))
+    return table(spark, d, "part").select("p_partkey", box["x0"].alias("x0"), box["x1"].alias("x1"), within.alias("within"), geometry.label_padding(size, n(20)).alias("padding"), geometry.fit_within(size, n(25), 40)["width"].cast("long").alias("fit_w"))
 
 
 @query()

@@ -16,26 +16,28 @@ ARROW_BATCH_BYTES = 8 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (local tests) a temporary folder is made; it is
-    removed when Python ends.
+    Only where the session names none and runs on this machine alone (tests) a temporary folder is
+    made, removed when Python ends; on a cluster the setting is required.
     """
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not at:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="sheafline-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)
         sc.setCheckpointDir(at)
     return at
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and return the table: lineage ends here.
+def stage(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, in a folder a value of ``by``, and return the table: lineage ends here.
 
     A lost executor costs at most the tasks it ran, never an earlier stage.
     """
     spark = df.sparkSession
     at = f"{shared_dir(spark).rstrip('/')}/sheafline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
+    (df.write.partitionBy(*by) if by else df.write).parquet(at)
     out = spark.read.schema(df.schema).parquet(at)
     out._stage = at
     return out

@@ -6,9 +6,11 @@ repeatedly; merging two partitions ORs both and adds to the second what both saw
 that occurs twice anywhere therefore has all its bits in the merged second filter, so only rows
 that pass it are shuffled for exact grouping; all others are singletons and never move.
 
-Scale: filters travel as compressed blocks, the merge streams block by block, and the merged
-filter is broadcast under a fixed bound (``most_bits``); beyond the bound more rows pass it and
-are grouped exactly, so the result stays whole. Grouping pre-aggregates before its shuffle.
+Scale: filters travel as compressed blocks, the merge streams block by block, and a merged
+filter is broadcast under a fixed bound (``most_bits``). Beyond the bound the keys (not the texts)
+are written in shards by their first bits and each shard gets a filter of its own, so that a filter
+never fills up; at ten billion rows these are some 450 passes over a 450th of the keys each.
+Grouping pre-aggregates before its shuffle.
 Groups of more than a thousandth of the rows (of which there are under a thousand) are joined
 to their members by broadcast, so that no task holds a hot group.
 
@@ -19,6 +21,7 @@ themselves; all other columns are disregarded, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -36,11 +39,26 @@ BLOCK_BITS = 1 << 19
 CHUNK = 1 << 21
 
 
-def keyed(df: DataFrame, id: str, body: str) -> DataFrame:
+def field_labels(df: DataFrame, body: str = "body", share: float = 0.001) -> tuple[str, ...]:
+    """The labels of labelled fields, learnt from all bodies that begin in a notation that nothing else
+    has (``【label】``, or a JSON object), for reading every other notation.
+
+    A label stands in ``share`` of those bodies at least, so a thousand times as many labels as a
+    body has can exist.
+    """
+    text = F.ltrim(F.col(body).cast("string"))
+    names = F.when(text.startswith("【"), F.regexp_extract_all(text, F.lit(r"【\s*(\p{L}{1,12})\s*】"), F.lit(1))).when(text.startswith("{"), F.regexp_extract_all(text, F.lit(r'"\s*(\p{L}{1,12})\s*"\s*[:：]'), F.lit(1)))
+    held = df.select(F.array_distinct(names).alias("names")).where("size(names) > 1")
+    counts = held.select(F.explode(F.concat(F.array(F.lit("")), "names")).alias("label")).groupBy("label").count()
+    total = counts.agg(F.max(F.when(F.col("label") == "", F.col("count")))).first()[0] or 0
+    return tuple(sorted(r.label for r in counts.where((F.col("label") != "") & (F.col("count") >= share * total)).select("label").toLocalIterator()))
+
+
+def keyed(df: DataFrame, id: str, body: str, labels: tuple[str, ...]) -> DataFrame:
     """(id, k1, k2): the two halves of the copy key, null for a null body."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = FieldParser().key
+        key = FieldParser(labels).key
         for b in batches:
             raw = [None if t is None else key(t) for t in b.column(1).to_pylist()]
             both = np.frombuffer(b"".join(x or bytes(16) for x in raw), "<i8").reshape(-1, 2)
@@ -111,23 +129,40 @@ def repeat_filter(keys: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def find_copies(df: DataFrame, id: str = "bank_id", body: str = "body", bits_per_row: int = 12, most_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
-    """Groups (k1, k2, first_id, copies) of at least two rows, and all rows (id, k1, k2, maybe)."""
-    keys = stage(keyed(df, id, body), "copy-keys")
-    n = keys.count()
-    bits = min(1 << max(16, (bits_per_row * max(n, 1) - 1).bit_length()), most_bits)
-    shared = df.sparkSession.sparkContext.broadcast(repeat_filter(keys.where("k1 is not null").select("k1", "k2"), bits).tobytes())
+def find_copies(df: DataFrame, id: str = "bank_id", body: str = "body", bits_per_row: int = 12, most_bits: int = 1 << 28, labels: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Groups (k1, k2, first_id, copies) of at least two rows, and all rows (id, k1, k2, maybe).
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(shared.value, np.uint8)
-        for b in batches:
-            null = b.column(1).is_null().to_numpy(zero_copy_only=False)
-            k1, k2 = (b.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in (1, 2))
-            at = positions(k1, k2, bits).astype(np.int64)
-            seen = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0) & ~null
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(seen)], names=["id", "k1", "k2", "maybe"])
-
-    rows = keys.mapInArrow(probe, T.StructType([*keys.schema.fields, T.StructField("maybe", T.BooleanType())]))
+    Keys are cut into shards by their first bits, so that every filter has ``bits_per_row`` bits a row
+    and at most ``most_bits``; the shards are taken one after the other, each with a filter of its own.
+    """
+    spark = df.sparkSession
+    n = df.count()
+    shards = max(1, -(-bits_per_row * n // most_bits))
+    bits = min(1 << max(16, (bits_per_row * -(-n // shards) - 1).bit_length()), most_bits)
+    keys = keyed(df, id, body, field_labels(df, body) if labels is None else labels)
+    # null bodies are copies of nothing and go to the first shard
+    keys = stage(keys.withColumn("shard", F.coalesce(F.expr(f"cast(pmod(shiftright(k1, 20), {shards}) as int)"), F.lit(0))), "copy-keys", by=("shard",) if shards > 1 else ())
+
+    def probed(own: DataFrame) -> DataFrame:
+        own = own.select("id", "k1", "k2")
+        shared = spark.sparkContext.broadcast(repeat_filter(own.where("k1 is not null").select("k1", "k2"), bits).tobytes())
+
+        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = np.frombuffer(shared.value, np.uint8)
+            for b in batches:
+                null = b.column(1).is_null().to_numpy(zero_copy_only=False)
+                k1, k2 = (b.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in (1, 2))
+                at = positions(k1, k2, bits).astype(np.int64)
+                seen = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0) & ~null
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(seen)], names=["id", "k1", "k2", "maybe"])
+
+        out = own.mapInArrow(probe, T.StructType([*own.schema.fields, T.StructField("maybe", T.BooleanType())]))
+        if shards > 1:  # written before the next shard's filter takes the place of this one
+            out = stage(out, "copy-rows")
+            shared.destroy()
+        return out
+
+    rows = functools.reduce(DataFrame.unionByName, (probed(keys.where(F.col("shard") == k)) for k in range(shards)))
     groups = rows.where("maybe").groupBy("k1", "k2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     return stage(groups, "copy-groups"), rows
 
@@ -150,15 +185,15 @@ def members(groups: DataFrame, rows: DataFrame) -> DataFrame:
     return by_size(rows.where("maybe").drop("maybe"), groups.where("copies > 1"), ["k1", "k2"], "copies").select("first_id", "id", "copies")
 
 
-def copies_found(df: DataFrame, id: str = "bank_id", body: str = "body", **bounds: int) -> DataFrame:
+def copies_found(df: DataFrame, id: str = "bank_id", body: str = "body", **options) -> DataFrame:
     """(first_id, other_id): every copy that is not the smallest id of its group."""
-    groups, rows = find_copies(df, id, body, **bounds)
+    groups, rows = find_copies(df, id, body, **options)
     return members(groups, rows).where("id <> first_id").select("first_id", F.col("id").alias("other_id")).distinct()
 
 
-def collapse(df: DataFrame, id: str = "bank_id", body: str = "body", **bounds: int) -> DataFrame:
+def collapse(df: DataFrame, id: str = "bank_id", body: str = "body", **options) -> DataFrame:
     """(id, copies, duplicateId): one row per distinct body, the smallest id kept, with its number of copies;
     ``duplicateId`` names the kept record as it would stand in each of its copies."""
-    groups, rows = find_copies(df, id, body, **bounds)
+    groups, rows = find_copies(df, id, body, **options)
     single = rows.where("not maybe").select("id", F.lit(1).cast("long").alias("copies"))
     return single.unionByName(groups.select(F.col("first_id").alias("id"), "copies")).withColumn("duplicateId", F.col("id")).withColumnRenamed("id", id)

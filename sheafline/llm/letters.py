@@ -8,8 +8,6 @@ import re
 import xxhash
 
 _OTHER = re.compile(r"[\W_]+")
-#: The labels of records of labelled fields.
-LABELS = ("题干", "条件", "数据", "设问", "备注")
 
 
 def letters(text: str | None) -> str:
@@ -20,8 +18,8 @@ def letters(text: str | None) -> str:
 class FieldParser:
     """Reads the fields of a record that is written in one of several label notations."""
 
-    def __init__(self, labels: tuple[str, ...] = LABELS):
-        names = "|".join(r"\s*".join(map(re.escape, x)) for x in labels)
+    def __init__(self, labels: tuple[str, ...]):
+        names = "|".join(r"\s*".join(map(re.escape, x)) for x in sorted(labels, key=len, reverse=True)) or r"(?!)"
         self.names = frozenset(labels)
         self.hint = re.compile(names)
         self.mark = re.compile(rf'【\s*({names})\s*】|"\s*({names})\s*"\s*[:：]|(?:^|[\n\r；;|｜,，])\s*(?:[-*•]\s*)?({names})\s*[:：=＝]|(?<=\s)[-*•]\s*({names})\s*[:：=＝]')

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from sheafline.llm.copies import by_size
+from sheafline.llm.copies import by_size, field_labels
 from sheafline.llm.letters import FieldParser, letters
 from sheafline.session import spread, stage, unstage
 
@@ -95,11 +95,11 @@ def slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
-def keyed(df: DataFrame, id: str, body: str) -> DataFrame:
+def keyed(df: DataFrame, id: str, body: str, labels: tuple[str, ...]) -> DataFrame:
     """(id, k1, k2, c1, c2, letters): the key of problem 3, that of the letters, and the letters."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = FieldParser().key
+        key = FieldParser(labels).key
         for b in batches:
             texts = b.column(1).to_pylist()
             own = [letters(t) for t in texts]
@@ -468,7 +468,7 @@ def components(edges: DataFrame, at_once: int = 1 << 20) -> DataFrame:
 
 def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 128, block: int = 4096) -> DataFrame:
     """(first_id, other_id): every record of a group with its group's smallest id."""
-    rows = stage(keyed(df, id, body), "near-keys")
+    rows = stage(keyed(df, id, body, field_labels(df, body)), "near-keys")
     groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("letters").alias("letters")), "near-texts")
     docs = groups.select(F.col("first_id").alias("doc"), "letters")
     # texts that copies of problem 3 hold together

@@ -10,7 +10,7 @@ from sheafline.llm.neardup import components, near_found
 
 
 def brute(rows, threshold=0.6):
-    key = FieldParser().key
+    key = FieldParser(("题干", "条件", "数据", "设问", "备注")).key
     rows = [(i, b) for i, b in dict(rows).items() if b is not None]
     parent = {i: i for i, _ in rows}
 

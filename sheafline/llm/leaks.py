@@ -7,9 +7,10 @@ the passage's shingles and skips blocks whose upper bound cannot reach the thres
 threshold of an item is the least score that any of its own runs of ``run`` characters gives,
 so no leak can score below it. What is retrieved is verified exactly on letters and digits.
 
-Scale: the evaluation side is broadcast under a checked bound (``most_chars``) and, beyond it,
-taken in blocks of items that each pass over the corpus; the corpus is never shuffled or
-collected. Windows without any indexed shingle are dropped by one vectorised look-up.
+Scale: the index is made of arrays, built once on the driver and broadcast. An item takes at most
+about 40 bytes a letter there, so ``most_chars`` bounds a broadcast (80 MB); beyond it the items are
+taken in blocks that each pass over the corpus, one block on the driver at a time. The corpus is
+never shuffled or collected. Windows without any indexed shingle are dropped by one vectorised look-up.
 
 Defined results: null and empty texts leak nothing; items shorter than ``run`` cannot leak; a
 document that repeats is listed under each of its ids; repeated ids give one row a pair.
@@ -17,6 +18,7 @@ document that repeats is listed under each of its ids; repeated ids give one row
 
 from __future__ import annotations
 
+import functools
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -57,44 +59,70 @@ def shingles(code: np.ndarray, width: int) -> np.ndarray:
 
 
 class ItemIndex:
-    """BM25 index of a bounded set of items with block maxima."""
+    """BM25 index of a bounded set of items with block maxima, as arrays: built once, then broadcast.
+
+    ``terms`` are sorted; the postings of term ``t`` are ``docs[at[t] : at[t + 1]]`` with their scores.
+    """
 
     def __init__(self, items: list[tuple[int, str]], run: int = 50, width: int = 12, block: int = 64):
         self.run, self.width, self.block = run, width, block
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         grams = [shingles(points(t), width) for t in self.texts]
-        size = np.array([max(len(g), 1) for g in grams], float)
-        self.norm = K1 * (1 - B + B * size / (size.mean() if len(size) else 1))
-        postings: dict[int, dict[int, int]] = {}
-        for d, g in enumerate(grams):
-            for t, n in zip(*np.unique(g, return_counts=True)):
-                postings.setdefault(int(t), {})[d] = int(n)
-        n = len(items)
-        self.terms = {}
-        for t, p in postings.items():
-            idf = math.log(1 + (n - len(p) + 0.5) / (len(p) + 0.5))
-            docs = sorted(p)
-            score = [idf * p[d] * (K1 + 1) / (p[d] + self.norm[d]) for d in docs]
-            self.terms[t] = (docs, score, [(docs[min(i + block, len(docs)) - 1], max(score[i : i + block])) for i in range(0, len(docs), block)])
+        n, size = len(items), np.array([max(len(g), 1) for g in grams], float)
+        norm = K1 * (1 - B + B * size / (size.mean() if n else 1))
+        term = np.concatenate(grams) if n else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(n), [len(g) for g in grams])
+        order = np.lexsort((owner, term))
+        by_term, by_owner = term[order], owner[order]
+        first = np.flatnonzero(np.append(True, (by_term[1:] != by_term[:-1]) | (by_owner[1:] != by_owner[:-1]))[: len(term)])
+        count = np.diff(np.append(first, len(term)))
+        self.docs = by_owner[first].astype(np.int32)
+        begin = np.flatnonzero(np.append(True, by_term[first][1:] != by_term[first][:-1])[: len(first)])
+        self.terms, self.at = by_term[first][begin], np.append(begin, len(first))
+        held = np.diff(self.at)
+        idf = np.repeat(np.log(1 + (n - held + 0.5) / (held + 0.5)), held)
+        self.scores = idf * count * (K1 + 1) / (count + norm[self.docs])
+        self.most = np.maximum.reduceat(self.scores, begin) if len(begin) else np.empty(0)
+        # the least sum that a run of an item's own can give; a shingle that stands in a run before is left out of
+        # it, which only lowers the bound
+        own = np.empty(len(term))
+        own[order] = np.repeat(self.scores, count)
+        place = np.arange(len(term))
+        again = np.zeros(len(term), bool)
+        near = np.flatnonzero((by_term[1:] == by_term[:-1]) & (by_owner[1:] == by_owner[:-1])) + 1
+        again[order[near]] = place[order[near]] - place[order[near - 1]] < run - width + 1
+        own[again] = 0
+        total, span = np.append(0, np.cumsum(own)), run - width + 1
         self.least = np.full(n, np.inf)
-        for d, g in enumerate(grams):
-            span = run - width + 1
-            own = [self.terms[int(t)][1][bisect_left(self.terms[int(t)][0], d)] for t in g]
-            for i in range(len(g) - span + 1):
-                self.least[d] = min(self.least[d], sum(dict(zip(g[i : i + span].tolist(), own[i : i + span])).values()))
-        self.least -= 1e-9
+        at = np.append(0, np.cumsum([len(g) for g in grams])).astype(np.int64)
+        for d in range(n):
+            if at[d + 1] - at[d] >= span:
+                self.least[d] = (total[at[d] + span : at[d + 1] + 1] - total[at[d] : at[d + 1] - span + 1]).min()
+        self.least -= 1e-6
         self.floor = float(self.least.min()) if n else np.inf
-        self.known = np.sort(np.fromiter(self.terms, np.uint64, len(self.terms)))
         self.slots = np.zeros(_SLOTS, bool)
-        self.slots[(self.known & np.uint64(_SLOTS - 1)).astype(np.int64)] = True
+        self.slots[(self.terms & np.uint64(_SLOTS - 1)).astype(np.int64)] = True
+        self.lists: dict[int, tuple] = {}
+
+    @property
+    def nbytes(self) -> int:
+        """What a broadcast of this index takes."""
+        return sum(x.nbytes for x in (self.docs, self.terms, self.at, self.scores, self.most, self.least, self.slots)) + sum(4 * len(t) for t in self.texts)
+
+    def postings(self, t: int) -> tuple[list[int], list[float], list[tuple[int, float]]]:
+        """Documents, scores, and (last document, greatest score) of each block of a term that a text holds."""
+        if t not in self.lists:
+            docs, scores = self.docs[self.at[t] : self.at[t + 1]].tolist(), self.scores[self.at[t] : self.at[t + 1]].tolist()
+            step = self.block
+            self.lists[t] = docs, scores, [(docs[min(i + step, len(docs)) - 1], max(scores[i : i + step])) for i in range(0, len(docs), step)]
+        return self.lists[t]
 
     def wand(self, query: list[int]) -> list[int]:
         """Items whose score over the query's distinct shingles reaches their threshold (block-max WAND)."""
-        lists = [(*self.terms[t], 0) for t in query]
-        if sum(max(s for _, s in x[2]) for x in lists) < self.floor:
+        if float(self.most[query].sum()) < self.floor:
             return []
-        cursors = [[x[0][0], 0, x[0], x[1], x[2], max(s for _, s in x[2])] for x in lists]
+        cursors = [[x[0][0], 0, *x, float(self.most[t])] for t in query for x in (self.postings(t),)]
         found = []
         while cursors:
             cursors.sort(key=lambda c: c[0])
@@ -133,28 +161,29 @@ class ItemIndex:
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         end = np.cumsum(size)
         grams = shingles(points(joined), self.width)
-        if not len(grams) or not len(self.known):
+        if not len(grams) or not len(self.terms):
             return []
         hit = np.flatnonzero(self.slots[(grams & np.uint64(_SLOTS - 1)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.known, grams[hit]), len(self.known) - 1)
-        hit = hit[self.known[place] == grams[hit]]
+        place = np.minimum(np.searchsorted(self.terms, grams[hit]), len(self.terms) - 1)
+        known = self.terms[place] == grams[hit]
+        hit, place = hit[known], place[known]
         text = np.searchsorted(end, hit, side="right")
         inside = hit + self.width <= end[text]
-        hit, text = hit[inside], text[inside]
+        hit, text, place = hit[inside], text[inside], place[inside].tolist()
         offset = hit - (end[text] - size[text])
         window, step = 2 * self.run, self.run
         found: set[tuple[int, int]] = set()
         tried: set[tuple[int, int]] = set()
         # a shingle at offset o lies in the windows that begin at step * w for o - window + width <= step * w <= o
         per: dict[tuple[int, int], list[int]] = {}
-        for i, t, o in zip(hit.tolist(), text.tolist(), offset.tolist()):
+        for k, (t, o) in enumerate(zip(text.tolist(), offset.tolist())):
             for w in range(max(0, -(-(o - window + self.width) // step)), o // step + 1):
-                per.setdefault((t, w), []).append(i)
+                per.setdefault((t, w), []).append(k)
         need = self.run - self.width + 1
         for (t, _), at in per.items():
             if at[-1] - at[0] + 1 < need or len(at) < need:
                 continue
-            for d in self.wand(list(dict.fromkeys(grams[at].tolist()))):
+            for d in self.wand(list(dict.fromkeys(place[k] for k in at))):
                 if (t, d) not in tried:
                     tried.add((t, d))
                     if self.verify(texts[t], d):
@@ -162,9 +191,21 @@ class ItemIndex:
         return sorted(found)
 
     def verify(self, text: str, d: int) -> bool:
+        """Whether a run of an item stands in a text: any such run holds a whole piece of half its length."""
         item, run = self.texts[d], self.run
-        return any(item[i : i + run] in text for i in range(len(item) - run + 1))
-
+        half = run // 2
+        for i in range(0, len(item) - half + 1, half):
+            piece, at = item[i : i + half], text.find(item[i : i + half])
+            while at >= 0:
+                a, b = 0, half
+                while b - a < run and i + a - 1 >= 0 and at + a - 1 >= 0 and item[i + a - 1] == text[at + a - 1]:
+                    a -= 1
+                while b - a < run and i + b < len(item) and at + b < len(text) and item[i + b] == text[at + b]:
+                    b += 1
+                if b - a >= run:
+                    return True
+                at = text.find(piece, at + 1)
+        return False
 
     def overlap(self, text: str, d: int) -> int:
         """The length of the longest run of an item's letters and digits in a text."""
@@ -179,7 +220,7 @@ def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def leaks_found(corpus: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "eval_id", item_text: str = "text", run: int = 50, most_chars: int = 8_000_000, answer: str | None = None) -> DataFrame:
+def leaks_found(corpus: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "eval_id", item_text: str = "text", run: int = 50, most_chars: int = 2_000_000, answer: str | None = None) -> DataFrame:
     """(id, item_id) of every document that holds ``run`` consecutive letters and digits of an item.
 
     With ``answer``, a column of the items, two more columns tell how much leaked: ``overlap``, the
@@ -192,21 +233,12 @@ def leaks_found(corpus: DataFrame, items: DataFrame, id: str = "doc_id", text: s
     if answer:
         schema = T.StructType([*schema.fields, T.StructField("overlap", T.IntegerType()), T.StructField("answered", T.BooleanType())])
     slim = spread(corpus.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).where("text is not null"))
-    blocks, held = [[]], 0
-    for r in items.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t"), (F.col(answer).cast("string") if answer else F.lit("")).alias("a")).distinct().orderBy("i").toLocalIterator():
-        own = letters(r.t)
-        if len(own) >= run:
-            if held + len(own) > most_chars:
-                blocks, held = [*blocks, []], 0
-            blocks[-1].append((r.i, own, letters(r.a)))
-            held += len(own)
-
     def scan(block: list[tuple[int, str, str]]) -> DataFrame:
-        index = spark.sparkContext.broadcast(block)
+        index = ItemIndex([(i, t) for i, t, _ in block], run)
+        shared = spark.sparkContext.broadcast((index, [a for _, _, a in block]))
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = ItemIndex([(i, t) for i, t, _ in index.value], run)
-            answers = [a for _, _, a in index.value]
+            own, answers = shared.value
             for b in batches:
                 texts = [letters(t) for t in b.column(1).to_pylist()]
                 pairs = own.leaked(texts)
@@ -218,7 +250,15 @@ def leaks_found(corpus: DataFrame, items: DataFrame, id: str = "doc_id", text: s
 
         return slim.mapInArrow(rows, schema)
 
-    out = scan(blocks[0])
-    for block in blocks[1:]:
-        out = out.unionByName(scan(block))
-    return out.dropDuplicates()
+    # the items stream through the driver, which holds one block of them at a time
+    found, block, held = [], [], 0
+    for r in items.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t"), (F.col(answer).cast("string") if answer else F.lit("")).alias("a")).distinct().toLocalIterator():
+        own = letters(r.t)
+        if len(own) >= run:
+            if held and held + len(own) > most_chars:
+                found.append(scan(block))
+                block, held = [], 0
+            block.append((r.i, own, letters(r.a)))
+            held += len(own)
+    found.append(scan(block))
+    return functools.reduce(DataFrame.unionByName, found).dropDuplicates()

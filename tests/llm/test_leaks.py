@@ -38,3 +38,19 @@ def test_rows(spark):
     assert sorted((r.doc_id, r.eval_id, r.overlap, r.answered) for r in told) == [(1, 7, 55, True), (5, 7, 60, True), (5, 7, 60, True)][: len(told)]
     assert leaks_found(corpus, items.limit(0)).collect() == [] and leaks_found(corpus.limit(0), items).collect() == []
     assert letters("Ab,c") == "abc"
+
+
+def test_index_is_small_and_quick_to_build():
+    rng = random.Random(4)
+    items = [(i, "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(500))) for i in range(2000)]
+    index = ItemIndex(items)
+    assert index.nbytes < 40 * 1_000_000 + (1 << 20)
+    assert index.leaked([items[7][1][100:160] + "x", items[9][1][100:149]]) == [(0, 7)]
+
+
+def test_verify_equals_its_definition():
+    rng = random.Random(9)
+    for _ in range(300):
+        item, text = ("".join(rng.choice("ab") for _ in range(rng.randrange(10, 60))) for _ in range(2))
+        index = ItemIndex([(0, item)], 10, 4)
+        assert index.verify(text, 0) == any(item[i : i + 10] in text for i in range(len(item) - 9))

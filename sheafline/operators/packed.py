@@ -2,9 +2,10 @@
 
 Method: the Arrow string buffer of a batch is scanned as one array of code points. Quote
 parity and bracket depth give a mask of the characters that belong to a value whatever they
-are; separator masks outside it give the cuts; from the cuts come the child offsets of a list
-array, which is flattened with the parent's ordinal. Rows whose quotes or brackets do not pair
-up are read by a character-by-character scanner instead, so that no row is lost.
+are; separator masks outside it give the cuts; masks of blanks and quotes move the cuts to the
+edges of the values; their bytes are taken out of the buffer at once, which gives the child of a
+list array whose offsets are the numbers of values. The lists are flattened with the parent's
+ordinal. Rows whose quotes or brackets do not pair up, and options, are read by a scanner instead, so that no row is lost.
 
 Defined results
 * null, empty and blank bodies, and bodies of a single value, give no row;
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +35,11 @@ BLANKS = "                　"
 OPENERS = {"(": ")", "（": "）", "“": "”", "「": "」", "『": "』", "‘": "’"}
 ENCLOSING = {'"': '"', "“": "”", "「": "」", "『": "』", "‘": "’"}
 TRAILING = SEPARATORS + BLANKS
-LABEL = re.compile(r"(?:^|(?<=[\s,，、;；|]))(?:[（(]\s*([A-I])\s*[)）][．.、:：]?|([A-I])[．.、:：)）])\s*")
+LABEL = re.compile(r"(?:^|(?<=[\s,，、;；|]))(?:[（(]\s*([A-Z])\s*[)）][．.、:：]?|([A-Z])[．.、:：)）])\s*")
 #: The same labels where nothing but the letters' order tells them from the text before.
-TIGHT = re.compile(r"(?:[（(]\s*([A-I])\s*[)）]|([A-I])[．、])\s*")
+TIGHT = re.compile(r"(?:[（(]\s*([A-Z])\s*[)）]|([A-Z])[．、])\s*")
+#: Up to here letters need only ascend; beyond, where they are often symbols, each must follow the one before.
+LAST_FREE = "I"
 
 _KIND = np.zeros(0x110000, np.uint8)  # 1 separator, 2 blank, 3 straight quote, 4 opener, 5 closer, 6 slash
 for _chars, _kind in ((SEPARATORS, 1), (BLANKS, 2), ('"＂', 3), (OPENERS, 4), (OPENERS.values(), 5), ("/／", 6)):
@@ -46,6 +50,15 @@ _PAIR = np.zeros(0x110000, np.uint8)  # the number of the pair that a mark belon
 for _i, (_a, _b) in enumerate(OPENERS.items()):
     _PAIR[ord(_a)] = _PAIR[ord(_b)] = _i + 1
 
+#: The closing mark of each mark that can enclose a value, the marks of quotation, and white space.
+_CLOSE = np.zeros(0x110000, np.uint32)
+for _a, _b in ENCLOSING.items():
+    _CLOSE[ord(_a)] = ord(_b)
+_MARK = np.zeros(0x110000, bool)
+_MARK[[ord(c) for pair in ENCLOSING.items() for c in pair]] = True
+_SPACE = np.zeros(0x110000, bool)
+_SPACE[[i for i in range(0x3001) if chr(i).isspace()]] = True
+
 
 def tidy(value: str) -> str:
     """A value without outer blanks, trailing separators and enclosing quotes."""
@@ -66,7 +79,7 @@ def options(body: str) -> list[str]:
         found, last = [], ""
         for m in pattern.finditer(body):
             letter = m[1] or m[2]
-            if letter > last and (last or letter == "A"):
+            if letter == "A" and not last or last and (last < letter <= LAST_FREE or letter > LAST_FREE and ord(letter) == ord(last) + 1):
                 found.append(m)
                 last = letter
         if len(found) > 1:
@@ -108,17 +121,45 @@ def scan(body: str, blanks: bool) -> list[str]:
     return [v for x in [*values, body[begin:]] if (v := tidy(x))]
 
 
-def split_rows(bodies: list[str], blanks: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Values of all rows in order, and the ordinal of each value's row; ``blanks``: rows that blanks split too."""
-    text = "".join(bodies)
-    if not text:
-        return [], np.empty(0, np.int64)
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+class Flat:
+    """The strings of an Arrow array as one array of code points; ``begin`` and ``end`` of each row in it."""
+
+    def __init__(self, rows: pa.StringArray):
+        rows = rows.cast(pa.large_string())
+        _, offsets, data = rows.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[rows.offset : rows.offset + len(rows) + 1]
+        self.bytes = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8)
+        lead = (self.bytes & 0xC0) != 0x80
+        self.code = np.frombuffer(self.bytes.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+        #: the byte at which each code point begins
+        self.byte = np.append(np.flatnonzero(lead), len(self.bytes))
+        points = np.append(0, np.cumsum(lead))[offsets - offsets[0]]
+        self.begin, self.end = points[:-1], points[1:]
+
+    def strings(self, a: np.ndarray, b: np.ndarray) -> pa.Array:
+        """The texts of ascending ranges of code points: one cut through the bytes."""
+        x, y = self.byte[a], self.byte[b]
+        edges = np.zeros(len(self.bytes) + 1, np.int8)
+        np.add.at(edges, x, 1)
+        np.add.at(edges, y, -1)
+        data = self.bytes[np.cumsum(edges[:-1]).astype(bool)]
+        return pa.Array.from_buffers(pa.large_string(), len(a), [None, pa.py_buffer(np.append(0, np.cumsum(y - x)).astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def split_rows(bodies: pa.StringArray, blanks: np.ndarray) -> tuple[pa.ListArray, np.ndarray]:
+    """The values of each row as a list array, and which rows are odd and left to ``scan``.
+
+    ``blanks`` tells the rows that blanks split too.
+    """
+    flat = Flat(bodies)
+    code, begin, end = flat.code, flat.begin, flat.end
+    n = len(begin)
+    if not len(code):
+        return pa.LargeListArray.from_arrays(np.zeros(n + 1, np.int64), pa.array([], pa.large_string())), np.zeros(n, bool)
     kind = _KIND[code]
-    size = np.fromiter(map(len, bodies), np.int64, len(bodies))
-    end = np.cumsum(size)
-    begin = end - size
-    row = np.repeat(np.arange(len(bodies)), size)
+    size = end - begin
+    full = size > 0
+    row = np.repeat(np.arange(n), size)
 
     def total(mask: np.ndarray) -> np.ndarray:
         """Running count inside each row, the character itself included."""
@@ -126,8 +167,7 @@ def split_rows(bodies: list[str], blanks: np.ndarray) -> tuple[list[str], np.nda
         return c - np.append(0, c)[begin][row]
 
     def per_row(values: np.ndarray, how) -> np.ndarray:
-        out = np.zeros(len(bodies), np.int64)
-        full = size > 0
+        out = np.zeros(n, np.int64)
         out[full] = how.reduceat(values, begin[full])
         return out
 
@@ -136,67 +176,84 @@ def split_rows(bodies: list[str], blanks: np.ndarray) -> tuple[list[str], np.nda
     step = ((kind == 4).astype(np.int64) - (kind == 5)) * ~quoted
     depth = total(step)
     inside = quoted | (depth > 0) | (step != 0)
-    slash = kind == 6
     soft = (kind == 1) | (kind == 2)
     first, last = np.zeros(len(code), bool), np.zeros(len(code), bool)
-    first[begin[size > 0]] = last[end[size > 0] - 1] = True
-    slash &= ~first & ~last & np.append(False, soft[:-1]) & np.append(soft[1:], False)
+    first[begin[full]] = last[end[full] - 1] = True
+    slash = (kind == 6) & ~first & ~last & np.append(False, soft[:-1]) & np.append(soft[1:], False)
     cut = ((kind == 1) | slash | (kind == 2) & blanks[row]) & ~inside
+    # odd: marks that do not pair up, that nest, or that mix with quotes
     odd = (per_row(quote, np.add) & 1).astype(bool) | (per_row(depth, np.minimum) < 0)
-    closing = np.zeros(len(bodies), np.int64)
-    closing[size > 0] = depth[end[size > 0] - 1]
+    closing = np.zeros(n, np.int64)
+    closing[full] = depth[end[full] - 1]
     mixed = per_row((quote & (total((kind == 4) | (kind == 5)) > 0)).astype(np.int64), np.maximum) > 0
-    nested = per_row(depth, np.maximum) > 1
-    odd |= (closing != 0) | mixed | nested
+    odd |= (closing != 0) | mixed | (per_row(depth, np.maximum) > 1)
     mark = np.flatnonzero(step)
     opens = np.flatnonzero(step[mark] > 0)
     opens = opens[opens + 1 < len(mark)]
-    unlike = _PAIR[code[mark[opens]]] != _PAIR[code[mark[opens + 1]]]
-    odd[row[mark[opens[unlike]]]] = True
-    values: list[str] = []
-    owners: list[int] = []
-    at = np.flatnonzero(cut)
-    cuts_to = np.searchsorted(at, end)
-    cuts_from = np.searchsorted(at, begin)
-    places = at.tolist()
-    for i, (b, e, lo, hi) in enumerate(zip(begin.tolist(), end.tolist(), cuts_from.tolist(), cuts_to.tolist())):
-        if odd[i]:
-            own = scan(bodies[i], bool(blanks[i]))
-        elif lo == hi:
-            continue
-        else:
-            edges = [b - 1, *places[lo:hi], e]
-            own = [v for x, y in zip(edges, edges[1:]) if y - x > 1 and (v := tidy(text[x + 1 : y]))]
-        if len(own) > 1:
-            values += own
-            owners += [i] * len(own)
-    return values, np.asarray(owners, np.int64)
+    odd[row[mark[opens[_PAIR[code[mark[opens]]] != _PAIR[code[mark[opens + 1]]]]]]] = True
+    # ranges between the cuts of rows that are not odd and have one
+    at = np.flatnonzero(cut & ~odd[row])
+    cutted = np.flatnonzero(np.bincount(row[at], minlength=n) > 0)
+    a, b = np.sort(np.append(begin[cutted], at + 1)), np.sort(np.append(at, end[cutted]))
+    a, b, plain = _tidied(code, soft, a, b)
+    keep = b > a
+    a, b, plain = a[keep], b[keep], plain[keep]
+    count = np.bincount(row[a], minlength=n)
+    keep = (count > 1)[row[a]]
+    a, b, plain = a[keep], b[keep], plain[keep]
+    values = flat.strings(a, b)
+    if not plain.all():  # quotes that stand inside enclosing ones
+        own = values.to_pylist()
+        values = pa.array([v if p else tidy(v) for v, p in zip(own, plain)], pa.large_string())
+    return pa.LargeListArray.from_arrays(np.append(0, np.cumsum(np.where(count > 1, count, 0))).astype(np.int64), values), odd
+
+
+def _tidied(code: np.ndarray, soft: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges without outer blanks, separators and enclosing quotes, and whether that is all there is to do."""
+
+    def trim(hard: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.arange(len(code))
+        after = np.minimum.accumulate(np.where(hard, place, len(code))[::-1])[::-1]
+        before = np.maximum.accumulate(np.where(hard, place, -1))
+        x, y = np.append(after, len(code))[a], np.append(-1, before)[b] + 1
+        return np.where(x < y, x, a), np.where(x < y, y, a)
+
+    a, b = trim(~soft, a, b)
+    two = np.flatnonzero(b - a > 1)
+    enclosed = two[(_CLOSE[code[a[two]]] == code[b[two] - 1]) & (_CLOSE[code[a[two]]] > 0)]
+    plain = np.ones(len(a), bool)
+    if len(enclosed):
+        x, y = a[enclosed], b[enclosed]
+        seen = np.append(0, np.cumsum(_MARK[code]))
+        bare = seen[y - 1] - seen[x + 1] == 0  # no other quote of any kind inside
+        plain[enclosed[~bare]] = False
+        x, y = trim(~_SPACE[code], x[bare] + 1, y[bare] - 1)
+        a, b = a.copy(), b.copy()
+        a[enclosed[bare]], b[enclosed[bare]] = x, y
+    return a, b, plain
 
 
 def unpack(df: DataFrame, id: str = "raw_id", slot: str = "slot", body: str = "body", whole: tuple[str, ...] = ("stem",), numbers: tuple[str, ...] = ("numbers",), labelled: tuple[str, ...] = ("options",)) -> DataFrame:
     """(id, pos, value) of every value of every row that packs at least two."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flattened(ids: pa.Array, lists: pa.LargeListArray) -> pa.RecordBatch:
+            parent = pc.list_parent_indices(lists).to_numpy()
+            pos = np.arange(len(parent)) - lists.offsets.to_numpy()[parent] + 1
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(parent)), pa.array(pos, pa.int64()), lists.flatten().cast(pa.string())], names=["id", "pos", "value"])
+
         for b in batches:
-            slots, bodies = b.column(1).to_pylist(), b.column(2).to_pylist()
-            plain = [i for i, s in enumerate(slots) if s not in labelled and bodies[i]]
-            values, owner = split_rows([bodies[i] for i in plain], np.array([slots[i] in numbers for i in plain], bool))
-            parent = np.asarray(plain, np.int64)[owner] if len(owner) else np.empty(0, np.int64)
-            extra = [(i, v) for i, s in enumerate(slots) if s in labelled and bodies[i] for v in options(bodies[i])]
-            lone = {}
-            for i, _ in extra:
-                lone[i] = lone.get(i, 0) + 1
-            extra = [(i, v) for i, v in extra if lone[i] > 1]
-            parent = np.concatenate([parent, np.array([i for i, _ in extra], np.int64)])
-            values = values + [v for _, v in extra]
-            if not len(parent):
-                continue
-            starts = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
-            lengths = np.diff(np.append(starts, len(parent)))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(parent)), pa.int32()), pa.array(values, pa.string()))
-            pos = np.arange(len(parent)) - np.repeat(starts, lengths) + 1
-            ids = b.column(0).take(pa.array(parent[starts]))
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(starts)), lengths))), pa.array(pos, pa.int64()), lists.flatten()], names=["id", "pos", "value"])
+            ids, slots, bodies = b.columns
+            choice = pc.is_in(slots, value_set=pa.array(labelled, pa.string()))
+            spaced = pc.is_in(slots, value_set=pa.array(numbers, pa.string())).to_numpy(zero_copy_only=False)
+            plain = np.flatnonzero(~choice.to_numpy(zero_copy_only=False))
+            lists, odd = split_rows(bodies.take(pa.array(plain)), spaced[plain])
+            yield flattened(ids.take(pa.array(plain)), lists)
+            rest = [(i, scan(bodies[i].as_py(), bool(spaced[i]))) for i in plain[odd].tolist()]
+            rest += [(i, options(bodies[i].as_py())) for i in np.flatnonzero(choice.to_numpy(zero_copy_only=False)).tolist()]
+            rest = [(i, values) for i, values in rest if len(values) > 1]
+            if rest:
+                yield flattened(ids.take(pa.array([i for i, _ in rest])), pa.array([values for _, values in rest], pa.large_list(pa.large_string())))
 
     slim = df.select(F.col(id).alias("id"), F.col(slot).cast("string").alias("slot"), F.col(body).cast("string").alias("body"))
     slim = slim.where(F.col("body").isNotNull() & ~F.coalesce(F.col("slot"), F.lit("")).isin(*whole))

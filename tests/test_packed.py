@@ -3,12 +3,19 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sheafline.operators.packed import options, scan, split_rows, unpack
 
 
+def all_values(bodies, numbers):
+    lists, odd = split_rows(pa.array(bodies, pa.string()), np.array(numbers))
+    own = [scan(b, bool(n)) if o else v for b, n, o, v in zip(bodies, numbers, odd, lists.to_pylist())]
+    return [v if len(v) > 1 else [] for v in own]
+
+
 def values(body, numbers=False):
-    return split_rows([body], np.array([numbers]))[0]
+    return all_values([body], [numbers])[0]
 
 
 def test_separators_and_quotes():
@@ -34,6 +41,8 @@ def test_long_rows_are_linear():
 def test_options():
     assert options("A．5; B．6 m/s; C．7") == ["5", "6 m/s", "7"]
     assert options("（A）x, y\n(B)z") == ["x, y", "z"]
+    assert options(" ".join(f"{c}．{i}" for i, c in enumerate("ABCDEFGHIJKL"))) == [str(i) for i in range(12)]
+    assert options("A．甲 C．乙 N．极 S．极") == ["甲", "乙 N．极 S．极"]
     assert options("A、x") == [] and options("12 A, 13 B") == []
 
 
@@ -42,13 +51,11 @@ def test_same_as_scanner():
     pool = 'ab1 ,，、;"“”()（）「」|/\n'
     bodies = ["".join(rng.choice(pool) for _ in range(rng.randrange(14))) for _ in range(3000)] + ["x," * 40000]
     flags = np.array([rng.random() < 0.3 for _ in bodies])
-    got, owner = split_rows(bodies, flags)
-    by = {}
-    for v, o in zip(got, owner.tolist()):
-        by.setdefault(o, []).append(v)
-    for i, b in enumerate(bodies):
+    for i, (b, got) in enumerate(zip(bodies, all_values(bodies, flags))):
         want = scan(b, bool(flags[i]))
-        assert by.get(i, []) == (want if len(want) > 1 else []), b
+        assert got == (want if len(want) > 1 else []), b
+    part = pa.array(["", *bodies, None], pa.string()).slice(1, 40)  # a slice of a longer buffer
+    assert split_rows(part, flags[:40])[0].to_pylist() == split_rows(pa.array(bodies[:40]), flags[:40])[0].to_pylist()
 
 
 def test_rows(spark):

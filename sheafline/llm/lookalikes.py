@@ -43,6 +43,8 @@ RADICALS = dict(
 )
 RADICALS |= {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0x2F00, 0x2FD6)}
 WIDE = {chr(c): chr(c - 0xFEE0) for a, b in ((0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A)) for c in range(a, b + 1)}
+#: Half-width kana and Hangul letters; the voice marks become combining ones and join their letter.
+WIDE |= {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFF66, 0xFFBF), *range(0xFFC2, 0xFFDD)) if unicodedata.category(chr(c)) in ("Lo", "Lm")}
 BLANKS = "   "
 INVISIBLE = "­͏؜᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿"
 #: Signs whose compatibility form is one letter, and Latin ligatures.
@@ -94,6 +96,7 @@ _MARKED = re.compile(f"(?s).[{MAYBE}]+|[{MAYBE}]")
 _ALIKE = re.compile(f"[{_set(ALIKE)}]")
 _RUN = re.compile(r"[A-Za-zÀ-ɏͰ-ϿЀ-ԯ]+")
 _CYRILLIC = re.compile(r"[Ѐ-ԯ]")
+_STOP = re.compile(r"[。！？!?\n]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
 #: Joiners belong to the text between emoji and after letters of scripts that are shaped.
 _SHAPED = re.compile("[؀-ۿݐ-ݿऀ-෿က-႟ក-៿←-⯿️\U0001f000-\U0001faff]")
@@ -121,18 +124,21 @@ def _latinise(text: str) -> str:
             script.append("M")
         else:
             script.append("O" if any(_CYRILLIC.match(c) for c in own) or len(w) > 2 and len(alien) == len(w) else "S")
+    # the script of the nearest decided run before and after each run, within its sentence
+    before_, after_ = [""] * len(runs), [""] * len(runs)
+    for side, order in ((before_, range(len(runs))), (after_, range(len(runs) - 1, -1, -1))):
+        held, last = "", None
+        for k in order:
+            if last is not None and _STOP.search(text, min(runs[k][1], runs[last][1]), max(runs[k][0], runs[last][0])):
+                held = ""
+            side[k] = held
+            held = held if script[k] in "?S" else script[k]
+            last = k
     parts, done = [], 0
     for k, (a, b, w) in enumerate(runs):
         if script[k] == "?":
-            near = []
-            for step in (-1, 1):
-                j = k + step
-                while 0 <= j < len(runs) and script[j] in "?S" and abs(runs[j][0] - a) < 60:
-                    j += step
-                if 0 <= j < len(runs) and abs(runs[j][0] - a) < 60 and script[j] not in "?S":
-                    near.append(script[j])
             greek = not _CYRILLIC.search(w)
-            foreign = "O" in near
+            foreign = "O" in (before_[k], after_[k])
             if greek:
                 turn = any(c not in GREEK_SYMBOLS for c in w) and not (foreign and len(w) > 1)
             else:

@@ -50,3 +50,10 @@ def test_quick_check_misses_nothing():
     stable = re.compile(f"[{STABLE}]")
     assert not [hex(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and stable.match(chr(c)) and (UNSTABLE.match(chr(c)) or unicodedata.normalize("NFC", chr(c)) != chr(c))]
     assert not [hex(c) for c in range(0x3000) if not UNSTABLE.match(chr(c)) and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+
+
+def test_half_width_kana_and_distant_words():
+    assert unify("ﾃｽﾄ ｶﾞｽ ﾊﾟ") == ("テスト ガス パ", ["width", "combining"])
+    for n in (50, 59, 61, 400):  # a neighbour counts within its sentence, at any distance
+        gap = "的" * n
+        assert unify(f"слово{gap}ос{gap}")[0] == f"слово{gap}ос{gap}" and unify(f"word{gap}ос{gap}")[0] == f"word{gap}oc{gap}"

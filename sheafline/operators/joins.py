@@ -132,17 +132,22 @@ def longest_prefix(folders: DataFrame, files: DataFrame) -> DataFrame:
 def overlapping(boxes: DataFrame, group: Sequence[str], id: str) -> DataFrame:
     """(group, a, b): pairs of boxes of one group, a before b, that share an area.
 
-    Boxes have x0, y0, x1, y1. Pairs meet only in cells of a grid over the group's x-axis, so a
-    large group is not paired as a whole.
+    Boxes have x0, y0, x1, y1. A box lies in at most two cells of a grid as coarse as its own width
+    (a power of two); it looks for partners there and in the coarser grids that its group has, of which
+    there are few. So neither a large group nor one wide box in it pairs all with all.
     """
-    wide = F.max(F.col("x1") - F.col("x0")).over(Window.partitionBy(*group))
-    celled = boxes.withColumn("cell_w", F.greatest(wide, F.lit(1e-9)))
-    spread = celled.withColumn("cell", F.explode(F.sequence(F.floor(F.col("x0") / F.col("cell_w")), F.floor(F.col("x1") / F.col("cell_w")))))
     cols = ("x0", "y0", "x1", "y1")
-    a = spread.select(*group, "cell", F.col(id).alias("a"), *(F.col(c).alias(f"a_{c}") for c in cols))
-    b = spread.select(*group, "cell", F.col(id).alias("b"), *(F.col(c).alias(f"b_{c}") for c in cols))
+    level = F.ceil(F.log2(F.greatest(F.col("x1") - F.col("x0"), F.lit(1e-9)))).cast("int")
+    own = boxes.select(*group, F.col(id).alias("id"), *cols, level.alias("level"))
+    levels = own.groupBy(*group).agg(F.collect_set("level").alias("levels"))
+    cells = lambda at: F.sequence(F.floor(F.col("x0") / F.pow(F.lit(2.0), F.col(at))), F.floor(F.col("x1") / F.pow(F.lit(2.0), F.col(at))))
+    seeking = own.join(levels, list(group)).withColumn("at", F.explode(F.filter("levels", lambda x: x >= F.col("level")))).drop("levels")
+    a = seeking.withColumn("cell", F.explode(cells("at"))).select(*group, "at", "cell", F.col("id").alias("a"), F.col("level").alias("a_level"), *(F.col(c).alias(f"a_{c}") for c in cols))
+    b = own.withColumn("cell", F.explode(cells("level"))).select(*group, F.col("level").alias("at"), "cell", F.col("id").alias("b"), *(F.col(c).alias(f"b_{c}") for c in cols))
     hit = overlaps({c: F.col(f"a_{c}") for c in cols}, {c: F.col(f"b_{c}") for c in cols})
-    return a.join(b, [*group, "cell"]).where((F.col("a") < F.col("b")) & hit).select(*group, "a", "b").distinct()
+    once = (F.col("a_level") < F.col("at")) | (F.col("a") < F.col("b"))
+    found = a.join(b, [*group, "at", "cell"]).where((F.col("a") != F.col("b")) & once & hit)
+    return found.select(*group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def zip_by_position(left: DataFrame, right: DataFrame, key: str, a: str, b: str) -> DataFrame:
@@ -151,50 +156,76 @@ def zip_by_position(left: DataFrame, right: DataFrame, key: str, a: str, b: str)
     return both.select(key, F.posexplode(F.arrays_zip(F.col(a).alias("l"), F.col(b).alias("r"))).alias("pos", "x")).select(key, "pos", F.col("x.l").alias(a), F.col("x.r").alias(b))
 
 
-def best_match(queries: DataFrame, pool: DataFrame, scope: Sequence[str], trust: float = 0.6, block: int = 2048) -> DataFrame:
-    """(query_id, match_id, score, scoped): the most alike vector of the same scope, by centred cosine; below
-    ``trust`` the best of the whole pool. Scores have six places; ties go to the smaller id.
+def _unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    m = np.array(table.column("vec").to_pylist(), float).reshape(table.num_rows, -1)
+    m = m - m.mean(axis=1, keepdims=True)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return table.column("id").to_numpy(), np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+
+
+def _product(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The best of one block of the pool for each query of one block."""
+    names = ["query_id", "match_id", "score"]
+    if not left.num_rows or not right.num_rows:
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
+    order = np.argsort(right.column("id").to_numpy(), kind="stable")  # the first of equals is the smaller id
+    (qi, a), (pi, b) = _unit(left), _unit(right.take(pa.array(order)))
+    score = np.round(a @ b.T, 6) + 0.0
+    score[qi[:, None] == pi[None]] = -np.inf
+    best = score.argmax(axis=1)
+    top = score[np.arange(len(qi)), best]
+    keep = np.isfinite(top)
+    return pa.table([pa.array(qi[keep]), pa.array(pi[best][keep]), pa.array(top[keep])], names=names)
+
+
+def nearest(queries: DataFrame, pool: DataFrame, scope: Sequence[str] = (), block: int = 2048) -> DataFrame:
+    """(query_id, match_id, score): the most alike vector of the same scope, by centred cosine.
 
     ``queries`` and ``pool`` have id, vec and the scope columns; a query never matches its own id.
-    Queries and pool are cut into blocks of about ``block`` rows; each pair of blocks (of one scope,
-    in the first search) is one task's matrix product and keeps one best per query. The whole-pool
-    search runs for the remainder alone. A vector without variance scores 0 against everything.
+    Scores have six places; ties go to the smaller id; a vector without variance scores 0.
+    Both sides of a scope are cut into blocks of about ``block`` rows by the scope's own sizes; each
+    pair of blocks is one task's matrix product and keeps one best per query.
+    """
+    slim = lambda df: df.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), *(F.col(c).alias(c) for c in scope))
+    q, p = (slim(x).withColumn("_all", F.lit(0)) for x in (queries, pool))
+    scope = ("_all", *scope)
+    parts = lambda df, name: df.groupBy(*scope).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+    sizes = parts(q, "qn").join(parts(p, "pn"), list(scope))  # one row a scope
+    own = lambda n: F.expr(f"cast(pmod(xxhash64(id), {n}) as int)")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = q.join(sizes, list(scope)).withColumn("qb", own("qn")).withColumn("pb", every("pn")).drop("qn", "pn")
+    b = p.join(sizes, list(scope)).withColumn("pb", own("pn")).withColumn("qb", every("qn")).drop("qn", "pn")
+    key = [*scope, "qb", "pb"]
+    each = a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(_product, "query_id long, match_id long, score double")
+    return each.groupBy("query_id").agg(F.max_by(F.struct("match_id", "score"), F.struct("score", -F.col("match_id"))).alias("m")).select("query_id", "m.match_id", "m.score")
+
+
+def best_match(queries: DataFrame, pool: DataFrame, scope: Sequence[str], trust: float = 0.6, block: int = 2048) -> DataFrame:
+    """(query_id, match_id, score, scoped): the most alike vector of the same scope; below ``trust`` the
+    best of the whole pool. The whole-pool search runs for the remainder alone."""
+    scoped = nearest(queries, pool, scope, block).where(F.col("score") >= trust).withColumn("scoped", F.lit(True))
+    rest = queries.join(scoped.select(F.col("query_id").alias("id")), "id", "left_anti")
+    return scoped.unionByName(nearest(rest, pool, (), block).withColumn("scoped", F.lit(False)))
+
+
+def locate_figures(old: DataFrame, crops: DataFrame, pictures: DataFrame, trust: float = 0.6) -> DataFrame:
+    """(id, crop, crop_score, source, page, picture, kind, score): where each old figure comes from.
+
+    First the most alike recognised crop gives source and page; then the most alike picture there, whole
+    or a panel of it; below ``trust`` the most alike whole picture anywhere, if it is better.
+    ``old`` has id and vec; ``crops`` adds source and page; ``pictures`` adds kind (``whole`` or a panel's name).
     """
-    q = queries.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), *(F.col(c).alias(c) for c in scope))
-    p = pool.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), *(F.col(c).alias(c) for c in scope))
-    sizes = q.agg(F.count(F.lit(1))).first()[0], p.agg(F.count(F.lit(1))).first()[0]
-    parts = [max(1, -(-n // block)) for n in sizes]
-
-    def unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        m = np.array(table.column("vec").to_pylist(), float).reshape(table.num_rows, -1)
-        m = m - m.mean(axis=1, keepdims=True)
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return table.column("id").to_numpy(), np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
-
-    def product(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "match_id", "score"]
-        if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
-        order = np.argsort(right.column("id").to_numpy(), kind="stable")  # the first of equals is the smaller id
-        (qi, a), (pi, b) = unit(left), unit(right.take(pa.array(order)))
-        score = np.round(a @ b.T, 6) + 0.0
-        score[qi[:, None] == pi[None]] = -np.inf
-        best = score.argmax(axis=1)
-        top = score[np.arange(len(qi)), best]
-        keep = np.isfinite(top)
-        return pa.table([pa.array(qi[keep]), pa.array(pi[best][keep]), pa.array(top[keep])], names=names)
-
-    def search(left: DataFrame, *by: str) -> DataFrame:
-        left = left.select(*(F.col(c).alias(c) for c in left.columns))
-        a = left.withColumn("qb", F.expr(f"cast(pmod(xxhash64(id), {parts[0]}) as int)")).withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(parts[1] - 1))))
-        b = p.withColumn("pb", F.expr(f"cast(pmod(xxhash64(id), {parts[1]}) as int)")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(parts[0] - 1))))
-        key = [*by, "qb", "pb"]
-        each = a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(product, "query_id long, match_id long, score double")
-        return each.groupBy("query_id").agg(F.max_by(F.struct("match_id", "score"), F.struct("score", -F.col("match_id"))).alias("m")).select("query_id", "m.match_id", "m.score")
-
-    scoped = search(q, *scope).where(F.col("score") >= trust).withColumn("scoped", F.lit(True))
-    rest = q.join(scoped.select(F.col("query_id").alias("id")), "id", "left_anti")
-    return scoped.unionByName(search(rest).withColumn("scoped", F.lit(False)))
+    top = nearest(old, crops).select(F.col("query_id").alias("id"), F.col("match_id").alias("crop"), F.col("score").alias("crop_score"))
+    placed = top.join(crops.select(F.col("id").alias("crop"), "source", "page"), "crop")
+    queries = old.select("id", "vec").join(placed.select("id", "source", "page"), "id")
+    here = nearest(queries, pictures, ("source", "page")).select(F.col("query_id").alias("id"), F.struct(F.col("score"), F.col("match_id").alias("picture"), F.lit(False).alias("anywhere")).alias("best"))
+    weak = old.select("id", "vec").join(here.where(F.col("best.score") >= trust).select("id"), "id", "left_anti")
+    wide = nearest(weak, pictures.where("kind = 'whole'")).select(F.col("query_id").alias("id"), F.struct(F.col("score"), F.col("match_id").alias("picture"), F.lit(True).alias("anywhere")).alias("other"))
+    both = placed.join(here, "id", "full_outer").join(wide, "id", "full_outer")
+    best = F.when(F.col("best").isNull() | (F.col("other.score") > F.col("best.score")), F.col("other")).otherwise(F.col("best"))
+    kinds = pictures.select(F.col("id").alias("picture"), "kind")
+    out = both.select("id", "crop", "crop_score", "source", "page", best.alias("m")).select("id", "crop", "crop_score", "source", "page", "m.picture", "m.score", "m.anywhere")
+    return out.join(kinds, "picture", "left").select("id", "crop", "crop_score", "source", "page", "picture", F.concat("kind", F.when(F.col("anywhere"), "*").otherwise("")).alias("kind"), "score")
 
 
 def same_text_label(left: DataFrame, right: DataFrame, label: str, value: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -356,19 +357,48 @@ def recipes(crops: DataFrame, pictures: DataFrame, used: DataFrame) -> DataFrame
     return out.unionByName(twice).unionByName(emit(pairs, finding("recipe-overlap", "warning", F.concat_ws("/", "source", "a", "b")))).unionByName(emit(orphan, finding("recipe-orphan", "warning", F.col("path"))))
 
 
-def registry(entries: DataFrame, used: DataFrame, sources: DataFrame) -> DataFrame:
+def registry(entries: DataFrame, used: DataFrame, sources: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Redraw registry: entries given twice or with an absolute path, references not registered,
     entries not used, sources neither registered nor used. A null original is a declared none.
 
     ``entries`` has year, region, tikz, original; ``used`` and ``sources`` have year, region, tikz.
+    With ``files`` (year, region, path) also: originals that are no file, registered or used drawings
+    without a source, and papers that use drawings and register none.
     """
     key = ["year", "region", "tikz"]
-    twice = emit(entries.groupBy(*key).count().where("count > 1"), finding("registry-twice", "error", F.col("tikz")))
-    absolute = emit(entries.where(F.col("original").startswith("/")), finding("registry-path", "error", F.col("original")))
-    unregistered = emit(used.distinct().join(entries.select(*key).distinct(), key, "left_anti"), finding("unregistered", "error", F.col("tikz")))
-    unused = emit(entries.select(*key).distinct().join(used.distinct(), key, "left_anti"), finding("unused", "warning", F.col("tikz")))
-    orphan = sources.distinct().join(entries.select(*key).distinct(), key, "left_anti").join(used.distinct(), key, "left_anti")
-    return twice.unionByName(absolute).unionByName(unregistered).unionByName(unused).unionByName(emit(orphan, finding("orphan", "warning", F.col("tikz"))))
+    listed, needed, there = entries.select(*key).distinct(), used.select(*key).distinct(), sources.select(*key).distinct()
+    name = F.col("tikz")
+    parts = [
+        emit(entries.groupBy(*key).count().where("count > 1"), finding("registry-twice", "error", name)),
+        emit(entries.where(F.col("original").startswith("/")), finding("registry-path", "error", F.col("original"))),
+        emit(needed.join(listed, key, "left_anti"), finding("unregistered", "error", name)),
+        emit(listed.join(needed, key, "left_anti"), finding("unused", "warning", name)),
+        emit(there.join(listed, key, "left_anti").join(needed, key, "left_anti"), finding("orphan", "warning", name)),
+    ]
+    if files is not None:
+        own = files.select("year", "region", F.col("path").alias("original")).distinct()
+        gone = entries.where("original is not null").join(own, ["year", "region", "original"], "left_anti")
+        bare = needed.select("year", "region").distinct().join(listed.select("year", "region").distinct(), ["year", "region"], "left_anti")
+        parts += [
+            emit(gone, finding("registry-original", "error", F.col("original"))),
+            emit(listed.unionByName(needed).distinct().join(there, key, "left_anti"), finding("registry-source", "error", name)),
+            emit(bare, finding("registry-missing", "error", F.lit("no registry"))),
+        ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def source_numbers(items: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Items whose number lies outside the paper's list of source numbers, source numbers given twice, and
+    lists as long as another number of items.
+
+    ``items`` has year, region, number; ``numbers`` has year, region and sourceNumbers, an array.
+    """
+    both = items.join(numbers.select("year", "region", "sourceNumbers"), ["year", "region"])
+    outside = emit(both.where((F.col("number") < 1) | (F.col("number") > F.size("sourceNumbers"))), finding("source-number", "error", F.lit("outside the list"), F.col("number")))
+    each_ = numbers.select("year", "region", F.explode("sourceNumbers").alias("n")).groupBy("year", "region", "n").count().where("count > 1")
+    twice = emit(each_, finding("source-twice", "error", F.col("n").cast("string")))
+    counted = items.groupBy("year", "region").agg(F.count_distinct("number").alias("own")).join(numbers, ["year", "region"]).where("own <> size(sourceNumbers)")
+    return outside.unionByName(twice).unionByName(emit(counted, finding("source-length", "warning", F.concat_ws("/", F.col("own").cast("string"), F.size("sourceNumbers").cast("string")))))
 
 
 def material(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sheafline import schema
 from sheafline.functions import geometry, html, repeat, text as tx
 from sheafline.operators import aggregates as ag
-from sheafline.operators import joins, merge, ordered, parse, rules, sets
+from sheafline.operators import joins, merge, ordered, parse, rasters, rules, sets
 from sheafline.operators.packed import unpack
 from sheafline.session import spread, stage, table
 
@@ -543,6 +543,12 @@ def unresolved_files(spark, d):
     return joins.resolve_files(refs, files).select("o_orderkey", "path")
 
 
+@query("SELECT p_partkey, p_size % 5 AS panels, p_size % 3 AS labels FROM part WHERE p_size % 5 >= 2 OR p_size % 3 > 0")
+def triage_list(spark, d):
+    """The list of pictures to look at, by panels and labels (made of the sizes of parts)."""
+    return rasters.triage(table(spark, d, "part").select("p_partkey", (F.col("p_size") % 5).alias("panels"), (F.col("p_size") % 3).alias("labels")))
+
+
 # -- parsing and rules -------------------------------------------------------------------------
 
 _PAPERS = r"""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sheafline.functions.text import Rule, fix_text
 from sheafline.operators.parse import collect_papers
+from sheafline.sources.texts import read_files
 
 
 def write_new(df: DataFrame, existing: DataFrame | None, key: Sequence[str], path: str, force: bool = False) -> DataFrame:
@@ -51,3 +53,55 @@ def report(findings: DataFrame) -> tuple[DataFrame, int]:
 
 def exit_code(level: Column) -> Column:
     return F.coalesce(F.max((level == "error").cast("int")), F.lit(0))
+
+
+def write_material(sources: DataFrame, stored: DataFrame, path: str, force: bool = False) -> DataFrame:
+    """(folder, state): merged texts are written for folders that have none, or for all when forced.
+
+    ``sources`` has folder, text (the merged text), hash (of its sources) and complete (whether every
+    source is there); ``stored`` has folder and hash of what is written. ``state`` is built, skipped,
+    drift (other sources than the written text was made of) or incomplete (never built over a text that exists).
+    """
+    both = sources.join(stored.select("folder", F.col("hash").alias("old"), F.lit(True).alias("there")), "folder", "left")
+    there = F.coalesce("there", F.lit(False))
+    state = F.when(F.col("text").isNull() | ~F.col("complete") & there & ~F.lit(force), "incomplete").when(there & ~F.lit(force), F.when(F.col("old") != F.col("hash"), "drift").otherwise("skipped")).otherwise("built")
+    planned = both.withColumn("state", state)
+    planned.where("state = 'built'").select("folder", "text", "hash").write.mode("append").parquet(path)
+    return planned.select("folder", "state")
+
+
+def write_ledger(merged: DataFrame, path: str, write: bool = False) -> DataFrame:
+    """The rows that reviews change; the whole new ledger is written only on demand, to a new snapshot."""
+    if write:
+        merged.drop("change").write.mode("errorifexists").parquet(path)
+    return merged.where("change <> 'kept'")
+
+
+def write_matches(matches: DataFrame, path: str) -> None:
+    """Located figures as JSON, scores with three places."""
+    scores = {c: F.round(c, 3) for c in ("crop_score", "score") if c in matches.columns}
+    matches.withColumns(scores).write.mode("errorifexists").json(path)
+
+
+def recipe_drafts(parts: DataFrame, base: str, file: str = "file") -> DataFrame:
+    """(file, recipe): a draft recipe, as JSON, for each picture of two panels or more; targets are
+    ``<base>/<stem><letter>.png`` in the order of the panels, to be renamed by hand.
+
+    ``parts`` has the file and the boxes of its panels.
+    """
+    stem = F.regexp_replace(F.element_at(F.split(file, "/"), -1), r"\.[^.]*$", "")
+    boxes = F.array_sort(F.collect_list(F.struct("y0", "x0", "x1", "y1")))
+    held = parts.groupBy(file).agg(boxes.alias("boxes")).where("size(boxes) > 1")
+    crop = lambda b, i: F.struct(F.array(b["x0"], b["y0"], b["x1"] - b["x0"], b["y1"] - b["y0"]).alias("rect"), F.concat(F.lit(f"{base}/"), stem, F.chr((i + 97).cast("long")), F.lit(".png")).alias("target"))
+    entry = F.struct(F.array(F.struct(F.col(file).alias("source"), F.transform("boxes", crop).alias("crops"))).alias("entries"))
+    return held.select(file, F.to_json(entry).alias("recipe"))
+
+
+def fix_files(spark: SparkSession, root: str, out: str | None = None, rules: list[Rule] | None = None) -> DataFrame:
+    """(path, changes) of the sources under a folder that the text rules change; the fixed texts are written only
+    where ``out`` is given, never over the sources."""
+    files = read_files(spark, root, (".tex",))
+    fixed = fix_text(files.select("path", "text"), "text", rules)
+    if out:
+        fixed.where(F.size("changes") > 0).select("path", "text").write.mode("errorifexists").parquet(out)
+    return fixed.where(F.size("changes") > 0).select("path", "changes")

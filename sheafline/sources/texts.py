@@ -158,6 +158,17 @@ def headed_rows(df: DataFrame, id: str, text: str = "text", heading: str = r"^##
     return rows.select(id, "line", "heading", "cells")
 
 
+def first_table(df: DataFrame, id: str, text: str = "text", start: int = 1, end: int | None = None) -> DataFrame:
+    """(id, line, cells): all rows, head and separator included, of the first pipe table of each text that begins
+    within the lines ``start`` to ``end``; it ends where a line of the range is no row."""
+    inside = F.col("line") >= start
+    own = lines(df, id, text).where(inside if end is None else inside & (F.col("line") <= end)).where(F.trim("value").rlike(r"^\|.*\|$"))
+    w = Window.partitionBy(id)
+    at = own.withColumn("_k", F.col("line") - F.row_number().over(w.orderBy("line"))).withColumn("_first", F.min("_k").over(w))
+    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
+    return at.where("_k = _first").select(id, "line", cells.alias("cells"))
+
+
 def progress_rows(df: DataFrame, id: str = "path", text: str = "text") -> DataFrame:
     """(year, region, questions, status, note, link) of a progress document's year tables."""
     rows = headed_rows(df, id, text, columns=5).where(~F.col("cells")[0].isin("地区", "region"))

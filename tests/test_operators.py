@@ -1,10 +1,14 @@
 """Parsing, rules, joins, aggregates, ordered operators and merges on archive-shaped fixtures."""
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from sheafline import schema
 from sheafline.operators import aggregates as ag
-from sheafline.operators import joins, merge, ordered, parse, rules, sets
+from sheafline.operators import joins, merge, ordered, parse, rasters, rules, sets
+from sheafline.sources import sinks
 
 PAPER = r"""%% sourceNumbers: 17, 19
 \documentclass[\paperver]{exampaper}
@@ -253,3 +257,82 @@ def test_material_report(spark):
     got = {r.year: r.report.split("\n") for r in sets.material_report(df, ["year"], ("a", "b", "c")).collect()}
     assert got["y"] == ["a alone: 1", "b alone: （无）", "c alone: 4", "a formulas: $a$", "b formulas: $b$"]
     assert all(x.endswith("（无）") for x in got["z"])
+
+
+def test_boxes_of_all_widths(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        x, y = rng.uniform(-50, 900), rng.uniform(0, 900)
+        rows.append(("g" if i % 3 else "h", i, x, y, x + rng.choice([0.5, 3, 20, 900]) * rng.random() + 0.1, y + 40 * rng.random()))
+    df = spark.createDataFrame(rows, "g string, id long, x0 double, y0 double, x1 double, y1 double")
+    want = sorted((g, a, b) for g, a, ax0, ay0, ax1, ay1 in rows for h, b, bx0, by0, bx1, by1 in rows if g == h and a < b and ax0 < bx1 and bx0 < ax1 and ay0 < by1 and by0 < ay1)
+    assert sorted(map(tuple, joins.overlapping(df, ["g"], "id").collect())) == want
+
+
+def test_located_figures(spark):
+    rng = random.Random(6)
+    vec = lambda: [rng.gauss(0, 1) for _ in range(16)]
+    near = lambda v: [x + rng.gauss(0, 0.05) for x in v]
+    a, b, c = vec(), vec(), vec()
+    old = spark.createDataFrame([(1, a), (2, b), (3, c)], "id long, vec array<double>")
+    crops = spark.createDataFrame([(11, near(a), "s", 1), (12, near(b), "s", 2), (13, near(c), "t", 1)], "id long, vec array<double>, source string, page int")
+    pictures = spark.createDataFrame([(21, vec(), "s", 1, "whole"), (22, near(a), "s", 1, "panel0"), (23, near(b), "s", 2, "whole"), (24, vec(), "t", 1, "whole"), (25, near(c), "u", 5, "whole")], "id long, vec array<double>, source string, page int, kind string")
+    got = {r.id: (r.crop, r.picture, r.kind) for r in joins.locate_figures(old, crops, pictures).collect()}
+    assert got == {1: (11, 22, "panel0"), 2: (12, 23, "whole"), 3: (13, 25, "whole*")}
+    for block in (1, 2, 100):
+        pairs = joins.nearest(old.withColumn("g", F.col("id") % 2), crops.withColumn("g", F.col("id") % 2), ["g"], block)
+        assert {r.query_id: r.match_id for r in pairs.collect()} == {1: 11, 2: 12, 3: 13}
+    assert joins.locate_figures(old, crops.limit(0), pictures).where("picture is null").count() == 0
+
+
+def test_picture_parts_and_drafts(spark):
+    import json
+
+    page = np.full((200, 300), 255, np.uint8)
+    page[20:90, 20:100] = page[20:90, 160:260] = 0
+    df = spark.createDataFrame([("a/x.png", 300, 200, bytearray(page.tobytes())), ("b", 3, 3, bytearray(b"x")), ("c", None, None, None)], "file string, width int, height int, gray binary")
+    parts = rasters.picture_parts(df, "file")
+    assert [(r.kind, r.x0, r.y0, r.x1, r.y1, len(r.vec)) for r in parts.orderBy("x0").collect()] == [("whole", 0, 0, 300, 200, 1024), ("panel0", 20, 20, 100, 90, 1024), ("panel1", 160, 20, 260, 90, 1024)]
+    draft = json.loads(sinks.recipe_drafts(parts.where("kind <> 'whole'"), "figs", "file").first().recipe)
+    assert draft == {"entries": [{"source": "a/x.png", "crops": [{"rect": [20, 20, 80, 70], "target": "figs/xa.png"}, {"rect": [160, 20, 100, 70], "target": "figs/xb.png"}]}]}
+    listed = rasters.triage(spark.createDataFrame([(1, 0, 0), (2, 1, 3), (3, 4, 2), (4, 4, 1)], "i int, panels int, labels int"))
+    assert [r.i for r in listed.collect()] == [4, 3, 2]
+
+
+def test_writers(spark, tmp_path):
+    sources = spark.createDataFrame([("a", "t", "h1", True), ("b", "t", "h2", True), ("c", "t", "h3", True), ("d", None, "h4", False), ("e", "t", "h5", False)], "folder string, text string, hash string, complete boolean")
+    stored = spark.createDataFrame([("b", "h2"), ("c", "old"), ("e", "h5")], "folder string, hash string")
+    got = dict(map(tuple, sinks.write_material(sources, stored, str(tmp_path / "m")).collect()))
+    assert got == {"a": "built", "b": "skipped", "c": "drift", "d": "incomplete", "e": "incomplete"}
+    assert [r.folder for r in spark.read.parquet(str(tmp_path / "m")).collect()] == ["a"]
+    merged = spark.createDataFrame([(1, "kept"), (2, "added")], "i int, change string")
+    assert [r.i for r in sinks.write_ledger(merged, str(tmp_path / "l")).collect()] == [2] and not (tmp_path / "l").exists()
+    sinks.write_ledger(merged, str(tmp_path / "l"), write=True)
+    assert spark.read.parquet(str(tmp_path / "l")).count() == 2
+    sinks.write_matches(spark.createDataFrame([(1, 0.123456)], "id int, score double"), str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).first().score == 0.123
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "a.tex").write_text("8：00")
+    (tmp_path / "p" / "b.tex").write_text("甲")
+    assert [r.path.rpartition("/")[2] for r in sinks.fix_files(spark, str(tmp_path / "p"), str(tmp_path / "f")).collect()] == ["a.tex"]
+    assert [r.text for r in spark.read.parquet(str(tmp_path / "f")).collect()] == ["8:00"] and (tmp_path / "p" / "a.tex").read_text() == "8：00"
+
+
+def test_registry_files_and_source_numbers(spark):
+    key = "year string, region string, tikz string"
+    entries = spark.createDataFrame([("y", "r", "a", "figs/1.png"), ("y", "r", "b", "figs/2.png")], key + ", original string")
+    used = spark.createDataFrame([("y", "r", "a"), ("y", "q", "z")], key)
+    sources = spark.createDataFrame([("y", "r", "a")], key)
+    files = spark.createDataFrame([("y", "r", "figs/1.png")], "year string, region string, path string")
+    got = sorted((r.check, r.region, r.message) for r in rules.registry(entries, used, sources, files).where("check like 'registry%'").collect())
+    assert got == [("registry-missing", "q", "no registry"), ("registry-original", "r", "figs/2.png"), ("registry-source", "q", "z"), ("registry-source", "r", "b")]
+    items_ = spark.createDataFrame([("y", "r", n) for n in (1, 2, 4)], "year string, region string, number long")
+    lists = spark.createDataFrame([("y", "r", [5, 6])], "year string, region string, sourceNumbers array<int>")
+    assert sorted((r.check, r.message) for r in rules.source_numbers(items_, lists).collect()) == [("source-length", "3/2"), ("source-number", "outside the list")]
+
+
+def test_number_gaps_far_off(spark):
+    df = spark.createDataFrame([("a", n) for n in (2, 5, 5, 25_001)] + [("b", 1), ("b", None), ("c", 0)], "k string, n long")
+    got = ordered.gaps(df, ["k"], "n")
+    assert got.count() == 25_001 - 3 and [r.missing for r in got.orderBy("missing").limit(4).collect()] == [1, 3, 4, 6] and got.where("k <> 'a'").count() == 0

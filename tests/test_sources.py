@@ -125,3 +125,10 @@ def test_facts_recipes_registries(spark, tmp_path):
     assert sorted((r.source or "", r.target or "", r.x1 or 0, r.trims, r.relabels, r.valid) for r in rows) == [("", "", 0, False, False, False), ("q", "", 0, False, False, False), ("s", "t", 2, True, True, True), ("s", "u", 0, True, True, False)]
     registry = '{"entries": [{"tikz": "a", "original": null}, {"tikz": "b"}, {"tikz": "c", "original": "o", "note": "n"}]}'
     assert sorted((r.tikz, r.original, r.declared) for r in s.read_registry(spark.createDataFrame([(registry,)], "text string")).collect()) == [("a", None, True), ("b", None, False), ("c", "o", True)]
+
+
+def test_first_table(spark):
+    text = "| x |\n文\n| a | b |\n|---|---|\n| 1 | 2 |\n\n| c |"
+    df = spark.createDataFrame([(1, text), (2, "无"), (3, None)], "id int, text string")
+    assert [(r.line, r.cells) for r in s.first_table(df, "id").collect()] == [(1, ["x"])]
+    assert [(r.line, r.cells) for r in s.first_table(df, "id", start=2, end=6).orderBy("line").collect()] == [(3, ["a", "b"]), (4, ["---", "---"]), (5, ["1", "2"])]

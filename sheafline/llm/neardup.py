@@ -414,11 +414,22 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
                 keep.append(len(p & q) >= threshold * len(p | q) - 1e-9 and bool(p))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    text = docs.select("doc", "letters")
-    both = pairs.join(text.select(F.col("doc").alias("a"), F.col("letters").alias("x")), "a").join(text.select(F.col("doc").alias("b"), F.col("letters").alias("y")), "b")
+    text = lambda c, t: docs.select(F.col("doc").alias(c), F.col("letters").alias(t))
+    both = salted(pairs, text("a", "x")).join(text("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInArrow(rows, "a long, b long")
 
 
+def salted(pairs: DataFrame, left: DataFrame, share: int = 1000, salt: int = 64) -> DataFrame:
+    """``pairs`` (a stage table) joined to the texts of ``a``; the rows of an ``a`` that has more than a
+    ``share``-th of all pairs (fewer than ``share`` can) go to ``salt`` tasks, its text to each of them."""
+    counts = pairs.groupBy("a").count()
+    n = pairs.count()
+    hot = F.broadcast(counts.where(F.col("count") > max(share, n // share)).select("a", F.lit(salt).alias("cuts")))
+    cut = pairs.join(hot, "a", "left").withColumn("salt", F.coalesce(F.expr("pmod(xxhash64(b), cuts)"), F.lit(0)).cast("int")).drop("cuts")
+    wide = left.join(hot, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("cuts", F.lit(1)) - 1))).drop("cuts")
+    return cut.join(wide, ["a", "salt"]).drop("salt")
+
+
 def merged_in_one(edges: DataFrame) -> DataFrame:
     """(node, label) of edges (u, v) of a checked number, by union and find in one task."""
 
@@ -457,12 +468,12 @@ def components(edges: DataFrame, at_once: int = 1 << 20) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = by_size(both, least, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = stage(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        old, now = now, stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = by_size(large, least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        old, now = now, stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         unstage(old, large)
 
 
@@ -476,13 +487,13 @@ def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold
     known = held.groupBy("k1", "k2").agg(F.min("first_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     links = by_size(held, known, ["k1", "k2"], "n").select("a", F.col("first_id").alias("b")).where("a <> b")
     table = frequencies(docs)
-    label = stage(components(verified(early_links(docs, table), docs, threshold).unionByName(links)), "near-first")
+    label = stage(components(verified(stage(early_links(docs, table), "near-hubs"), docs, threshold).unionByName(links)), "near-first")
     labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
     labelled = stage(labelled, "near-labelled")
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil((docs.agg(F.sum(F.length("letters"))).first()[0] or 0) / KEYS_A_PART))
     large = large_keys(labelled, table, threshold, rare, block)
     pairs = compare(signatures(labelled, table, large, parts, threshold, rare), parts, threshold)
-    found = verified(pairs.distinct(), docs, threshold)
+    found = verified(stage(pairs.distinct(), "near-pairs"), docs, threshold)
     # what is found links whole components: only their labels go through another contraction
     base = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     between = found.join(base("a"), "a", "left").join(base("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))

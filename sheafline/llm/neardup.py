@@ -51,6 +51,8 @@ WORDS = 6  # 64-bit words of a bitmap
 PAIRS_AT_ONCE = 1 << 20
 #: Groups of more places than this are compared in blocks of rows.
 DENSE = 24
+#: Groups of up to this size are stacked.
+STACKED = 96
 #: Letters whose keys make up one part, which one task holds (about as many keys).
 KEYS_A_PART = 1 << 21
 #: Shared tokens that prefixes are extended to; the largest that both sets allow is used.
@@ -325,12 +327,30 @@ def meetings(key: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def near(bits: list[np.ndarray], most: np.ndarray, beyond: np.ndarray, end: np.ndarray, rows: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places that meet under a key and differ in no more bits than both of their bounds allow.
 
-    Four words are read here, which rule most pairs out. Groups of more than DENSE places are
-    taken in blocks of rows, all others by their distance.
+    Four words are read here, which rule most pairs out. Groups of one size and a label a place are
+    stacked and compared by distance all at once; larger ones are taken in blocks of rows, and what is
+    left place by place.
     """
     start = np.flatnonzero(np.append(True, end[1:] != end[:-1])[: len(end)])
     size = np.diff(np.append(start, len(end)))
     partners = end - beyond
+    if len(start):
+        simple = np.logical_and.reduceat(beyond == np.arange(1, len(end) + 1), start) & (size > 1) & (size <= STACKED)
+        for g in np.unique(size[simple]).tolist():
+            every = start[simple & (size == g)]
+            for k in range(0, len(every), (1 << 19) // g):
+                at = every[k : k + (1 << 19) // g, None] + np.arange(g)
+                w, m = [b[at] for b in bits[:4]], most[at]
+                small = m.max() < 120
+                m = np.ceil(m).astype(np.uint8) if small else m
+                for d in range(1, g):
+                    apart = np.bitwise_count(w[0][:, :-d] ^ w[0][:, d:])
+                    for x in w[1:]:
+                        apart += np.bitwise_count(x[:, :-d] ^ x[:, d:])
+                    i, j = np.nonzero(apart <= m[:, :-d] + m[:, d:])
+                    yield at[i, j], at[i, j + d]
+                partners[at] = 0
+        size = np.where(simple, 0, size)
     for a, b in zip(start[size > DENSE].tolist(), (start + size)[size > DENSE].tolist()):
         partners[a:b] = 0
         small = most[a:b].max() < 120

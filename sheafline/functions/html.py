@@ -7,6 +7,7 @@ as an Arrow-batched function over a text column.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -27,13 +28,25 @@ MATH = {
     "τ": r"\tau", "φ": r"\varphi", "χ": r"\chi", "ψ": r"\psi", "ω": r"\omega", "Γ": r"\Gamma", "Δ": r"\Delta", "Θ": r"\Theta",
     "Λ": r"\Lambda", "Ξ": r"\Xi", "Π": r"\Pi", "Σ": r"\Sigma", "Φ": r"\Phi", "Ψ": r"\Psi", "Ω": r"\Omega",
     "△": r"\triangle", "○": r"\bigcirc", "●": r"\bullet", "∘": r"\circ", "ℏ": r"\hbar", "⊙": r"\odot",
+    "⊄": r"\nsubseteq", "⊗": r"\otimes", "∀": r"\forall", "∃": r"\exists", "¬": r"\neg", "∽": r"\backsim", "︱": "|",
+    "ι": r"\iota", "υ": r"\upsilon", "ϵ": r"\epsilon", "ϕ": r"\phi", "¢": r"\textcent", "ȧ": r"\dot{a}", "┤": r"\dashv", "匸": r"\sqcup",
 }
+#: Variants of a sign, and letters and ideographs that stand for another.
+VARIANTS = {
+    "﹦": "＝", "﹢": "＋", "﹣": "－", "︰": "∶", "‒": "−", "‑": "−", "─": "−", "⋅": "·", "∙": "·", "・": "·", "\u0387": "·",
+    "º": "°", "˚": "°", "ʹ": "′", "ʺ": "″", "∆": "Δ", "\u2126": "Ω", "∟": "⊥",
+}
+LETTERS = {"Р": "P", "О": "O", "圧": "压", "変": "变", "況": "况", "虛": "虚", "圏": "圈", "別": "别", "岀": "出", "靜": "静", "帯": "带"}
+MATH |= {variant: MATH[sign] for variant, sign in VARIANTS.items()}
+#: Small roman numerals and ringed numbers from 11 on are words of a formula.
+ROMAN = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0x2170, 0x217C)}
+MATH |= LETTERS | {k: rf"\text{{{v}}}" for k, v in ROMAN.items()} | {chr(0x2460 + i): rf"\text{{\textcircled{{{i + 1}}}}}" for i in range(10, 20)}
 #: Italic letters of the mathematical block are plain letters of a formula.
 MATH |= {chr(a + i): chr(b + i) for a, b in ((0x1D434, 65), (0x1D44E, 97)) for i in range(26)}
 #: Characters that have a meaning of their own in typeset text.
 ESCAPES = {"\\": r"\textbackslash{}", "{": r"\{", "}": r"\}", "_": r"\_", "&": r"\&", "%": r"\%", "#": r"\#", "$": r"\$", "^": r"\textasciicircum{}", "~": r"\textasciitilde{}"}
 #: In text, dots and numbers in rings have forms of their own; all other signs are one-sign formulas.
-PLAIN = {"…": r"$\ldots$", "≤": r"$\leq$", "≥": r"$\geq$"} | {chr(0x2460 + i): rf"\textcircled{{{i + 1}}}" for i in range(10, 20)} | {chr(0x2474 + i): f"（{i + 1}）" for i in range(20)}
+PLAIN = {"…": r"$\ldots$", "≤": r"$\leq$", "≥": r"$\geq$", "∽": r"$\sim$", "¢": r"\textcent{}", "﹑": "、", "､": "、", "﹐": "，", "｡": "。"} | LETTERS | ROMAN | {chr(0x2460 + i): rf"\textcircled{{{i + 1}}}" for i in range(10, 20)} | {chr(0x2474 + i): f"（{i + 1}）" for i in range(20)}
 _TEXT = str.maketrans(ESCAPES | {k: f"${v}$" for k, v in MATH.items()} | PLAIN | {"\xa0": " ", "\u3000": " ", "\u200b": None})
 _PRIVATE = re.compile("[-]")
 _WORD_END = re.compile(r"\\[A-Za-z]+$")

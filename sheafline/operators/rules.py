@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -113,13 +114,31 @@ def emit(df: DataFrame, *found: Column, lists: tuple[Column, ...] = ()) -> DataF
     return rows.select("f.check", "f.level", "year", "region", "f.number", "f.line", "f.message")
 
 
+class Rules(NamedTuple):
+    """Rules of one grain: findings that are null or not, and arrays of findings. Rules of a grain add up to one scan."""
+
+    found: tuple[Column, ...] = ()
+    lists: tuple[Column, ...] = ()
+
+    def plus(self, *more: "Rules") -> "Rules":
+        return Rules(sum((r.found for r in more), self.found), sum((r.lists for r in more), self.lists))
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return emit(df, *self.found, lists=self.lists)
+
+    def where(self, condition: Column) -> "Rules":
+        """The same rules for the rows that meet a condition."""
+        sure = F.coalesce(condition, F.lit(False))
+        return Rules(tuple(F.when(sure, c) for c in self.found), tuple(F.when(sure, c).otherwise(F.array()) for c in self.lists))
+
+
 def each(values: Column, check: str, level: str, number: str | None = None, line: str | None = None) -> Column:
     """A finding for every value of an array, as an array."""
     made = F.transform(values, lambda v: finding(check, level, v, F.col(number) if number else None, F.col(line) if line else None))
     return F.coalesce(made, F.array())
 
 
-def skeleton(papers: DataFrame, document_class: str, version: str) -> DataFrame:
+def skeleton_rules(document_class: str, version: str) -> Rules:
     """What a paper must and must not hold.
 
     ``document_class`` and ``version`` are the exact names of the archive's class and of the command that switches versions.
@@ -136,31 +155,41 @@ def skeleton(papers: DataFrame, document_class: str, version: str) -> DataFrame:
     has = t.rlike(r"(?m)^%%\s*number\s*[:：]")
     given = t.rlike(rf"\\{any_of(ANSWERS)}")
     held = F.regexp_count(t, F.lit(PLACEHOLDER))
-    return emit(
-        papers,
-        *(F.when(~there, finding("skeleton", "error", F.lit(f"missing {n}"))) for n, there in parts.items()),
-        *(F.when(there, finding("legacy", "error", F.lit(n))) for n, there in old.items()),
-        F.when(~has, finding("items", "error", F.lit("no item"))),
-        F.when(has & ~given, finding("answers", "error", F.lit("no answer command"))),
-        F.when(held > 0, finding("placeholder", "warning", held.cast("string"))),
+    return Rules(
+        (
+            *(F.when(~there, finding("skeleton", "error", F.lit(f"missing {n}"))) for n, there in parts.items()),
+            *(F.when(there, finding("legacy", "error", F.lit(n))) for n, there in old.items()),
+            F.when(~has, finding("items", "error", F.lit("no item"))),
+            F.when(has & ~given, finding("answers", "error", F.lit("no answer command"))),
+            F.when(held > 0, finding("placeholder", "warning", held.cast("string"))),
+        )
     )
 
 
-def item_fields(items: DataFrame) -> DataFrame:
+def skeleton(papers: DataFrame, document_class: str, version: str) -> DataFrame:
+    return skeleton_rules(document_class, version).on(papers)
+
+
+def field_rules() -> Rules:
     """Order of fields, explanations, images shown twice."""
     b, n = F.col("block"), F.col("number")
     order = field_names(b) != F.array(*map(F.lit, schema.FIELDS))
     basic, author = b.rlike(r"\\memoanswer\s*\{"), b.rlike(r"\\memoanswer\s*\[")
     images = F.regexp_extract_all(b, F.lit(r"(?:figs|TikZ)/[A-Za-z0-9_\-]+"), F.lit(0))
     twice = F.filter(F.array_distinct(images), lambda x: F.size(F.filter(images, lambda y: y == x)) > 1)
-    return emit(
-        items,
-        F.when(order, finding("fields", "error", F.array_join(field_names(b), ","), n)),
-        F.when(~basic & author, finding("explanation", "error", F.lit("author's only"), n)).when(~basic, finding("explanation", "error", F.lit("none"), n)),
-        F.when(F.size(twice) > 0, finding("images", "warning", F.array_join(F.array_sort(twice), ","), n)),
+    return Rules(
+        (
+            F.when(order, finding("fields", "error", F.array_join(field_names(b), ","), n)),
+            F.when(~basic & author, finding("explanation", "error", F.lit("author's only"), n)).when(~basic, finding("explanation", "error", F.lit("none"), n)),
+            F.when(F.size(twice) > 0, finding("images", "warning", F.array_join(F.array_sort(twice), ","), n)),
+        )
     )
 
 
+def item_fields(items: DataFrame) -> DataFrame:
+    return field_rules().on(items)
+
+
 def labels(text: Column) -> Column:
     """Labels defined in a text, by picture options and by ``\\label``, repeats included."""
     picture = F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z])label[A-I]?=([^\s,}\]]+)"), F.lit(1))
@@ -171,7 +200,7 @@ def refs(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(r"\\ref\{([^}]+)\}"), F.lit(1)))
 
 
-def label_rules(papers: DataFrame) -> DataFrame:
+def reference_rules() -> Rules:
     """Form of labels, references without a label, single pictures without number, repeats."""
     own = labels(F.col("text"))
     bad = F.filter(F.array_distinct(own), lambda x: ~x.rlike(LABEL))
@@ -179,10 +208,14 @@ def label_rules(papers: DataFrame) -> DataFrame:
     repeated = F.filter(F.array_distinct(own), lambda x: F.size(F.filter(own, lambda y: y == x)) > 1)
     singles = F.regexp_extract_all("text", F.lit(r"\\onepicture\s*\[([^\]]*)\]"), F.lit(1))
     bare = F.filter(singles, lambda o: o.rlike(r"(?<![A-Za-z])label[A-I]?=") & ~o.rlike(r"(?<![A-Za-z])(?:num|fig|fignum)[A-I]?="))
-    return emit(papers, lists=(each(bad, "label", "error"), each(dangling, "ref", "error"), each(repeated, "label-twice", "error"), each(bare, "label-number", "warning")))
+    return Rules(lists=(each(bad, "label", "error"), each(dangling, "ref", "error"), each(repeated, "label-twice", "error"), each(bare, "label-number", "warning")))
 
 
-def line_rules(own: DataFrame) -> DataFrame:
+def label_rules(papers: DataFrame) -> DataFrame:
+    return reference_rules().on(papers)
+
+
+def text_rules() -> Rules:
     """R12 to R17 on lines (year, region, line, value); every picture of a line is looked at."""
     v = strip_comment(F.col("value"))
     han, at = f"[{CJK}]", F.col("line")
@@ -197,27 +230,46 @@ def line_rules(own: DataFrame) -> DataFrame:
         ("roman-cjk", "error"): F.filter(F.regexp_extract_all(v, F.lit(r"\\mathrm\{[^{}]*\}"), F.lit(0)), lambda m: m.rlike(han)),
     }
     close = v.rlike(f"{han}[A-Za-z]") | v.rlike(f"[A-Za-z]{han}")
-    return emit(
-        own,
-        F.when(v.rlike(f"{han}[,;:()]{han}"), finding("punctuation", "warning", F.lit("half-width"), line=at)),
-        F.when(~v.contains("$") & close, finding("spacing", "warning", F.lit("no blank"), line=at)),
-        lists=tuple(each(values, *kind, line="line") for kind, values in found.items()),
+    return Rules(
+        (
+            F.when(v.rlike(f"{han}[,;:()]{han}"), finding("punctuation", "warning", F.lit("half-width"), line=at)),
+            F.when(~v.contains("$") & close, finding("spacing", "warning", F.lit("no blank"), line=at)),
+        ),
+        tuple(each(values, *kind, line="line") for kind, values in found.items()),
     )
 
 
-def paragraph_breaks(own: DataFrame) -> DataFrame:
-    """A bold entry right after a line of prose."""
-    w = Window.partitionBy("year", "region").orderBy("line")
-    rows = own.withColumn("prev", F.rtrim(strip_comment(F.lag("value").over(w))))
+def line_rules(own: DataFrame) -> DataFrame:
+    return text_rules().on(own)
+
+
+def with_previous(own: DataFrame) -> DataFrame:
+    """Lines with ``prev``, the line before without its comment."""
+    return own.withColumn("prev", F.rtrim(strip_comment(F.lag("value").over(Window.partitionBy("year", "region").orderBy("line")))))
+
+
+def break_rules() -> Rules:
+    """R15 on lines with the one before: a bold entry right after a line of prose."""
     p = F.ltrim("prev")
     prose = p.rlike(f"[{CJK}]") & ~p.rlike(r"(?:\\par|\\\\)$") & ~(p.startswith("\\") & ~p.startswith("\\textbf"))
-    return emit(rows.where(F.ltrim("value").startswith("\\textbf{") & prose), finding("paragraph", "warning", F.substring(F.trim("value"), 1, 20), line=F.col("line")))
+    bold = F.ltrim("value").startswith("\\textbf{")
+    return Rules((F.when(bold & prose, finding("paragraph", "warning", F.substring(F.trim("value"), 1, 20), line=F.col("line"))),))
 
 
-def math_blocks(papers: DataFrame) -> DataFrame:
+def paragraph_breaks(own: DataFrame) -> DataFrame:
+    return break_rules().on(with_previous(own))
+
+
+def block_rules() -> Rules:
     """R13 and R14 on formula environments."""
-    rows = papers.select("year", "region", F.explode(formula_blocks(F.col("text"))).alias("m"))
-    return emit(rows, F.when(F.col("m").rlike(command(GRAPHICS)), finding("math-picture", "error", F.lit("picture in an environment"))), F.when(without_words(F.col("m")).rlike(f"[{CJK}]"), finding("math-cjk", "error", F.lit("in an environment"))))
+    blocks = formula_blocks(F.col("text"))
+    shown = F.transform(F.filter(blocks, lambda m: m.rlike(command(GRAPHICS))), lambda _: F.lit("picture in an environment"))
+    words = F.transform(F.filter(blocks, lambda m: without_words(m).rlike(f"[{CJK}]")), lambda _: F.lit("in an environment"))
+    return Rules(lists=(each(shown, "math-picture", "error"), each(words, "math-cjk", "error")))
+
+
+def math_blocks(papers: DataFrame) -> DataFrame:
+    return block_rules().on(papers)
 
 
 def unknown_macros(papers: DataFrame, dictionary: DataFrame, macro: str = "macro") -> DataFrame:
@@ -228,36 +280,47 @@ def unknown_macros(papers: DataFrame, dictionary: DataFrame, macro: str = "macro
     return emit(used.join(F.broadcast(known), "name", "left_anti"), finding("macro", "error", F.col("name")))
 
 
-def suggested_units(own: DataFrame) -> DataFrame:
+def unit_rules() -> Rules:
     """Single units that have a macro (to be asked for)."""
     found = F.flatten(F.array(*(F.regexp_extract_all(strip_comment(F.col("value")), F.lit(suggested_pattern(*u)), F.lit(0)) for u in SUGGESTED)))
-    return emit(own, lists=(each(found, "unit-suggestion", "warning", line="line"),))
+    return Rules(lists=(each(found, "unit-suggestion", "warning", line="line"),))
 
 
-def answer_rules(items: DataFrame) -> DataFrame:
+def suggested_units(own: DataFrame) -> DataFrame:
+    return unit_rules().on(own)
+
+
+def reply_rules() -> Rules:
     r"""R23, R24 on items without options: answer commands, and sub-questions against answers."""
     b, n = F.col("block"), F.col("number")
-    rows = items.where(~F.coalesce(F.col("typeId").isin(*schema.CHOICE_IDS), F.lit(False)))
     body = F.when(F.locate("%% answer:", b) > 0, section(b, "%% body:", "%% answer:")).otherwise(b)
     answer = section(b, "%% answer:", "%% memo")
     asked, long, short = outer_items(body), answer.contains("\\jdanswer"), b.contains("\\tkanswer")
     given = outer_items(F.regexp_extract(answer, r"(?s)\\jdanswer\*?\s*\{(.*?)\n\}", 1))
     one = F.regexp_count(body, F.lit(r"\\begin\{enumerate\}")) == 1
     no = ~long & ~short
-    return emit(
-        rows,
+    found = (
         F.when(no, finding("answer", "error", F.lit("none"), n)),
         F.when(~no & (asked >= 2) & ~long, finding("answer", "error", F.lit("no long answer"), n)),
         F.when(long & (F.coalesce("typeId", F.lit(0)) != 4) & one & (asked > 0) & (given > 0) & (asked != given), finding("answer-count", "warning", F.concat_ws("/", asked.cast("string"), given.cast("string")), n)),
     )
+    return Rules(found).where(~F.coalesce(F.col("typeId").isin(*schema.CHOICE_IDS), F.lit(False)))
 
 
-def figure_rules(items: DataFrame) -> DataFrame:
+def answer_rules(items: DataFrame) -> DataFrame:
+    return reply_rules().on(items)
+
+
+def mention_rules() -> Rules:
     """Explanations that mention a figure where there is none."""
     b, n = F.col("block"), F.col("number")
     memo = F.when(F.locate("%% memo", b) > 0, F.substring(b, F.locate("%% memo", b), F.length(b))).otherwise(b)
     told = b.contains("\\memoanswer")
-    return emit(items, F.when(told & b.rlike(FIGURE_MENTION) & ~b.rlike(command(PICTURES)), finding("figure", "error", F.lit("item has none"), n)), F.when(told & memo.rlike(FIGURE_MENTION) & ~memo.rlike(command(PICTURES)), finding("figure", "warning", F.lit("explanation has none"), n)))
+    return Rules((F.when(told & b.rlike(FIGURE_MENTION) & ~b.rlike(command(PICTURES)), finding("figure", "error", F.lit("item has none"), n)), F.when(told & memo.rlike(FIGURE_MENTION) & ~memo.rlike(command(PICTURES)), finding("figure", "warning", F.lit("explanation has none"), n))))
+
+
+def figure_rules(items: DataFrame) -> DataFrame:
+    return mention_rules().on(items)
 
 
 def answer_sites(block: Column) -> Column:
@@ -266,15 +329,22 @@ def answer_sites(block: Column) -> Column:
     return F.array_distinct(F.filter(F.array(*sites), lambda x: x != ""))
 
 
+def is_choice() -> Column:
+    return reduce(lambda a, k: a | F.coalesce(F.col("type"), F.lit("")).contains(k), schema.CHOICE_NAMES, F.lit(False))
+
+
+def site_rules() -> Rules:
+    """The sites of a choice item's answer disagree."""
+    sites = answer_sites(F.col("block"))
+    return Rules((F.when(F.size(sites) > 1, finding("answer-sites", "error", F.array_join(sites, ","), F.col("number"))),)).where(is_choice())
+
+
 def choice_rules(items: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """The sites of an answer disagree, or none is in the set that the archive has for the number."""
-    kinds = F.lit(False)
-    for k in schema.CHOICE_NAMES:
-        kinds = kinds | F.coalesce(F.col("type"), F.lit("")).contains(k)
-    rows = items.where(kinds).withColumn("sites", answer_sites(F.col("block")))
-    out = emit(rows, F.when(F.size("sites") > 1, finding("answer-sites", "error", F.array_join("sites", ","), F.col("number"))))
+    out = site_rules().on(items)
     if answers is None:
         return out
+    rows = items.where(is_choice()).withColumn("sites", answer_sites(F.col("block")))
     sets = answers.groupBy("year", "region", "number").agg(F.array_sort(F.collect_set("answer")).alias("allowed"))
     apart = rows.join(sets, ["year", "region", "number"]).where((F.size("sites") > 0) & ~F.arrays_overlap("sites", "allowed"))
     return out.unionByName(emit(apart, finding("answer-set", "error", F.array_join("allowed", ","), F.col("number"))))
@@ -305,14 +375,33 @@ def formula_numbers(memo: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(formula_signs(memo), lambda m: F.instr(F.lit(CIRCLED), m["c"]))))
 
 
-def numbering_rules(items: DataFrame, memo: str = "memo") -> DataFrame:
-    """Numbers missing below the largest, and numbers that stand once, as a reference."""
-    rows = items.where(F.col(memo).isNotNull()).withColumn("signs", formula_signs(F.col(memo))).withColumn("present", formula_numbers(F.col(memo)))
+def with_signs(items: DataFrame, memo: str = "memo") -> DataFrame:
+    """Items with the ``signs`` of formulas in their explanations and the numbers ``present``."""
+    return items.withColumn("signs", formula_signs(F.col(memo))).withColumn("present", formula_numbers(F.col(memo)))
+
+
+def order_rules() -> Rules:
+    """R30, R31 on items with signs: numbers missing below the largest, and numbers that stand once, as a reference."""
     absent = F.when(F.size("present") > 0, F.array_except(F.sequence(F.lit(1), F.array_max("present")), "present")).otherwise(F.array().cast("array<int>"))
     of = lambda i: F.filter("signs", lambda m: m["c"] == F.substring(F.lit(CIRCLED), i, F.lit(1)))
     once = F.filter("present", lambda i: (F.size(of(i)) == 1) & F.get(of(i), F.lit(0))["refers"])
     text = lambda x: F.transform(x, lambda i: i.cast("string"))
-    return emit(rows, lists=(each(text(absent), "formula-gap", "error", number="number"), each(text(once), "formula-once", "warning", number="number")))
+    return Rules(lists=(each(text(absent), "formula-gap", "error", number="number"), each(text(once), "formula-once", "warning", number="number"))).where(F.col("present").isNotNull())
+
+
+def numbering_rules(items: DataFrame, memo: str = "memo") -> DataFrame:
+    return order_rules().on(with_signs(items, memo))
+
+
+def check_papers(papers: DataFrame, items: DataFrame, own: DataFrame, dictionary: DataFrame, document_class: str, version: str) -> DataFrame:
+    """All rules on papers, their items and their lines: one scan of each, and one for the macros."""
+    parts = (
+        skeleton_rules(document_class, version).plus(reference_rules(), block_rules()).on(papers),
+        unknown_macros(papers, dictionary),
+        field_rules().plus(reply_rules(), mention_rules(), site_rules(), order_rules()).on(with_signs(items)),
+        text_rules().plus(unit_rules(), break_rules()).on(with_previous(own)),
+    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def vocabulary(df: DataFrame, field: str, allowed: tuple[str, ...], check: str, number: str | None = None) -> DataFrame:

@@ -651,11 +651,7 @@ def paper_findings(spark, d):
     items = items.select("year", "region", "number", "block", F.col("m")["typeId"].try_cast("long").alias("typeId"), F.col("m")["type"].alias("type"), parse.section(F.col("block"), "%% memo:", None).alias("memo"))
     items = stage(spread(items), "paper-items")
     own = lines(docs, "id").select("id.year", "id.region", "line", "value")
-    parts = [rules.skeleton(docs, *PAPER), rules.item_fields(items), rules.label_rules(docs), rules.line_rules(own), rules.paragraph_breaks(own), rules.math_blocks(docs), rules.unknown_macros(docs, table(spark, d, "unit_macros")), rules.suggested_units(own), rules.answer_rules(items), rules.figure_rules(items), rules.choice_rules(items), rules.numbering_rules(items)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rules.check_papers(docs, items, own, table(spark, d, "unit_macros"), *PAPER)
 
 
 @query(

@@ -73,6 +73,8 @@ HTML = {
     "<p>10<sup>23</sup> ⑫</p>": "10$^{23}$ \\textcircled{12}",
     "<strong>注意</strong>": "\\textbf{注意}",
     "\\(βg\\)": "$\\beta g$",
+    "∀ ⊗ ∽ ∟ º ‑ ⅳ 圧 ﹐": "$\\forall \\otimes \\sim \\perp {^\\circ} -$ iv 压 ，",
+    "\\(a⊄b∽ϕⅷ⑫圧\\)": "$a\\nsubseteq b\\backsim\\phi\\text{viii}\\text{\\textcircled{12}}\\text{压}$",
     "\\(5\\% &amp; #\\)": "$5\\% \\& \\#$",
     "<table><tr><td colspan=2>a</td></tr><tr><td>1</td><td>2</td></tr></table>": "\\begin{tabular}{cc}\na &  \\\\\n1 & 2 \\\\\n\\end{tabular}",
     "": "",

@@ -277,6 +277,8 @@ def signatures(docs: DataFrame, table: np.ndarray, large: tuple[np.ndarray, np.n
                     continue
                 bits = parity(gram, np.repeat(np.arange(y - x), size), y - x)
                 key, owner, _ = keys_of(gram, size, table, threshold, rare)
+                if not len(key):
+                    continue
                 side = np.zeros(len(key), np.uint64)
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
@@ -497,31 +499,36 @@ def components(edges: DataFrame, at_once: int = 1 << 20) -> DataFrame:
         unstage(old, large)
 
 
+def few(df: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """A slim table, to be broadcast if it has ``most`` rows at most (about 20 MB); counted, so give a stage table or one cheap to read."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def near_found(df: DataFrame, id: str = "bank_id", body: str = "body", threshold: float = 0.6, rare: int = 128, block: int = 4096) -> DataFrame:
     """(first_id, other_id): every record of a group with its group's smallest id."""
     rows = stage(keyed(df, id, body, field_labels(df, body)), "near-keys")
-    groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("letters").alias("letters")), "near-texts")
-    docs = groups.select(F.col("first_id").alias("doc"), "letters")
+    groups = stage(rows.groupBy("c1", "c2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "near-groups")
+    # the records that another one of equal letters stands for; texts move only where these are too many to broadcast
+    texts = groups.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "first_id", "copies")
+    own = rows.select("id", F.col("c1").alias("k1"), F.col("c2").alias("k2"))
+    copies = stage(by_size(own, texts.where("copies > 1"), ["k1", "k2"], "copies").where("id <> first_id").select("first_id", "id", F.col("k1").alias("c1"), F.col("k2").alias("c2")), "near-copies")
+    docs = rows.join(few(copies.select("id", "c1", "c2")), ["id", "c1", "c2"], "left_anti").select(F.col("id").alias("doc"), "letters")
     # texts that copies of problem 3 hold together
     held = rows.select("k1", "k2", "c1", "c2").distinct().join(groups.select("c1", "c2", "first_id"), ["c1", "c2"])
     known = held.groupBy("k1", "k2").agg(F.min("first_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     links = by_size(held, known, ["k1", "k2"], "n").select("a", F.col("first_id").alias("b")).where("a <> b")
     table = frequencies(docs)
     label = stage(components(verified(stage(early_links(docs, table), "near-hubs"), docs, threshold).unionByName(links)), "near-first")
-    labelled = docs.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
-    labelled = stage(labelled, "near-labelled")
+    labelled = docs.join(few(label.select(F.col("node").alias("doc"), "label")), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "letters")
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil((docs.agg(F.sum(F.length("letters"))).first()[0] or 0) / KEYS_A_PART))
-    large = large_keys(labelled, table, threshold, rare, block)
+    large = large_keys(docs, table, threshold, rare, block)
     pairs = compare(signatures(labelled, table, large, parts, threshold, rare), parts, threshold)
     found = verified(stage(pairs.distinct(), "near-pairs"), docs, threshold)
     # what is found links whole components: only their labels go through another contraction
     base = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     between = found.join(base("a"), "a", "left").join(base("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
     merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("last"))
-    own = rows.select("id", F.col("c1").alias("k1"), F.col("c2").alias("k2"))
-    texts = groups.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "first_id", "copies")
     # the representatives themselves, and the copies each stands for
-    copies = by_size(own, texts.where("copies > 1"), ["k1", "k2"], "copies").where("id <> first_id").select("first_id", "id")
-    every = groups.select("first_id", F.col("first_id").alias("id")).unionByName(copies)
+    every = groups.select("first_id", F.col("first_id").alias("id")).unionByName(copies.select("first_id", "id"))
     labelled_ids = every.join(label.select(F.col("node").alias("first_id"), "label"), "first_id", "left").select(F.coalesce("label", "first_id").alias("label"), "id")
     return labelled_ids.join(merged, "label", "left").select(F.coalesce("last", "label").alias("first_id"), F.col("id").alias("other_id")).where("first_id <> other_id").distinct()

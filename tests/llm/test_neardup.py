@@ -94,3 +94,10 @@ def test_components_of_a_path(spark, at_once):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (5, 5)], "a long, b long")
     got = dict(map(tuple, components(edges, at_once).collect()))
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
+
+
+def test_one_id_of_two_bodies(spark):
+    base = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往"
+    rows = [(3, base), (7, base + "。"), (7, "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳"), (9, "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午")]
+    got = near_found(spark.createDataFrame(rows, "bank_id long, body string")).collect()
+    assert {(3, 7), (7, 9)} <= set(map(tuple, got)) or {(3, 7), (3, 9)} <= set(map(tuple, got))
